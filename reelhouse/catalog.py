@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import oracle
 from .plans.pipeline import bronze_from_files, medallion, without_run_time
+from .plans import realtime
+from .plans.quality_job import quality_outputs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,4 +49,43 @@ QUERIES: dict[str, Query] = {
 for _name in oracle.REPORTS:
     QUERIES[_name] = _report(_name)
 
+
+def _dq(name: str) -> Query:
+    return lambda spark, sf: without_run_time(quality_outputs(medallion(spark, sf).bronze)[name])
+
+
+for _name in ("dq_report", "dq_quarantine", "dq_summary"):
+    QUERIES[_name] = _dq(_name)
+
+
+
+def _event_processed(spark: SparkSession, sf: str) -> DataFrame:
+    return realtime.flat_notifications(realtime.processed(spark, sf))
+
+
+def _state(name: str) -> Query:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        out = realtime.state_machine(spark, sf)[name]
+        if name == "event_routed":
+            out = out.select("action", "message", "engagement_score", "data.event_id",
+                             "data.user_id", "data.engagement_level")
+        if name == "event_errors":
+            out = out.drop("raw")
+        return without_run_time(out)
+    return run
+
+
+def _store(name: str) -> Query:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        return realtime.store_outputs(spark, realtime.stream_store(spark, sf))[name]
+    return run
+
+
+QUERIES["event_processed"] = _event_processed
+for _name in ("event_validated", "event_scored", "event_routed", "event_errors"):
+    QUERIES[_name] = _state(_name)
+for _name in ("engagement_store", "engagement_latest", "engagement_by_user", "engagement_range",
+              "engagement_high_users"):
+    QUERIES[_name] = _store(_name)
+
 ORACLE: dict[str, str] = oracle.oracle_sql()

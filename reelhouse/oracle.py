@@ -246,8 +246,176 @@ FROM revenue WHERE plan != 'free'""",
 }
 
 
+
+
+# -- data quality ---------------------------------------------------------------
+
+DQ_CHECKS = [  # (check, table cte, table name, failing predicate)
+    ("users_no_null_user_id", "b_users", "users", "user_id IS NULL"),
+    ("users_valid_age", "b_users", "users", "(age < 18 OR age > 100 OR age IS NULL)"),
+    ("users_valid_email", "b_users", "users", "(NOT contains(email, '@') OR email IS NULL)"),
+    ("users_no_duplicates", "b_users", "users", None),
+    ("watch_positive_duration", "b_watch", "watch_events", "(watched_mins <= 0 OR watched_mins IS NULL)"),
+    ("watch_valid_completion_pct", "b_watch", "watch_events",
+     "(completion_pct < 0 OR completion_pct > 100)"),
+    ("watch_no_null_user_id", "b_watch", "watch_events", "user_id IS NULL"),
+    ("watch_no_null_content_id", "b_watch", "watch_events", "content_id IS NULL"),
+    ("subs_valid_amount", "b_subs", "subscriptions", "amount_paid < 0"),
+    ("subs_valid_plan", "b_subs", "subscriptions",
+     "plan NOT IN ('free', 'basic', 'standard', 'premium')"),
+    ("subs_end_after_start", "b_subs", "subscriptions", "end_date <= start_date"),
+]
+DQ_KEYS = {"b_users": "user_id", "b_watch": "event_id", "b_subs": "subscription_id"}
+
+
+def _dq_report_sql() -> str:
+    rows = []
+    for i, (name, cte, table, pred) in enumerate(DQ_CHECKS):
+        if pred is None:
+            failed = ("count(*) - count(DISTINCT user_id) - "
+                      "CASE WHEN count(*) FILTER (WHERE user_id IS NULL) > 0 THEN 1 ELSE 0 END")
+        else:
+            failed = f"count(*) FILTER (WHERE {pred})"
+        rows.append(f"SELECT '{name}' AS check_name, '{table}' AS \"table\", {i} AS check_order, "
+                    f"CAST(count(*) AS BIGINT) AS t, CAST({failed} AS BIGINT) AS f FROM {cte}")
+    return (
+        "SELECT check_name, \"table\", t AS total_records, t - f AS passed, f AS failed, "
+        f"CASE WHEN t > 0 THEN {hu('(t - f) * 100', 't', 1)} END AS pass_rate_pct, "
+        "CASE WHEN f = 0 THEN 'PASS' ELSE 'FAIL' END AS status, CAST(check_order AS INT) AS check_order "
+        "FROM (" + " UNION ALL ".join(rows) + ")"
+    )
+
+
+def _dq_quarantine_sql() -> str:
+    parts = []
+    for cte, table in (("b_users", "users"), ("b_watch", "watch_events"), ("b_subs", "subscriptions")):
+        preds = [(n, p) for n, c, _, p in DQ_CHECKS if c == cte and p is not None]
+        names = ", ".join(f"CASE WHEN {p} THEN '{n}' END" for n, p in preds)
+        count = " + ".join(f"CASE WHEN {p} THEN 1 ELSE 0 END" for _, p in preds)
+        parts.append(
+            f"SELECT '{table}' AS \"table\", CAST({DQ_KEYS[cte]} AS VARCHAR) AS record_id, "
+            f"concat_ws(',', {names}) AS failed_checks, CAST({count} AS INT) AS n_failed "
+            f"FROM {cte} WHERE {count} > 0")
+    return " UNION ALL ".join(parts)
+
+
+DQ = {
+    "dq_report": "SELECT * FROM dq",
+    "dq_quarantine": _dq_quarantine_sql(),
+    "dq_summary": """
+SELECT count(*) AS total_checks, count(*) FILTER (WHERE status = 'PASS') AS passed_checks,
+  count(*) FILTER (WHERE status = 'FAIL') AS failed_checks FROM dq""",
+}
+_ALL_CTES["dq"] = _dq_report_sql()
+ORDER.append("dq")
+
+
+# -- event path -------------------------------------------------------------------
+# A message is dropped to an empty event when its envelope is a bare event
+# without a user id (dispatch falls through) or its body is corrupt.
+
+_LEVEL = ("CASE WHEN completion_pct >= 80 THEN 'HIGH' WHEN completion_pct >= 50 THEN 'MEDIUM' "
+          "ELSE 'LOW' END")
+
+_ALL_CTES.update({
+    "ev_base": """
+SELECT *, ((event_id % 4 = 0 AND user_id IS NULL) OR event_id % 1000 = 999) AS dropped
+FROM raw_watch_events""",
+    "ev_proc": """
+SELECT CAST(event_id AS VARCHAR) AS request_id, watch_start_time AS event_ts,
+  CASE WHEN dropped OR user_id IS NULL THEN 'UNKNOWN' ELSE CAST(user_id AS VARCHAR) END AS user_id,
+  CASE WHEN dropped OR content_id IS NULL THEN 'UNKNOWN' ELSE CAST(content_id AS VARCHAR) END AS content_id,
+  CAST(CASE WHEN dropped THEN 0 ELSE completion_pct END AS DOUBLE) AS completion_pct,
+  CAST(CASE WHEN dropped THEN 0 ELSE watched_mins END AS INT) AS watched_mins,
+  CASE WHEN dropped THEN 'unknown' ELSE device END AS device,
+  CASE WHEN dropped THEN 'unknown' ELSE region END AS region
+FROM ev_base""",
+    "processed": f"""
+SELECT request_id, event_ts, user_id, content_id, completion_pct, watched_mins, device, region,
+  {_LEVEL} AS engagement_level,
+  completion_pct >= 80 AS is_binge_watcher, completion_pct >= 50 AS is_engaged,
+  strftime(date_trunc('second', event_ts), '%Y-%m-%d %H:%M:%S') AS processed_at,
+  CAST((CASE WHEN completion_pct >= 80 THEN 1 ELSE 0 END)
+       + (CASE WHEN completion_pct = 100 THEN 1 ELSE 0 END)
+       + (CASE WHEN watched_mins > 120 THEN 1 ELSE 0 END) AS INT) AS notification_count,
+  concat_ws(',', CASE WHEN completion_pct >= 80 THEN 'BINGE_WATCHER_BADGE' END,
+                 CASE WHEN completion_pct = 100 THEN 'COMPLETION_REWARD' END,
+                 CASE WHEN watched_mins > 120 THEN 'LONG_SESSION' END) AS notification_types,
+  concat_ws('|',
+    CASE WHEN completion_pct >= 80 THEN 'User ' || user_id || ' earned Binge Watcher badge!' END,
+    CASE WHEN completion_pct = 100 THEN 'User ' || user_id || ' completed ' || content_id || '!' END,
+    CASE WHEN watched_mins > 120
+      THEN 'User ' || user_id || ' watched ' || CAST(watched_mins AS VARCHAR) || ' mins' END
+  ) AS notification_text
+FROM ev_proc""",
+    "validated": """
+SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id,
+  CAST(content_id AS VARCHAR) AS content_id, completion_pct, watched_mins, device, region,
+  'PASSED' AS validation_status
+FROM ev_base
+WHERE NOT dropped AND user_id IS NOT NULL AND content_id IS NOT NULL
+  AND completion_pct BETWEEN 0 AND 100 AND watched_mins >= 0""",
+    "scored": f"""
+SELECT *,
+  round(completion_pct * 0.6 + least(watched_mins / 120 * 100, 100) * 0.4, 1) AS engagement_score,
+  {_LEVEL} AS engagement_level, completion_pct >= 80 AS should_notify
+FROM validated""",
+    "store_rows": """
+SELECT DISTINCT user_id, processed_at, content_id, completion_pct, watched_mins, engagement_level,
+  is_binge_watcher, device, region, notification_count, request_id, event_ts
+FROM processed""",
+    "latest": """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, processed_at
+                               ORDER BY event_ts DESC, request_id DESC) AS rn
+  FROM store_rows) WHERE rn = 1""",
+    "top_user": """
+SELECT user_id FROM (SELECT user_id, count(*) AS n FROM latest GROUP BY user_id)
+ORDER BY n DESC, user_id ASC LIMIT 1""",
+})
+ORDER.extend(["ev_base", "ev_proc", "processed", "validated", "scored", "store_rows", "latest",
+              "top_user"])
+
+_MISSING = ("'Missing required fields: [' || concat_ws(', ', "
+            "CASE WHEN dropped OR user_id IS NULL THEN '''user_id''' END, "
+            "CASE WHEN dropped OR content_id IS NULL THEN '''content_id''' END, "
+            "CASE WHEN dropped THEN '''completion_pct''' END, "
+            "CASE WHEN dropped THEN '''watched_mins''' END) || ']'")
+
+EVENTS = {
+    "event_processed": "SELECT * FROM processed",
+    "event_validated": "SELECT * FROM validated",
+    "event_scored": "SELECT * FROM scored",
+    "event_routed": """
+SELECT CASE engagement_level WHEN 'HIGH' THEN 'SEND_BINGE_NOTIFICATION'
+         WHEN 'MEDIUM' THEN 'UPDATE_RECOMMENDATIONS' ELSE 'LOG_AND_EXIT' END AS action,
+  CASE engagement_level WHEN 'HIGH' THEN 'Binge watcher detected: '
+         WHEN 'MEDIUM' THEN 'Update recommendations for: ' ELSE 'Low engagement for: ' END
+    || user_id AS message,
+  engagement_score, event_id, user_id, engagement_level
+FROM scored""",
+    "event_errors": f"""
+SELECT CAST(event_id AS VARCHAR) AS request_id, 'ValidationError' AS error,
+  'Event failed validation checks' AS cause,
+  CASE WHEN dropped OR user_id IS NULL OR content_id IS NULL THEN {_MISSING}
+       WHEN completion_pct < 0 OR completion_pct > 100
+         THEN 'Invalid completion_pct: ' || CAST(completion_pct AS VARCHAR) || '. Must be 0-100.'
+       ELSE 'Invalid watched_mins: ' || CAST(watched_mins AS VARCHAR) || '. Must be >= 0.' END AS detail
+FROM ev_base
+WHERE dropped OR user_id IS NULL OR content_id IS NULL
+  OR NOT (completion_pct BETWEEN 0 AND 100) OR watched_mins < 0""",
+    "engagement_store": "SELECT * FROM store_rows",
+    "engagement_latest": "SELECT * FROM latest",
+    "engagement_by_user": "SELECT * FROM latest WHERE user_id = (SELECT user_id FROM top_user)",
+    "engagement_range": """
+SELECT * FROM latest WHERE user_id = (SELECT user_id FROM top_user)
+  AND processed_at BETWEEN '2024-02-01 00:00:00' AND '2024-02-29 23:59:59'""",
+    "engagement_high_users": "SELECT DISTINCT user_id FROM latest WHERE engagement_level = 'HIGH'",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     out = {}
-    for name, body in {**MEDALLION, **REPORTS}.items():
+    for name, body in {**MEDALLION, **REPORTS, **DQ, **EVENTS}.items():
         out[name] = with_ctes(body)
     return out
