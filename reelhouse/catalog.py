@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import oracle
+from .operators import recommend
 from .plans.pipeline import bronze_from_files, medallion, without_run_time
 from .plans import realtime
 from .plans.quality_job import quality_outputs
@@ -88,4 +89,18 @@ for _name in ("engagement_store", "engagement_latest", "engagement_by_user", "en
               "engagement_high_users"):
     QUERIES[_name] = _store(_name)
 
+
+
+def _recommendations(spark: SparkSession, sf: str) -> DataFrame:
+    return recommend.recommend(medallion(spark, sf).bronze["users"])
+
+
+def _catalog_stats(spark: SparkSession, sf: str) -> DataFrame:
+    b = medallion(spark, sf).bronze
+    return recommend.catalog_stats(b["content_catalog"], b["users"])
+
+
+QUERIES["recommendations"] = _recommendations
+QUERIES["catalog_stats"] = _catalog_stats
+
 ORACLE: dict[str, str] = oracle.oracle_sql()

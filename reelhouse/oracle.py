@@ -414,8 +414,64 @@ SELECT * FROM latest WHERE user_id = (SELECT user_id FROM top_user)
 }
 
 
+# -- recommendations ----------------------------------------------------------------
+
+
+def _values(rows: list[tuple]) -> str:
+    def lit(v):
+        return str(v) if isinstance(v, int) else "'" + str(v).replace("'", "''") + "'"
+    return "VALUES " + ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+
+
+def _reco_ctes() -> dict[str, str]:
+    from .operators.recommend import AGE_PREFERENCES, CONTENT_BY_GENRE, REGION_LANGUAGES
+    titles = [(g, i, t) for g, ts in CONTENT_BY_GENRE.items() for i, t in enumerate(ts)]
+    prefs = [(a, i, g) for a, gs in AGE_PREFERENCES.items() for i, g in enumerate(gs)]
+    langs = [(r, i, lang) for r, ls in REGION_LANGUAGES.items() for i, lang in enumerate(ls)]
+    return {
+        "rec_titles": f"SELECT * FROM ({_values(titles)}) t(genre, tpos, title)",
+        "rec_prefs": f"SELECT * FROM ({_values(prefs)}) t(age_group, gpos, genre)",
+        "rec_langs": f"SELECT * FROM ({_values(langs)}) t(region, lpos, language)",
+        "rec_users": """
+SELECT u.user_id, u.region, u.age,
+  CASE WHEN coalesce(u.age, 25) < 25 THEN '18-24' WHEN coalesce(u.age, 25) < 35 THEN '25-34'
+       WHEN coalesce(u.age, 25) < 45 THEN '35-44' ELSE '45+' END AS age_group,
+  CASE WHEN u.region IN (SELECT region FROM rec_langs) THEN u.region ELSE 'default' END AS lang_region
+FROM users u""",
+        "rec_cands": """
+SELECT u.user_id, u.region, u.age, u.age_group, p.gpos, t.tpos, t.title, p.genre,
+  75 + (u.user_id * 7 + p.gpos * 13 + t.tpos * 5) % 25 AS points,
+  'CNT' || lpad(CAST(1 + (u.user_id * 31 + p.gpos * 7 + t.tpos) % 1000 AS VARCHAR), 4, '0') AS content_id,
+  u.lang_region,
+  (u.user_id + p.gpos + t.tpos) % (SELECT count(*) FROM rec_langs l WHERE l.region = u.lang_region) AS lpos
+FROM rec_users u
+JOIN rec_prefs p ON p.age_group = u.age_group AND p.gpos < 3
+JOIN rec_titles t ON t.genre = p.genre AND t.tpos < 2""",
+        "rec_ranked": """
+SELECT c.*, l.language,
+  row_number() OVER (PARTITION BY c.user_id ORDER BY c.points DESC, c.gpos, c.tpos) AS rank
+FROM rec_cands c JOIN rec_langs l ON l.region = c.lang_region AND l.lpos = c.lpos""",
+    }
+
+
+_ALL_CTES.update(_reco_ctes())
+ORDER.extend(["rec_titles", "rec_prefs", "rec_langs", "rec_users", "rec_cands", "rec_ranked"])
+
+RECO = {
+    "recommendations": """
+SELECT user_id, region, age, age_group, CAST(rank AS INT) AS rank, content_id, title, genre, language,
+  points / 100.0 AS match_score
+FROM rec_ranked WHERE rank <= 5""",
+    "catalog_stats": """
+SELECT count(DISTINCT genre) AS total_genres, count(*) AS total_content,
+  string_agg(DISTINCT genre, ',' ORDER BY genre) AS genres,
+  (SELECT string_agg(DISTINCT region, ',' ORDER BY region) FROM users) AS regions_supported
+FROM b_content""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     out = {}
-    for name, body in {**MEDALLION, **REPORTS, **DQ, **EVENTS}.items():
+    for name, body in {**MEDALLION, **REPORTS, **DQ, **EVENTS, **RECO}.items():
         out[name] = with_ctes(body)
     return out
