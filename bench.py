@@ -70,7 +70,7 @@ def main() -> None:
     def stream_replay():
         d = fresh("stream")
         run_engagement_stream(spark, f"{root}/feed", f"{d}/store", f"{d}/dead", f"{d}/ckpt",
-                              dedupe_delay=realtime.REPLAY_DEDUPE_DELAY, max_files_per_trigger=4)
+                              dedupe_delay=realtime.REPLAY_DEDUPE_DELAY, max_files_per_trigger=8)
         store.latest(store.read_store(spark, f"{d}/store")).count()
 
     def recommendations():

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators.dedupe import dedupe_by_key
+from ..session import run_concurrently
 from ..sources import files
 from ..sources.sinks import write_parquet
 
@@ -61,16 +62,15 @@ def ingest_files(spark: SparkSession, raw_dir: str, ingestion_time: str,
 def run(spark: SparkSession, raw_dir: str, bronze_dir: str, ingestion_time: str) -> dict[str, int]:
     """Job: land every raw table in ``bronze_dir`` as Parquet; returns row counts.
 
-    Events are partitioned by ``watch_date`` so date-bounded reads prune files.
-    They are range-partitioned on (watch_date, event_id) first: each task then
-    writes about one file for a contiguous slice of dates, and a busy date is
-    split over several tasks instead of landing in one.
+    Events leave the key de-duplication hash-partitioned by event_id.  Each
+    task sorts its rows by ``watch_date`` before writing, so every Parquet
+    row group covers a narrow date range and date predicates skip row groups
+    via min/max statistics -- without a second full shuffle for a
+    ``partitionBy`` layout, and without one file per (task, date).
     """
-    counts = {}
+    jobs = {}
     for table, df in ingest_files(spark, raw_dir, ingestion_time).items():
-        part = None
         if table == "watch_events":
-            df = df.repartitionByRange("watch_date", "event_id")
-            part = ["watch_date"]
-        counts[table] = write_parquet(df, f"{bronze_dir}/{table}", partition_by=part)
-    return counts
+            df = df.sortWithinPartitions("watch_date", "event_id")
+        jobs[table] = (lambda d=df, t=table: write_parquet(d, f"{bronze_dir}/{t}"))
+    return run_concurrently(jobs)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import avg_half_up, half_up
+from ..session import run_concurrently
 from ..sources.sinks import write_parquet
 
 
@@ -74,5 +75,6 @@ def run(spark: SparkSession, silver_dir: str, bronze_dir: str, gold_dir: str,
     profile = spark.read.parquet(f"{silver_dir}/user_watch_profile")
     perf = spark.read.parquet(f"{silver_dir}/content_performance")
     subs = spark.read.parquet(f"{bronze_dir}/subscriptions")
-    return {name: write_parquet(df, f"{gold_dir}/{name}")
-            for name, df in gold_tables(profile, perf, subs, ingestion_time).items()}
+    return run_concurrently({
+        name: (lambda d=df, n=name: write_parquet(d, f"{gold_dir}/{n}"))
+        for name, df in gold_tables(profile, perf, subs, ingestion_time).items()})

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators import quality
+from ..session import run_concurrently
 from ..sources.sinks import write_parquet
 
 BRONZE_TABLES = ("users", "watch_events", "subscriptions")
@@ -34,19 +35,22 @@ def run(spark: SparkSession, bronze_dir: str, dq_dir: str, run_time: str,
     run_date = run_time[:10]
     bronze = {t: spark.read.parquet(f"{bronze_dir}/{t}") for t in BRONZE_TABLES}
     checks = quality.default_checks()
-    # Materialise the 11-row report once; summary and gate read the written copy.
     report = quality.check_report(bronze, checks, run_time).withColumn("run_date", F.lit(run_date))
-    write_parquet(report, f"{dq_dir}/reports", mode="append", partition_by=["run_date"])
-    written = spark.read.parquet(f"{dq_dir}/reports").where(F.col("run_date") == run_date) \
-        .where(F.col("run_time") == run_time)
-    quarantined = {}
     by_table: dict[str, list] = {}
     for c in checks:
         by_table.setdefault(c.table, []).append(c)
+    jobs = {"_report": lambda: write_parquet(report, f"{dq_dir}/reports", mode="append",
+                                             partition_by=["run_date"])}
     for table, chs in by_table.items():
         q = quality.quarantine(bronze[table], chs).withColumn("run_date", F.lit(run_date))
-        quarantined[table] = write_parquet(q, f"{dq_dir}/failed_records/{table}", mode="append",
-                                           partition_by=["run_date"])
+        jobs[table] = (lambda d=q, t=table: write_parquet(
+            d, f"{dq_dir}/failed_records/{t}", mode="append", partition_by=["run_date"]))
+    counts = run_concurrently(jobs)
+    counts.pop("_report")
+    quarantined = counts
+    # The 11-row report is materialised once; summary and gate read the written copy.
+    written = spark.read.parquet(f"{dq_dir}/reports").where(F.col("run_date") == run_date) \
+        .where(F.col("run_time") == run_time)
     result = quality.summary(written).first().asDict()
     result["quarantined_rows"] = quarantined
     if gate:

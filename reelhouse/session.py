@@ -12,9 +12,14 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import SparkSession
 
+T = TypeVar("T")
+
 # Settings applied to every session we build.  A cluster deployment passes its
 # own master / memory / partition counts; these are the semantic ones.
 BASE_CONF = {
@@ -29,6 +34,11 @@ BASE_CONF = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Streaming state (the de-duplication window) can be large: keep it in
+    # RocksDB with changelog checkpoints rather than on the JVM heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
@@ -71,6 +81,17 @@ def apply_runtime_conf(spark: SparkSession) -> None:
             pass
 
 
+def run_concurrently(jobs: dict[str, Callable[[], T]]) -> dict[str, T]:
+    """Submit independent Spark jobs (e.g. one write per table) at the same
+    time; the cluster scheduler interleaves their tasks, so one job's
+    stragglers do not leave the others' executors idle."""
+    if len(jobs) <= 1:
+        return {k: f() for k, f in jobs.items()}
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        futures = {k: pool.submit(f) for k, f in jobs.items()}
+        return {k: fut.result() for k, fut in futures.items()}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Root of the shared folder jobs may write intermediate tables to.
 
