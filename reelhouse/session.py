@@ -39,6 +39,9 @@ BASE_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # No empty micro-batches just to evict de-duplication state; the next
+    # batch with data evicts it.  (No operator here emits on watermark alone.)
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
 
 

@@ -17,7 +17,7 @@ delay must cover the input's event-time disorder; for a historical replay
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import events as ev
@@ -60,11 +60,16 @@ def run_engagement_stream(spark: SparkSession, source_dir: str, store_dir: str,
         parsed = with_dedupe(parsed, dedupe_delay)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
+        # Parse failures are counted while the store batch is written; the
+        # (rare) dead-letter write then reads the cached batch only if needed.
         batch = batch.persist()
         try:
-            store.write_batch(ev.process_events(batch), store_dir, batch_id)
-            ev.processor_errors(batch).write.mode("overwrite") \
-                .parquet(f"{dead_letter_dir}/batch_id={batch_id}")
+            obs = Observation()
+            observed = batch.observe(obs, F.count_if(F.col("parse_error").isNotNull()).alias("bad"))
+            store.write_batch(ev.process_events(observed), store_dir, batch_id)
+            if obs.get["bad"]:
+                ev.processor_errors(batch).write.mode("overwrite") \
+                    .parquet(f"{dead_letter_dir}/batch_id={batch_id}")
         finally:
             batch.unpersist()
 
