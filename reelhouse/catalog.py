@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from . import oracle
 from .operators import recommend
 from .plans.pipeline import bronze_from_files, medallion, without_run_time
-from .plans import realtime
+from .plans import realtime, sql_pack
+from .plans import reports as report_plan
 from .plans.quality_job import quality_outputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,6 +101,20 @@ def _catalog_stats(spark: SparkSession, sf: str) -> DataFrame:
     return recommend.catalog_stats(b["content_catalog"], b["users"])
 
 
+def _sql_report(name: str) -> Query:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        sql_pack.register_gold_views(medallion(spark, sf).gold)
+        return sql_pack.run_sql(spark, name)
+    return run
+
+
+def _mau_distinct(spark: SparkSession, sf: str) -> DataFrame:
+    return report_plan.mau_distinct(medallion(spark, sf).silver["user_watch_profile"])
+
+
+for _name in sql_pack.SQL:
+    QUERIES[f"sql_{_name}"] = _sql_report(_name)
+QUERIES["mau_distinct"] = _mau_distinct
 QUERIES["recommendations"] = _recommendations
 QUERIES["catalog_stats"] = _catalog_stats
 

@@ -470,8 +470,18 @@ FROM b_content""",
 }
 
 
+EXTRA = {
+    "mau_distinct": """
+SELECT CAST(date_trunc('month', watch_date) AS DATE) AS month,
+  count(DISTINCT user_id) AS monthly_active_users
+FROM profile GROUP BY 1""",
+}
+# The SQL-text form of the report pack has the same expected results.
+SQL_PACK = {f"sql_{name}": body for name, body in REPORTS.items()}
+
+
 def oracle_sql() -> dict[str, str]:
     out = {}
-    for name, body in {**MEDALLION, **REPORTS, **DQ, **EVENTS, **RECO}.items():
+    for name, body in {**MEDALLION, **REPORTS, **DQ, **EVENTS, **RECO, **EXTRA, **SQL_PACK}.items():
         out[name] = with_ctes(body)
     return out

@@ -137,6 +137,17 @@ def q10_executive(revenue: DataFrame) -> DataFrame:
     )
 
 
+def mau_distinct(profile: DataFrame) -> DataFrame:
+    """True monthly active users: distinct viewers per month (q02 sums daily
+    actives, i.e. counts user-days).  Reads the silver profile; the distinct
+    aggregate is de-duplicated map-side on (month, user)."""
+    return (
+        profile.groupBy(F.trunc("watch_date", "month").alias("month"))
+        .agg(F.count_distinct("user_id").alias("monthly_active_users"))
+        .orderBy(F.col("month").desc_nulls_last())
+    )
+
+
 REPORTS = {
     "q01_dau_last30": ("dau_metrics", q01_dau_last30),
     "q02_mau": ("dau_metrics", q02_mau),
