@@ -1,14 +1,19 @@
 """Keyed engagement store: append-only batches + a latest-by-key view.
 
 Parquet has no MERGE, so a micro-batch is written to its own
-``batch_id=<n>`` directory with overwrite: replaying a batch after a failure
-rewrites the same directory, so the store never double-counts.  Readers see
+``run=<r>/batch_id=<n>`` directory with overwrite: replaying a batch after a
+failure rewrites the same directory, so the store never double-counts.  ``r``
+identifies the writing stream by its checkpoint, so a stream started on a new
+checkpoint (whose batch ids restart at 0) cannot overwrite another run's
+batches.  Readers see
 one row per (user_id, processed_at) -- the latest write, ordered by event time
 then request id so the answer does not depend on how events were batched.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,8 +25,14 @@ STORE_COLUMNS = ["user_id", "processed_at", "content_id", "completion_pct", "wat
                  "notification_count", "request_id", "event_ts"]
 
 
-def write_batch(batch: DataFrame, store_dir: str, batch_id: int) -> None:
-    batch.select(*STORE_COLUMNS).write.mode("overwrite").parquet(f"{store_dir}/batch_id={batch_id}")
+def run_id(checkpoint_dir: str) -> str:
+    """Stable id of a stream: the same checkpoint always maps to the same id."""
+    return hashlib.sha1(checkpoint_dir.rstrip("/").encode()).hexdigest()[:16]
+
+
+def write_batch(batch: DataFrame, store_dir: str, batch_id: int, run: str) -> None:
+    batch.select(*STORE_COLUMNS).write.mode("overwrite") \
+        .parquet(f"{store_dir}/run={run}/batch_id={batch_id}")
 
 
 def read_store(spark: SparkSession, store_dir: str) -> DataFrame:
@@ -34,6 +45,45 @@ def latest(store: DataFrame) -> DataFrame:
     return latest_by_key(rows, STORE_KEY, ["event_ts", "request_id"])
 
 
+def compact(spark: SparkSession, store_dir: str, snapshot_dir: str) -> str:
+    """Materialise the latest-by-key view of all committed batches.
+
+    Written as a new version sorted by user within each file (row-group
+    statistics then prune per-user reads); then a marker table -- one row per
+    stream run with the last batch included -- is replaced, so readers never
+    see a half-written snapshot.  Returns the version name.
+    """
+    rows = read_store(spark, store_dir)
+    marker = rows.groupBy("run").agg(F.max("batch_id").alias("through_batch"))
+    marker_rows = marker.collect()            # one row per stream run (bounded)
+    if not marker_rows:
+        return ""
+    marker = spark.createDataFrame(marker_rows, "run string, through_batch int")
+    version = hashlib.sha1(repr(sorted(map(tuple, marker_rows))).encode()).hexdigest()[:16]
+    included = rows.join(F.broadcast(marker), "run").where(F.col("batch_id") <= F.col("through_batch"))
+    latest(included).sortWithinPartitions("user_id", "processed_at").write.mode("overwrite") \
+        .parquet(f"{snapshot_dir}/v={version}")
+    marker.withColumn("version", F.lit(version)).coalesce(1).write.mode("overwrite") \
+        .parquet(f"{snapshot_dir}/marker")
+    return version
+
+
+def read_latest(spark: SparkSession, store_dir: str, snapshot_dir: str | None = None) -> DataFrame:
+    """Latest-by-key view = last snapshot + batches written after it."""
+    rows = read_store(spark, store_dir)
+    if snapshot_dir is None:
+        return latest(rows)
+    try:
+        marker = spark.read.parquet(f"{snapshot_dir}/marker")
+        version = marker.select("version").first()["version"]
+    except Exception:  # no snapshot yet
+        return latest(rows)
+    snap = spark.read.parquet(f"{snapshot_dir}/v={version}").select(*STORE_COLUMNS)
+    newer = rows.join(F.broadcast(marker.drop("version")), "run", "left").where(
+        F.col("through_batch").isNull() | (F.col("batch_id") > F.col("through_batch")))
+    return latest(snap.unionByName(newer.select(*STORE_COLUMNS)))
+
+
 def events_of_user(view: DataFrame, user_id: str | F.Column) -> DataFrame:
     """All events of one user (partition-key query)."""
     return view.where(F.col("user_id") == user_id)

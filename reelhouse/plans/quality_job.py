@@ -4,14 +4,22 @@ Writes the report (append, partitioned by run date) and each table's
 quarantined rows (append, partitioned by run date) and returns the summary.
 With ``gate=True`` the job raises when any check failed, so a scheduler can
 stop the downstream stages.
+
+One scan per table: the per-check failure counts are collected as
+``Observation`` metrics while the quarantine is being written, so the largest
+table (events) is read once, not once for counting and again for the
+quarantine.  Only a uniqueness check reads its key column a second time (it
+needs a grouping the quarantine write does not do).  The report itself is the
+eleven resulting rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions import half_up
 from ..operators import quality
 from ..session import run_concurrently
 from ..sources.sinks import write_parquet
@@ -20,6 +28,7 @@ BRONZE_TABLES = ("users", "watch_events", "subscriptions")
 
 
 def quality_outputs(bronze: dict[str, DataFrame], run_time: str = "") -> dict[str, DataFrame]:
+    """Lazy report / summary / quarantine frames (one aggregation per table)."""
     checks = quality.default_checks()
     report = quality.check_report(bronze, checks, run_time)
     keys = {t: schemas.RAW[t][1] for t in BRONZE_TABLES}
@@ -30,29 +39,54 @@ def quality_outputs(bronze: dict[str, DataFrame], run_time: str = "") -> dict[st
     }
 
 
+def _table_job(df: DataFrame, table: str, checks: list, out: str, run_date: str):
+    row_checks = [c for c in checks if isinstance(c, quality.Check)]
+    uniques = [c for c in checks if isinstance(c, quality.UniqueCheck)]
+
+    def run() -> dict[str, int]:
+        obs = Observation(f"dq_{table}")
+        observed = df.observe(obs, F.count(F.lit(1)).alias("total"),
+                              *[F.count_if(c.failing).alias(c.name) for c in row_checks])
+        q = quality.quarantine(observed, row_checks).withColumn("run_date", F.lit(run_date))
+        written = write_parquet(q, f"{out}/failed_records/{table}", mode="append",
+                                partition_by=["run_date"])
+        counts = {k: int(v) for k, v in obs.get.items()}
+        counts["_quarantined"] = written
+        for u in uniques:
+            # distinct keys, NULL counted as a value (as select(k).distinct().count())
+            keys = df.groupBy(u.key).agg(F.count(F.lit(1))).count()
+            counts[u.name] = counts["total"] - keys
+        return counts
+    return run
+
+
 def run(spark: SparkSession, bronze_dir: str, dq_dir: str, run_time: str,
         gate: bool = False) -> dict:
     run_date = run_time[:10]
     bronze = {t: spark.read.parquet(f"{bronze_dir}/{t}") for t in BRONZE_TABLES}
     checks = quality.default_checks()
-    report = quality.check_report(bronze, checks, run_time).withColumn("run_date", F.lit(run_date))
     by_table: dict[str, list] = {}
     for c in checks:
         by_table.setdefault(c.table, []).append(c)
-    jobs = {"_report": lambda: write_parquet(report, f"{dq_dir}/reports", mode="append",
-                                             partition_by=["run_date"])}
-    for table, chs in by_table.items():
-        q = quality.quarantine(bronze[table], chs).withColumn("run_date", F.lit(run_date))
-        jobs[table] = (lambda d=q, t=table: write_parquet(
-            d, f"{dq_dir}/failed_records/{t}", mode="append", partition_by=["run_date"]))
-    counts = run_concurrently(jobs)
-    counts.pop("_report")
-    quarantined = counts
-    # The 11-row report is materialised once; summary and gate read the written copy.
+    counts = run_concurrently({t: _table_job(bronze[t], t, chs, dq_dir, run_date)
+                               for t, chs in by_table.items()})
+    rows = [(i, c.name, c.table, counts[c.table]["total"], counts[c.table][c.name])
+            for i, c in enumerate(checks)]
+    raw = spark.createDataFrame(rows, "check_order int, check_name string, table string, "
+                                      "total long, failed long")
+    report = raw.select(
+        "check_name", "table", F.col("total").alias("total_records"),
+        (F.col("total") - F.col("failed")).alias("passed"), "failed",
+        F.when(F.col("total") > 0, half_up("(total - failed) * 100", "total", 1))
+        .alias("pass_rate_pct"),
+        F.when(F.col("failed") == 0, "PASS").otherwise("FAIL").alias("status"),
+        F.lit(run_time).alias("run_time"), "check_order", F.lit(run_date).alias("run_date"),
+    )
+    write_parquet(report.coalesce(1), f"{dq_dir}/reports", mode="append", partition_by=["run_date"])
     written = spark.read.parquet(f"{dq_dir}/reports").where(F.col("run_date") == run_date) \
         .where(F.col("run_time") == run_time)
     result = quality.summary(written).first().asDict()
-    result["quarantined_rows"] = quarantined
+    result["quarantined_rows"] = {t: counts[t]["_quarantined"] for t in by_table}
     if gate:
         quality.gate(written)
     return result

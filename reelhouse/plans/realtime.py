@@ -67,7 +67,7 @@ def store_outputs(spark: SparkSession, store_dir: str) -> dict[str, DataFrame]:
     view = store.latest(rows)
     top = store.busiest_user(view)
     return {
-        "engagement_store": rows.drop("batch_id"),
+        "engagement_store": rows.drop("batch_id", "run"),
         "engagement_latest": view,
         "engagement_by_user": store.events_of_user(view, top),
         "engagement_range": store.events_in_range(view, top, "2024-02-01 00:00:00",

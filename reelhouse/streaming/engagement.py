@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import events as ev
+from ..operators.dedupe import dedupe_by_key
 from ..operators import store
 
 
@@ -28,12 +29,17 @@ def parsed_events(messages: DataFrame) -> DataFrame:
     return ev.extract_fields(ev.parse_envelopes(messages))
 
 
+def _dedupe_key():
+    """Event id, or a digest of the message for events without one."""
+    return F.coalesce(F.col("event_id"),
+                      F.sha2(F.concat_ws("\u0001", F.to_json("p"), F.col("raw")), 256))
+
+
 def with_dedupe(parsed: DataFrame, delay: str) -> DataFrame:
-    """Drop repeated deliveries of one event within ``delay`` of event time."""
-    key = F.coalesce(F.col("event_id"),
-                     F.sha2(F.concat_ws("\u0001", F.to_json("p"), F.col("raw")), 256))
+    """Drop repeated deliveries of one event within ``delay`` of event time
+    (streaming state; exact across micro-batches inside the window)."""
     wm = F.coalesce(F.col("event_ts").cast("timestamp"), F.current_timestamp())
-    return (parsed.withColumns({"_dedupe_key": key, "_wm": wm})
+    return (parsed.withColumns({"_dedupe_key": _dedupe_key(), "_wm": wm})
             .withWatermark("_wm", delay)
             .dropDuplicatesWithinWatermark(["_dedupe_key"])
             .drop("_dedupe_key", "_wm"))
@@ -52,24 +58,40 @@ def message_stream(spark: SparkSession, source_dir: str,
 def run_engagement_stream(spark: SparkSession, source_dir: str, store_dir: str,
                           dead_letter_dir: str, checkpoint_dir: str,
                           dedupe_delay: str | None = "1 hour",
+                          dedupe: str = "watermark",
                           max_files_per_trigger: int | None = None,
                           available_now: bool = True, timeout_s: float | None = None):
-    """Start the stream; with ``available_now`` run to the end of the input."""
+    """Start the stream; with ``available_now`` run to the end of the input.
+
+    ``dedupe``: ``"watermark"`` keeps seen event ids in state for
+    ``dedupe_delay`` of event time (exact across batches).  ``"batch"`` is
+    stateless: repeats inside a micro-batch are removed by a grouped aggregate
+    whose map-side combine collapses even a flood of copies of one event
+    before the shuffle; repeats across batches are collapsed by the store's
+    latest-by-key view.  (The stateful operator has no map-side combine, so
+    the batch mode is the one to use when single events can be re-delivered
+    in bulk.)  ``"none"`` relies on the store view alone.
+    """
     parsed = parsed_events(message_stream(spark, source_dir, max_files_per_trigger))
-    if dedupe_delay:
+    if dedupe == "watermark" and dedupe_delay:
         parsed = with_dedupe(parsed, dedupe_delay)
 
+    run = store.run_id(checkpoint_dir)
+
     def sink(batch: DataFrame, batch_id: int) -> None:
         # Parse failures are counted while the store batch is written; the
         # (rare) dead-letter write then reads the cached batch only if needed.
+        if dedupe == "batch":
+            batch = dedupe_by_key(batch.withColumn("_dedupe_key", _dedupe_key()),
+                                  "_dedupe_key").drop("_dedupe_key")
         batch = batch.persist()
         try:
             obs = Observation()
             observed = batch.observe(obs, F.count_if(F.col("parse_error").isNotNull()).alias("bad"))
-            store.write_batch(ev.process_events(observed), store_dir, batch_id)
+            store.write_batch(ev.process_events(observed), store_dir, batch_id, run)
             if obs.get["bad"]:
                 ev.processor_errors(batch).write.mode("overwrite") \
-                    .parquet(f"{dead_letter_dir}/batch_id={batch_id}")
+                    .parquet(f"{dead_letter_dir}/run={run}/batch_id={batch_id}")
         finally:
             batch.unpersist()
 

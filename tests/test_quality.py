@@ -89,3 +89,17 @@ def test_quality_job_writes_report_and_quarantine(spark, tmp_dir):
     q = spark.read.parquet(f"{tmp_dir}/dq/failed_records/users")
     assert q.count() == res["quarantined_rows"]["users"] > 0
     assert "failed_checks" in q.columns
+
+
+def test_single_pass_job_report_equals_lazy_report(spark, tmp_dir):
+    from reelhouse.plans import quality_job
+    from reelhouse.sources.sinks import write_parquet
+    bronze = medallion(spark, SF01, "t").bronze
+    for t in ("users", "watch_events", "subscriptions"):
+        write_parquet(bronze[t], f"{tmp_dir}/bronze/{t}")
+    quality_job.run(spark, f"{tmp_dir}/bronze", f"{tmp_dir}/dq", "2026-01-02 03:04:05")
+    cols = ["check_name", "table", "total_records", "passed", "failed", "pass_rate_pct", "status",
+            "check_order"]
+    job = spark.read.parquet(f"{tmp_dir}/dq/reports").select(*cols)
+    lazy = quality_outputs(bronze, "x")["dq_report"].select(*cols)
+    assert job.exceptAll(lazy).count() == 0 and lazy.exceptAll(job).count() == 0

@@ -42,6 +42,7 @@ def test_replay_is_idempotent(spark, tmp_dir):
     # restart on the same checkpoint: nothing new is processed
     run_engagement_stream(spark, *args, dedupe_delay=None)
     assert store.read_store(spark, f"{tmp_dir}/store").select("batch_id").distinct().count() == 3
+    assert store.read_store(spark, f"{tmp_dir}/store").select("run").distinct().count() == 1
     # a full replay (new checkpoint, same store) rewrites the same batch directories
     run_engagement_stream(spark, f"{tmp_dir}/feed", f"{tmp_dir}/store", f"{tmp_dir}/dead",
                           f"{tmp_dir}/ckpt2", dedupe_delay=None, max_files_per_trigger=1)
@@ -74,3 +75,23 @@ def test_store_reads(spark):
     assert rng.where(~F.col("processed_at").startswith("2024-02")).count() == 0
     hi = store.high_engagement_users(view)
     assert hi.count() == view.where("engagement_level = 'HIGH'").select("user_id").distinct().count()
+
+
+def test_batch_dedupe_mode_and_compaction(spark, tmp_dir):
+    land_feed(realtime.feed(spark, SF001), f"{tmp_dir}/feed", files=4)
+    args = (f"{tmp_dir}/feed", f"{tmp_dir}/store", f"{tmp_dir}/dead", f"{tmp_dir}/ckpt")
+    run_engagement_stream(spark, *args, dedupe="batch", max_files_per_trigger=2)
+    rows = store.read_store(spark, f"{tmp_dir}/store")
+    per_batch = rows.groupBy("batch_id", "request_id").count().where("count > 1").count()
+    assert per_batch == 0                                   # no repeats inside a batch
+    assert _same(store.latest(rows), _batch_latest(spark))
+    # compact after the first run, then append more batches and read through the snapshot
+    version = store.compact(spark, f"{tmp_dir}/store", f"{tmp_dir}/snap")
+    assert version
+    land_feed(realtime.feed(spark, SF001), f"{tmp_dir}/feed2", files=2)
+    run_engagement_stream(spark, f"{tmp_dir}/feed2", f"{tmp_dir}/store", f"{tmp_dir}/dead",
+                          f"{tmp_dir}/ckpt2", dedupe="none")
+    # the second checkpoint numbers its batches from 0 again, under its own run id
+    assert store.read_store(spark, f"{tmp_dir}/store").select("run").distinct().count() == 2
+    view = store.read_latest(spark, f"{tmp_dir}/store", f"{tmp_dir}/snap")
+    assert _same(view, _batch_latest(spark))
