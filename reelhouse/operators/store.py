@@ -99,6 +99,8 @@ def high_engagement_users(view: DataFrame) -> DataFrame:
 
 
 def busiest_user(view: DataFrame) -> F.Column:
-    """Scalar subquery: the user with the most stored events (ties: smallest id)."""
-    counts = view.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    """Scalar subquery: the user with the most stored events (ties: smallest
+    id), ignoring the UNKNOWN sentinel of events without a user."""
+    counts = view.where(F.col("user_id") != "UNKNOWN").groupBy("user_id") \
+        .agg(F.count(F.lit(1)).alias("n"))
     return counts.select(F.min_by("user_id", F.struct(-F.col("n"), F.col("user_id")))).scalar()

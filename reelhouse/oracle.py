@@ -370,7 +370,8 @@ SELECT * EXCLUDE (rn) FROM (
                                ORDER BY event_ts DESC, request_id DESC) AS rn
   FROM store_rows) WHERE rn = 1""",
     "top_user": """
-SELECT user_id FROM (SELECT user_id, count(*) AS n FROM latest GROUP BY user_id)
+SELECT user_id FROM (SELECT user_id, count(*) AS n FROM latest WHERE user_id != 'UNKNOWN'
+                     GROUP BY user_id)
 ORDER BY n DESC, user_id ASC LIMIT 1""",
 })
 ORDER.extend(["ev_base", "ev_proc", "processed", "validated", "scored", "store_rows", "latest",
