@@ -2,7 +2,6 @@ import contextlib
 import io
 
 import pytest
-from pyspark.sql import functions as F
 
 from reelhouse.functions import (age_group, avg_half_up, engagement_score, half_up,
                                  register_sql_functions, share_pct)
