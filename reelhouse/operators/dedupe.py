@@ -21,13 +21,15 @@ from pyspark.sql import functions as F
 def dedupe_by_key(df: DataFrame, keys: str | Sequence[str],
                   order_by: Sequence[str] = (), keep: str = "first") -> DataFrame:
     keys = [keys] if isinstance(keys, str) else list(keys)
+    columns = df.columns
     order = [c for c in order_by if c not in keys]
-    rest = [c for c in df.columns if c not in keys and c not in order]
+    rest = [c for c in columns if c not in keys and c not in order]
     if not order and not rest:
         return df.select(*keys).distinct()
-    packed = F.struct(*order, *rest)
-    pick = F.min(packed) if keep == "first" else F.max(packed)
-    return df.groupBy(*keys).agg(pick.alias("_row")).select(*keys, "_row.*").select(*df.columns)
+    packed = "struct(" + ", ".join(f"`{c}`" for c in order + rest) + ")"
+    pick = F.expr(f"{'min' if keep == 'first' else 'max'}({packed})").alias("_row")
+    out = df.groupBy(*keys).agg(pick).selectExpr(*[f"`{k}`" for k in keys], "_row.*")
+    return out.selectExpr(*[f"`{c}`" for c in columns])
 
 
 def latest_by_key(df: DataFrame, keys: str | Sequence[str], order_by: Sequence[str]) -> DataFrame:

@@ -19,14 +19,17 @@ from ..sources.sinks import write_parquet
 
 
 def typed(df: DataFrame, table: str) -> DataFrame:
+    """Cast every column to its declared type with ``try_cast`` (as SQL text:
+    one expression list instead of a chain of column-object calls)."""
     schema, _ = schemas.RAW[table]
-    cols = []
+    have = {f.name: f.dataType for f in df.schema.fields}   # one schema round-trip
+    exprs = []
     for f in schema.fields:
-        c = F.col(f.name)
-        if df.schema[f.name].dataType != f.dataType:
-            c = c.try_cast(f.dataType)
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+        if have[f.name] != f.dataType:
+            exprs.append(f"try_cast(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`")
+        else:
+            exprs.append(f"`{f.name}`")
+    return df.selectExpr(*exprs)
 
 
 def to_bronze(df: DataFrame, table: str, ingestion_time: str) -> DataFrame:
