@@ -103,3 +103,15 @@ def test_single_pass_job_report_equals_lazy_report(spark, tmp_dir):
     job = spark.read.parquet(f"{tmp_dir}/dq/reports").select(*cols)
     lazy = quality_outputs(bronze, "x")["dq_report"].select(*cols)
     assert job.exceptAll(lazy).count() == 0 and lazy.exceptAll(job).count() == 0
+
+
+def test_quality_job_gate(spark, tmp_dir):
+    from reelhouse.plans import quality_job
+    from reelhouse.sources.sinks import write_parquet
+    bronze = medallion(spark, SF01, "t").bronze
+    for t in ("users", "watch_events", "subscriptions"):
+        write_parquet(bronze[t], f"{tmp_dir}/bronze/{t}")
+    with pytest.raises(quality.QualityGateError):
+        quality_job.run(spark, f"{tmp_dir}/bronze", f"{tmp_dir}/dq", "2026-01-02 03:04:05", gate=True)
+    res = quality_job.run(spark, f"{tmp_dir}/bronze", f"{tmp_dir}/dq2", "2026-01-02 03:04:05")
+    assert (res["total_checks"], res["passed_checks"], res["failed_checks"]) == (11, 2, 9)
