@@ -2,7 +2,8 @@
 
 Every entry reads the provided tables (through the domain derivation) over
 their full extent; nothing is sampled or capped except where a LIMIT is the
-feature of the report.
+feature of the report.  Wall-clock stamp columns are dropped so outputs can
+be compared between runs and engines.
 """
 
 from __future__ import annotations
@@ -13,52 +14,40 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import oracle
 from .operators import recommend
-from .plans.pipeline import bronze_from_files, medallion, without_run_time
 from .plans import realtime, sql_pack
 from .plans import reports as report_plan
+from .plans.pipeline import bronze_from_files, medallion, without_run_time
 from .plans.quality_job import quality_outputs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _bronze(table: str) -> Query:
+    """Land the derived raw table as files, then ingest it through the file scan."""
     return lambda spark, sf: without_run_time(bronze_from_files(spark, sf, table))
 
 
 def _layer(layer: str, name: str) -> Query:
-    def run(spark: SparkSession, sf: str) -> DataFrame:
-        m = medallion(spark, sf)
-        return without_run_time(getattr(m, layer)[name])
-    return run
+    return lambda spark, sf: without_run_time(getattr(medallion(spark, sf), layer)[name])
 
 
 def _report(name: str) -> Query:
     return lambda spark, sf: medallion(spark, sf).reports()[name]
 
 
-QUERIES: dict[str, Query] = {
-    "bronze_users": _bronze("users"),
-    "bronze_subscriptions": _bronze("subscriptions"),
-    "bronze_content": _bronze("content_catalog"),
-    "bronze_watch_events": _bronze("watch_events"),
-    "user_watch_profile": _layer("silver", "user_watch_profile"),
-    "content_performance": _layer("silver", "content_performance"),
-    "dau_metrics": _layer("gold", "dau_metrics"),
-    "revenue_summary": _layer("gold", "revenue_summary"),
-    "top_content": _layer("gold", "top_content"),
-    "device_analytics": _layer("gold", "device_analytics"),
-}
-for _name in oracle.REPORTS:
-    QUERIES[_name] = _report(_name)
-
+def _sql_report(name: str) -> Query:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        sql_pack.register_gold_views(medallion(spark, sf).gold)
+        return sql_pack.run_sql(spark, name)
+    return run
 
-def _dq(name: str) -> Query:
-    return lambda spark, sf: without_run_time(quality_outputs(medallion(spark, sf).bronze)[name])
 
+def _mau_distinct(spark: SparkSession, sf: str) -> DataFrame:
+    return report_plan.mau_distinct(medallion(spark, sf).silver["user_watch_profile"])
 
-for _name in ("dq_report", "dq_quarantine", "dq_summary"):
-    QUERIES[_name] = _dq(_name)
 
+def _dq(name: str) -> Query:
+    return lambda spark, sf: without_run_time(quality_outputs(medallion(spark, sf).bronze)[name])
 
 
 def _event_processed(spark: SparkSession, sf: str) -> DataFrame:
@@ -66,6 +55,7 @@ def _event_processed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _state(name: str) -> Query:
+    """validate -> score -> route stages; nested/raw columns flattened for comparison."""
     def run(spark: SparkSession, sf: str) -> DataFrame:
         out = realtime.state_machine(spark, sf)[name]
         if name == "event_routed":
@@ -78,20 +68,12 @@ def _state(name: str) -> Query:
 
 
 def _store(name: str) -> Query:
+    """Replay the message feed through the stream into a fresh store, then read it."""
     def run(spark: SparkSession, sf: str) -> DataFrame:
         return realtime.store_outputs(spark, realtime.stream_store(spark, sf))[name]
     return run
 
 
-QUERIES["event_processed"] = _event_processed
-for _name in ("event_validated", "event_scored", "event_routed", "event_errors"):
-    QUERIES[_name] = _state(_name)
-for _name in ("engagement_store", "engagement_latest", "engagement_by_user", "engagement_range",
-              "engagement_high_users"):
-    QUERIES[_name] = _store(_name)
-
-
-
 def _recommendations(spark: SparkSession, sf: str) -> DataFrame:
     return recommend.recommend(medallion(spark, sf).bronze["users"])
 
@@ -101,21 +83,36 @@ def _catalog_stats(spark: SparkSession, sf: str) -> DataFrame:
     return recommend.catalog_stats(b["content_catalog"], b["users"])
 
 
-def _sql_report(name: str) -> Query:
-    def run(spark: SparkSession, sf: str) -> DataFrame:
-        sql_pack.register_gold_views(medallion(spark, sf).gold)
-        return sql_pack.run_sql(spark, name)
-    return run
-
-
-def _mau_distinct(spark: SparkSession, sf: str) -> DataFrame:
-    return report_plan.mau_distinct(medallion(spark, sf).silver["user_watch_profile"])
-
-
-for _name in sql_pack.SQL:
-    QUERIES[f"sql_{_name}"] = _sql_report(_name)
-QUERIES["mau_distinct"] = _mau_distinct
-QUERIES["recommendations"] = _recommendations
-QUERIES["catalog_stats"] = _catalog_stats
+QUERIES: dict[str, Query] = {
+    # bronze (file ingest), silver, gold
+    "bronze_users": _bronze("users"),
+    "bronze_subscriptions": _bronze("subscriptions"),
+    "bronze_content": _bronze("content_catalog"),
+    "bronze_watch_events": _bronze("watch_events"),
+    "user_watch_profile": _layer("silver", "user_watch_profile"),
+    "content_performance": _layer("silver", "content_performance"),
+    "dau_metrics": _layer("gold", "dau_metrics"),
+    "revenue_summary": _layer("gold", "revenue_summary"),
+    "top_content": _layer("gold", "top_content"),
+    "device_analytics": _layer("gold", "device_analytics"),
+    # report pack: DataFrame form, SQL-text form, distinct monthly users
+    **{name: _report(name) for name in report_plan.REPORTS},
+    **{f"sql_{name}": _sql_report(name) for name in sql_pack.SQL},
+    "mau_distinct": _mau_distinct,
+    # data quality
+    "dq_report": _dq("dq_report"),
+    "dq_quarantine": _dq("dq_quarantine"),
+    "dq_summary": _dq("dq_summary"),
+    # event path (batch form) and the streamed engagement store
+    "event_processed": _event_processed,
+    **{name: _state(name) for name in
+       ("event_validated", "event_scored", "event_routed", "event_errors")},
+    **{name: _store(name) for name in
+       ("engagement_store", "engagement_latest", "engagement_by_user", "engagement_range",
+        "engagement_high_users")},
+    # recommendations
+    "recommendations": _recommendations,
+    "catalog_stats": _catalog_stats,
+}
 
 ORACLE: dict[str, str] = oracle.oracle_sql()
