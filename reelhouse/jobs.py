@@ -34,6 +34,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--continuous", action="store_true")
     ap.add_argument("--limit", type=int, default=5)
     ap.add_argument("--dedupe-delay", default="1 hour")
+    ap.add_argument("--dedupe", choices=["watermark", "batch", "none"], default="watermark")
     a = ap.parse_args(argv)
 
     spark = build_session(app_name=f"reelhouse-{a.job}")
@@ -60,7 +61,9 @@ def main(argv: list[str] | None = None) -> None:
         from .streaming.engagement import run_engagement_stream
         q = run_engagement_stream(spark, a.source, f"{out}/engagement/store",
                                   f"{out}/engagement/dead_letters", f"{out}/engagement/checkpoint",
-                                  dedupe_delay=a.dedupe_delay, available_now=not a.continuous)
+                                  dedupe_delay=a.dedupe_delay, dedupe=a.dedupe,
+                                  available_now=not a.continuous,
+                                  routed_dir=f"{out}/engagement/state_machine")
         if a.continuous:
             q.awaitTermination()
         result = {"stream": "done"}

@@ -60,7 +60,8 @@ def run_engagement_stream(spark: SparkSession, source_dir: str, store_dir: str,
                           dedupe_delay: str | None = "1 hour",
                           dedupe: str = "watermark",
                           max_files_per_trigger: int | None = None,
-                          available_now: bool = True, timeout_s: float | None = None):
+                          available_now: bool = True, timeout_s: float | None = None,
+                          routed_dir: str | None = None):
     """Start the stream; with ``available_now`` run to the end of the input.
 
     ``dedupe``: ``"watermark"`` keeps seen event ids in state for
@@ -71,6 +72,10 @@ def run_engagement_stream(spark: SparkSession, source_dir: str, store_dir: str,
     latest-by-key view.  (The stateful operator has no map-side combine, so
     the batch mode is the one to use when single events can be re-delivered
     in bulk.)  ``"none"`` relies on the store view alone.
+
+    With ``routed_dir`` each batch also runs validate -> score -> route and
+    writes ``routed/`` (partitioned by action) and ``rejected/`` (validation
+    and processing errors) under ``run=<r>/batch_id=<n>``.
     """
     parsed = parsed_events(message_stream(spark, source_dir, max_files_per_trigger))
     if dedupe == "watermark" and dedupe_delay:
@@ -92,6 +97,12 @@ def run_engagement_stream(spark: SparkSession, source_dir: str, store_dir: str,
             if obs.get["bad"]:
                 ev.processor_errors(batch).write.mode("overwrite") \
                     .parquet(f"{dead_letter_dir}/run={run}/batch_id={batch_id}")
+            if routed_dir:
+                routed, rejected = ev.state_machine(batch)
+                routed.write.mode("overwrite").partitionBy("action") \
+                    .parquet(f"{routed_dir}/routed/run={run}/batch_id={batch_id}")
+                rejected.write.mode("overwrite") \
+                    .parquet(f"{routed_dir}/rejected/run={run}/batch_id={batch_id}")
         finally:
             batch.unpersist()
 

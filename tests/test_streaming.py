@@ -95,3 +95,17 @@ def test_batch_dedupe_mode_and_compaction(spark, tmp_dir):
     assert store.read_store(spark, f"{tmp_dir}/store").select("run").distinct().count() == 2
     view = store.read_latest(spark, f"{tmp_dir}/store", f"{tmp_dir}/snap")
     assert _same(view, _batch_latest(spark))
+
+
+def test_stream_routes_like_batch(spark, tmp_dir):
+    land_feed(realtime.feed(spark, SF001), f"{tmp_dir}/feed", files=4)
+    run_engagement_stream(spark, f"{tmp_dir}/feed", f"{tmp_dir}/store", f"{tmp_dir}/dead",
+                          f"{tmp_dir}/ckpt", dedupe="none", max_files_per_trigger=2,
+                          routed_dir=f"{tmp_dir}/sm")
+    streamed = spark.read.parquet(f"{tmp_dir}/sm/routed").select(
+        "action", "message", "engagement_score", "data.event_id", "data.user_id")
+    routed, rejected = ev.state_machine(ev.parse_envelopes(realtime.feed(spark, SF001)))
+    batch = routed.select("action", "message", "engagement_score", "data.event_id", "data.user_id")
+    assert _same(streamed, batch)
+    s_rej = spark.read.parquet(f"{tmp_dir}/sm/rejected").select("request_id", "error", "detail")
+    assert _same(s_rej, rejected.select("request_id", "error", "detail"))
