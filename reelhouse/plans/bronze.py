@@ -20,7 +20,8 @@ from ..sources.sinks import write_parquet
 
 def typed(df: DataFrame, table: str) -> DataFrame:
     """Cast every column to its declared type with ``try_cast`` (as SQL text:
-    one expression list instead of a chain of column-object calls)."""
+    one expression list instead of a chain of column-object calls).  Columns
+    outside the declared schema (lineage such as ``source_path``) pass through."""
     schema, _ = schemas.RAW[table]
     have = {f.name: f.dataType for f in df.schema.fields}   # one schema round-trip
     exprs = []
@@ -29,6 +30,8 @@ def typed(df: DataFrame, table: str) -> DataFrame:
             exprs.append(f"try_cast(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`")
         else:
             exprs.append(f"`{f.name}`")
+    declared = set(schema.fieldNames())
+    exprs += [f"`{c}`" for c in have if c not in declared]
     return df.selectExpr(*exprs)
 
 
@@ -54,12 +57,14 @@ def bronze_tables(raw: dict[str, DataFrame], ingestion_time: str) -> dict[str, D
 
 def ingest_files(spark: SparkSession, raw_dir: str, ingestion_time: str,
                  multiline_json: bool = False) -> dict[str, DataFrame]:
-    """Bronze frames straight from landed raw files under ``raw_dir/<table>``."""
-    return {
-        t: to_bronze(files.read_raw(spark, f"{raw_dir}/{t}", t, multiline=multiline_json), t,
-                     ingestion_time)
-        for t in schemas.RAW
-    }
+    """Bronze frames straight from landed raw files under ``raw_dir/<table>``,
+    with ``source_path``: the file each surviving row was read from."""
+    out = {}
+    for t in schemas.RAW:
+        raw = files.read_raw(spark, f"{raw_dir}/{t}", t, multiline=multiline_json)
+        raw = raw.withColumn("source_path", files.source_file_column())
+        out[t] = to_bronze(raw, t, ingestion_time)
+    return out
 
 
 def run(spark: SparkSession, raw_dir: str, bronze_dir: str, ingestion_time: str) -> dict[str, int]:

@@ -94,6 +94,7 @@ def test_land_and_ingest_roundtrip(spark, tmp_dir):
     frames = bronze.ingest_files(spark, tmp_dir, "t0")
     mem = medallion(spark, SF001, "t0").bronze
     for t in frames:
-        a = frames[t].drop("ingestion_timestamp")
+        assert frames[t].where("source_path IS NULL").count() == 0
+        a = frames[t].drop("ingestion_timestamp", "source_path")
         b = mem[t].drop("ingestion_timestamp")
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, t
