@@ -67,6 +67,8 @@ def build_session(
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     apply_runtime_conf(spark)
+    from .functions.sql import register_sql_functions
+    register_sql_functions(spark)       # age_group(), engagement_level(), engagement_score()
     return spark
 
 
