@@ -130,3 +130,17 @@ def test_first_failing_rule_wins(spark):
     event = dict(EVENT, completion_pct=120, watched_mins=-5, user_id="UNKNOWN")
     _, errors = ev.state_machine(run(spark, [json.dumps({"body": json.dumps(event)})]))
     assert errors.first()["detail"].startswith("Invalid completion_pct")
+
+
+def test_nan_completion(spark):
+    # processor: NaN never counts as HIGH / binge / reward
+    out = processed(spark, [json.dumps({"queryStringParameters": {"user_id": "u", "completion_pct": "NaN",
+                                                                  "watched_mins": "10"}})])
+    r = out[0]
+    assert (r["engagement_level"], r["is_binge_watcher"], r["is_engaged"], r["notification_count"]) == \
+        ("LOW", False, False, 0)
+    # validator: NaN is out of range
+    msg = json.dumps({"body": json.dumps(dict(EVENT, completion_pct="NaN"))})
+    routed, errors = ev.state_machine(run(spark, [msg]))
+    assert routed.count() == 0
+    assert errors.first()["detail"].startswith("Invalid completion_pct: NaN")
