@@ -6,6 +6,7 @@
     python -m reelhouse.jobs data-quality    --out DIR [--gate]
     python -m reelhouse.jobs reports         --out DIR [--name q01_dau_last30]
     python -m reelhouse.jobs stream          --source DIR --out DIR [--continuous]
+    python -m reelhouse.jobs compact         --out DIR
     python -m reelhouse.jobs recommend       --out DIR [--limit 5]
 
 ``--out`` is the lake root holding ``bronze/ silver/ gold/ dq/ engagement/``.
@@ -25,7 +26,7 @@ from .session import build_session
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="reelhouse.jobs")
     ap.add_argument("job", choices=["raw-to-bronze", "bronze-to-silver", "silver-to-gold",
-                                    "data-quality", "reports", "stream", "recommend"])
+                                    "data-quality", "reports", "stream", "compact", "recommend"])
     ap.add_argument("--raw")
     ap.add_argument("--source")
     ap.add_argument("--out", required=True)
@@ -67,6 +68,10 @@ def main(argv: list[str] | None = None) -> None:
         if a.continuous:
             q.awaitTermination()
         result = {"stream": "done"}
+    elif a.job == "compact":
+        from .operators import store
+        result = {"snapshot": store.compact(spark, f"{out}/engagement/store",
+                                            f"{out}/engagement/snapshot")}
     else:
         from .operators.recommend import recommend
         from .sources.sinks import write_parquet
