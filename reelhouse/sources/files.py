@@ -30,7 +30,11 @@ def read_raw(spark: SparkSession, path: str, table: str, fmt: str | None = None,
     fmt = fmt or FILE_FORMAT[table]
     reader = spark.read.schema(schemas.as_strings(typed))
     if fmt == "csv":
-        return reader.option("header", True).option("mode", "PERMISSIVE").csv(path)
+        # enforceSchema=false: the header is checked against the declared
+        # names, so a file with reordered columns fails instead of loading
+        # values into the wrong columns by position.
+        return (reader.option("header", True).option("enforceSchema", False)
+                .option("mode", "PERMISSIVE").csv(path))
     if fmt == "json":
         return reader.option("multiLine", multiline).option("mode", "PERMISSIVE").json(path)
     raise ValueError(f"unsupported raw format {fmt!r}")

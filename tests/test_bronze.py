@@ -98,3 +98,11 @@ def test_land_and_ingest_roundtrip(spark, tmp_dir):
         a = frames[t].drop("ingestion_timestamp", "source_path")
         b = mem[t].drop("ingestion_timestamp")
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, t
+
+
+def test_csv_header_order_is_checked(spark, tmp_dir):
+    import pytest
+    swapped = USERS_CSV.replace("user_id,name,", "name,user_id,", 1)
+    _write(f"{tmp_dir}/users/users.csv", swapped)
+    with pytest.raises(Exception):
+        files.read_raw(spark, f"{tmp_dir}/users", "users").collect()
