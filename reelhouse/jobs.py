@@ -35,7 +35,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--continuous", action="store_true")
     ap.add_argument("--limit", type=int, default=5)
     ap.add_argument("--dedupe-delay", default="1 hour")
-    ap.add_argument("--dedupe", choices=["watermark", "batch", "none"], default="watermark")
+    ap.add_argument("--dedupe", choices=["watermark", "state", "batch", "none"], default="watermark")
     a = ap.parse_args(argv)
 
     spark = build_session(app_name=f"reelhouse-{a.job}")

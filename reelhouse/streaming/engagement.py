@@ -35,9 +35,35 @@ def _dedupe_key():
                       F.sha2(F.concat_ws("\u0001", F.to_json("p"), F.col("raw")), 256))
 
 
+def with_dedupe_combined(parsed: DataFrame, delay: str, window: str = "1 hour") -> DataFrame:
+    """Repeated deliveries removed by a streaming aggregation (update mode).
+
+    Groups are (event id, event-time window): copies of one event share its
+    event time, so they meet in one group, and the watermark evicts a group's
+    state once its window is older than ``delay``.  Unlike the stateful
+    de-duplication operator, a streaming aggregation combines map-side before
+    the shuffle, so a flood of copies of one event is collapsed inside each
+    map task.  ``current_timestamp()`` is constant within a micro-batch (and
+    restored on replay), so ``_first == _last`` marks a key whose first
+    delivery is in the current batch; ``first_deliveries`` keeps those.
+    """
+    cols = parsed.columns
+    wm = F.coalesce(F.col("event_ts").cast("timestamp"), F.current_timestamp())
+    return (parsed.withColumns({"_dedupe_key": _dedupe_key(), "_wm": wm,
+                                "_seen": F.current_timestamp()})
+            .withWatermark("_wm", delay)
+            .groupBy("_dedupe_key", F.window("_wm", window))
+            .agg(F.min(F.struct(*cols)).alias("_row"), F.min("_seen").alias("_first"),
+                 F.max("_seen").alias("_last")))
+
+
+def first_deliveries(batch: DataFrame) -> DataFrame:
+    return batch.where(F.col("_first") == F.col("_last")).select("_row.*")
+
+
 def with_dedupe(parsed: DataFrame, delay: str) -> DataFrame:
     """Drop repeated deliveries of one event within ``delay`` of event time
-    (streaming state; exact across micro-batches inside the window)."""
+    with Spark's stateful de-duplication operator (no map-side combine)."""
     wm = F.coalesce(F.col("event_ts").cast("timestamp"), F.current_timestamp())
     return (parsed.withColumns({"_dedupe_key": _dedupe_key(), "_wm": wm})
             .withWatermark("_wm", delay)
@@ -64,21 +90,24 @@ def run_engagement_stream(spark: SparkSession, source_dir: str, store_dir: str,
                           routed_dir: str | None = None):
     """Start the stream; with ``available_now`` run to the end of the input.
 
-    ``dedupe``: ``"watermark"`` keeps seen event ids in state for
-    ``dedupe_delay`` of event time (exact across batches).  ``"batch"`` is
-    stateless: repeats inside a micro-batch are removed by a grouped aggregate
-    whose map-side combine collapses even a flood of copies of one event
-    before the shuffle; repeats across batches are collapsed by the store's
-    latest-by-key view.  (The stateful operator has no map-side combine, so
-    the batch mode is the one to use when single events can be re-delivered
-    in bulk.)  ``"none"`` relies on the store view alone.
+    ``dedupe``: ``"watermark"`` (default) keeps one row per event id for
+    ``dedupe_delay`` of event time, exact across batches, via a streaming
+    aggregation that combines copies map-side (``with_dedupe_combined``).
+    ``"state"`` uses Spark's ``dropDuplicatesWithinWatermark`` instead (same
+    result; no map-side combine).  ``"batch"`` is stateless: repeats inside a
+    micro-batch are removed by a grouped aggregate, repeats across batches
+    are collapsed by the store's latest-by-key view.  ``"none"`` relies on the
+    store view alone.
 
     With ``routed_dir`` each batch also runs validate -> score -> route and
     writes ``routed/`` (partitioned by action) and ``rejected/`` (validation
     and processing errors) under ``run=<r>/batch_id=<n>``.
     """
     parsed = parsed_events(message_stream(spark, source_dir, max_files_per_trigger))
-    if dedupe == "watermark" and dedupe_delay:
+    combined = dedupe == "watermark" and bool(dedupe_delay)
+    if combined:
+        parsed = with_dedupe_combined(parsed, dedupe_delay)
+    elif dedupe == "state" and dedupe_delay:
         parsed = with_dedupe(parsed, dedupe_delay)
 
     run = store.run_id(checkpoint_dir)
@@ -86,7 +115,9 @@ def run_engagement_stream(spark: SparkSession, source_dir: str, store_dir: str,
     def sink(batch: DataFrame, batch_id: int) -> None:
         # Parse failures are counted while the store batch is written; the
         # (rare) dead-letter write then reads the cached batch only if needed.
-        if dedupe == "batch":
+        if combined:
+            batch = first_deliveries(batch)
+        elif dedupe == "batch":
             batch = dedupe_by_key(batch.withColumn("_dedupe_key", _dedupe_key()),
                                   "_dedupe_key").drop("_dedupe_key")
         batch = batch.persist()
@@ -107,6 +138,8 @@ def run_engagement_stream(spark: SparkSession, source_dir: str, store_dir: str,
             batch.unpersist()
 
     writer = parsed.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint_dir)
+    if combined:
+        writer = writer.outputMode("update")
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="10 seconds")
     query = writer.start()
