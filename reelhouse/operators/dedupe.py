@@ -7,7 +7,9 @@ order columns, then by the remaining columns, so reruns give identical output.
 It is a grouped ``min``/``max`` over a struct, not a ranking window: Spark runs
 it as a partial (map-side) aggregate followed by a merge, so a key holding a
 large share of the rows is collapsed inside each map task before the shuffle
-instead of being sorted by a single task.
+instead of being sorted by a single task.  (``dropDuplicates`` compiles to
+the same partial/final sort-based aggregate, with ``first`` per column, so the
+deterministic survivor costs nothing extra.)
 """
 
 from __future__ import annotations
