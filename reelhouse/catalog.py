@@ -110,6 +110,7 @@ QUERIES: dict[str, Query] = {
     **{name: _store(name) for name in
        ("engagement_store", "engagement_latest", "engagement_by_user", "engagement_range",
         "engagement_high_users")},
+    "engagement_latest_compacted": realtime.compacted_latest,
     # recommendations
     "recommendations": _recommendations,
     "catalog_stats": _catalog_stats,

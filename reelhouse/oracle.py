@@ -407,6 +407,7 @@ WHERE dropped OR user_id IS NULL OR content_id IS NULL
   OR NOT (completion_pct BETWEEN 0 AND 100) OR watched_mins < 0""",
     "engagement_store": "SELECT * FROM store_rows",
     "engagement_latest": "SELECT * FROM latest",
+    "engagement_latest_compacted": "SELECT * FROM latest",
     "engagement_by_user": "SELECT * FROM latest WHERE user_id = (SELECT user_id FROM top_user)",
     "engagement_range": """
 SELECT * FROM latest WHERE user_id = (SELECT user_id FROM top_user)

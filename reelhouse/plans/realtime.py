@@ -62,6 +62,24 @@ def stream_store(spark: SparkSession, sf_dir: str, files: int = 8,
     return f"{root}/store"
 
 
+def compacted_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two stream runs over two halves of the feed (separate checkpoints), a
+    compaction between them, then the latest view read as snapshot + newer
+    batches.  Repeats that straddle the halves meet in the view."""
+    root = new_scratch(spark, "engagement-compacted")
+    msgs = feed(spark, sf_dir)
+    half = F.pmod(F.xxhash64("value"), F.lit(2))
+    land_feed(msgs.where(half == 0), f"{root}/feed_a", 4)
+    land_feed(msgs.where(half == 1), f"{root}/feed_b", 4)
+    for part in ("a", "b"):
+        run_engagement_stream(spark, f"{root}/feed_{part}", f"{root}/store", f"{root}/dead",
+                              f"{root}/checkpoint_{part}", dedupe_delay=REPLAY_DEDUPE_DELAY,
+                              max_files_per_trigger=2)
+        if part == "a":
+            store.compact(spark, f"{root}/store", f"{root}/snapshot")
+    return store.read_latest(spark, f"{root}/store", f"{root}/snapshot")
+
+
 def store_outputs(spark: SparkSession, store_dir: str) -> dict[str, DataFrame]:
     rows = store.read_store(spark, store_dir)
     view = store.latest(rows)
