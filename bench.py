@@ -2,7 +2,7 @@
 streaming replay and recommendations at ``$BENCH_SF_DIR`` on
 ``local[$BENCH_CPUS]``.
 
-Each item is run once to warm up, then ``$BENCH_RUNS`` times (default 3); the
+Each item is run once to warm up, then ``$BENCH_RUNS`` times (default 5); the
 median is reported.  Stage jobs write Parquet to fresh folders under the
 session's shared checkpoint folder.  Prints one JSON line; ``value`` is the
 sum of the four job medians (bronze + silver + gold + quality), the figure
@@ -23,7 +23,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
 
     from reelhouse import schemas
     from reelhouse.operators import recommend
