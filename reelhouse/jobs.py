@@ -6,6 +6,7 @@
     python -m reelhouse.jobs data-quality    --out DIR [--gate]
     python -m reelhouse.jobs reports         --out DIR [--name q01_dau_last30]
     python -m reelhouse.jobs stream          --source DIR --out DIR [--continuous]
+                                             [--kafka-bootstrap HOST:PORT --kafka-topic T]
     python -m reelhouse.jobs compact         --out DIR
     python -m reelhouse.jobs recommend       --out DIR [--limit 5]
 
@@ -36,6 +37,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--limit", type=int, default=5)
     ap.add_argument("--dedupe-delay", default="1 hour")
     ap.add_argument("--dedupe", choices=["watermark", "state", "batch", "none"], default="watermark")
+    ap.add_argument("--kafka-bootstrap")
+    ap.add_argument("--kafka-topic")
     a = ap.parse_args(argv)
 
     spark = build_session(app_name=f"reelhouse-{a.job}")
@@ -59,12 +62,15 @@ def main(argv: list[str] | None = None) -> None:
             sql_pack.run_sql(spark, n).show(truncate=False)
         result = {"reports": names}
     elif a.job == "stream":
-        from .streaming.engagement import run_engagement_stream
+        from .streaming.engagement import kafka_messages, run_engagement_stream
+        messages = (kafka_messages(spark, a.kafka_bootstrap, a.kafka_topic)
+                    if a.kafka_bootstrap else None)
         q = run_engagement_stream(spark, a.source, f"{out}/engagement/store",
                                   f"{out}/engagement/dead_letters", f"{out}/engagement/checkpoint",
                                   dedupe_delay=a.dedupe_delay, dedupe=a.dedupe,
                                   available_now=not a.continuous,
-                                  routed_dir=f"{out}/engagement/state_machine")
+                                  routed_dir=f"{out}/engagement/state_machine",
+                                  messages=messages)
         if a.continuous:
             q.awaitTermination()
         result = {"stream": "done"}

@@ -113,7 +113,7 @@ def run_engagement_stream(spark: SparkSession, source_dir: str, store_dir: str,
                           dedupe: str = "watermark",
                           max_files_per_trigger: int | None = None,
                           available_now: bool = True, timeout_s: float | None = None,
-                          routed_dir: str | None = None):
+                          routed_dir: str | None = None, messages: DataFrame | None = None):
     """Start the stream; with ``available_now`` run to the end of the input.
 
     ``dedupe``: ``"watermark"`` (default) keeps one row per event id for
@@ -125,11 +125,14 @@ def run_engagement_stream(spark: SparkSession, source_dir: str, store_dir: str,
     are collapsed by the store's latest-by-key view.  ``"none"`` relies on the
     store view alone.
 
+    ``messages`` replaces the file source (e.g. ``kafka_messages(...)``).
     With ``routed_dir`` each batch also runs validate -> score -> route and
     writes ``routed/`` (partitioned by action) and ``rejected/`` (validation
     and processing errors) under ``run=<r>/batch_id=<n>``.
     """
-    parsed = parsed_events(message_stream(spark, source_dir, max_files_per_trigger))
+    if messages is None:
+        messages = message_stream(spark, source_dir, max_files_per_trigger)
+    parsed = parsed_events(messages)
     combined = dedupe == "watermark" and bool(dedupe_delay)
     if combined:
         parsed = with_dedupe_combined(parsed, dedupe_delay)
