@@ -37,12 +37,13 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--limit", type=int, default=5)
     ap.add_argument("--dedupe-delay", default="1 hour")
     ap.add_argument("--dedupe", choices=["watermark", "state", "batch", "none"], default="watermark")
+    ap.add_argument("--run-time", help="logical run time 'yyyy-MM-dd HH:mm:ss' (default: now)")
     ap.add_argument("--kafka-bootstrap")
     ap.add_argument("--kafka-topic")
     a = ap.parse_args(argv)
 
     spark = build_session(app_name=f"reelhouse-{a.job}")
-    out, t = a.out.rstrip("/"), now_text()
+    out, t = a.out.rstrip("/"), a.run_time or now_text()
     result: object
     if a.job == "raw-to-bronze":
         result = bronze.run(spark, a.raw, f"{out}/bronze", t)

@@ -1,7 +1,9 @@
 """Data-quality job over the bronze layer.
 
-Writes the report (append, partitioned by run date) and each table's
-quarantined rows (append, partitioned by run date) and returns the summary.
+Writes the report and each table's quarantined rows partitioned by
+(run_date, run_id) and returns the summary.  Runs accumulate like appends,
+but each run replaces only its own partition, so rerunning a failed job with
+the same logical run time does not duplicate its output.
 With ``gate=True`` the job raises when any check failed, so a scheduler can
 stop the downstream stages.
 
@@ -39,7 +41,11 @@ def quality_outputs(bronze: dict[str, DataFrame], run_time: str = "") -> dict[st
     }
 
 
-def _table_job(df: DataFrame, table: str, checks: list, out: str, run_date: str):
+def _run_id(run_time: str) -> str:
+    return "".join(ch for ch in run_time if ch.isdigit())
+
+
+def _table_job(df: DataFrame, table: str, checks: list, out: str, run_date: str, run_id: str):
     row_checks = [c for c in checks if isinstance(c, quality.Check)]
     uniques = [c for c in checks if isinstance(c, quality.UniqueCheck)]
 
@@ -47,9 +53,10 @@ def _table_job(df: DataFrame, table: str, checks: list, out: str, run_date: str)
         obs = Observation(f"dq_{table}")
         observed = df.observe(obs, F.count(F.lit(1)).alias("total"),
                               *[F.count_if(c.failing).alias(c.name) for c in row_checks])
-        q = quality.quarantine(observed, row_checks).withColumn("run_date", F.lit(run_date))
-        written = write_parquet(q, f"{out}/failed_records/{table}", mode="append",
-                                partition_by=["run_date"])
+        q = quality.quarantine(observed, row_checks).withColumns(
+            {"run_date": F.lit(run_date), "run_id": F.lit(run_id)})
+        written = write_parquet(q, f"{out}/failed_records/{table}",
+                                partition_by=["run_date", "run_id"], replace_partitions=True)
         counts = {k: int(v) for k, v in obs.get.items()}
         counts["_quarantined"] = written
         for u in uniques:
@@ -62,13 +69,13 @@ def _table_job(df: DataFrame, table: str, checks: list, out: str, run_date: str)
 
 def run(spark: SparkSession, bronze_dir: str, dq_dir: str, run_time: str,
         gate: bool = False) -> dict:
-    run_date = run_time[:10]
+    run_date, run_id = run_time[:10], _run_id(run_time)
     bronze = {t: spark.read.parquet(f"{bronze_dir}/{t}") for t in BRONZE_TABLES}
     checks = quality.default_checks()
     by_table: dict[str, list] = {}
     for c in checks:
         by_table.setdefault(c.table, []).append(c)
-    counts = run_concurrently({t: _table_job(bronze[t], t, chs, dq_dir, run_date)
+    counts = run_concurrently({t: _table_job(bronze[t], t, chs, dq_dir, run_date, run_id)
                                for t, chs in by_table.items()})
     rows = [(i, c.name, c.table, counts[c.table]["total"], counts[c.table][c.name])
             for i, c in enumerate(checks)]
@@ -81,8 +88,10 @@ def run(spark: SparkSession, bronze_dir: str, dq_dir: str, run_time: str,
         .alias("pass_rate_pct"),
         F.when(F.col("failed") == 0, "PASS").otherwise("FAIL").alias("status"),
         F.lit(run_time).alias("run_time"), "check_order", F.lit(run_date).alias("run_date"),
+        F.lit(run_id).alias("run_id"),
     )
-    write_parquet(report.coalesce(1), f"{dq_dir}/reports", mode="append", partition_by=["run_date"])
+    write_parquet(report.coalesce(1), f"{dq_dir}/reports", partition_by=["run_date", "run_id"],
+                  replace_partitions=True)
     # The summary and gate come from the eleven counts already on the driver.
     failed = [name for _, name, _, _, n_failed in rows if n_failed]
     result = {"total_checks": len(rows), "passed_checks": len(rows) - len(failed),

@@ -11,11 +11,19 @@ from pyspark.sql import functions as F
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
-                  partition_by: list[str] | None = None) -> int:
-    """Write ``df`` as Parquet and return the number of rows written."""
+                  partition_by: list[str] | None = None,
+                  replace_partitions: bool = False) -> int:
+    """Write ``df`` as Parquet and return the number of rows written.
+
+    ``replace_partitions``: overwrite only the partitions present in ``df``
+    (dynamic partition overwrite), leaving the others -- a rerun replaces its
+    own output instead of appending a second copy.
+    """
     obs = Observation()
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    w = observed.write.mode(mode)
+    w = observed.write.mode("overwrite" if replace_partitions else mode)
+    if replace_partitions:
+        w = w.option("partitionOverwriteMode", "dynamic")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

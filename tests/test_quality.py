@@ -115,3 +115,21 @@ def test_quality_job_gate(spark, tmp_dir):
         quality_job.run(spark, f"{tmp_dir}/bronze", f"{tmp_dir}/dq", "2026-01-02 03:04:05", gate=True)
     res = quality_job.run(spark, f"{tmp_dir}/bronze", f"{tmp_dir}/dq2", "2026-01-02 03:04:05")
     assert (res["total_checks"], res["passed_checks"], res["failed_checks"]) == (11, 2, 9)
+
+
+def test_quality_job_rerun_replaces_its_own_output(spark, tmp_dir):
+    from reelhouse.plans import quality_job
+    from reelhouse.sources.sinks import write_parquet
+    from tests.conftest import SF001
+    bronze = medallion(spark, SF001, "t").bronze
+    for t in ("users", "watch_events", "subscriptions"):
+        write_parquet(bronze[t], f"{tmp_dir}/bronze/{t}")
+    args = (spark, f"{tmp_dir}/bronze", f"{tmp_dir}/dq")
+    first = quality_job.run(*args, "2026-01-02 03:04:05")
+    quality_job.run(*args, "2026-01-02 03:04:05")            # rerun of the same run
+    rep = spark.read.parquet(f"{tmp_dir}/dq/reports")
+    q = spark.read.parquet(f"{tmp_dir}/dq/failed_records/users")
+    assert rep.count() == 11 and q.count() == first["quarantined_rows"]["users"]
+    quality_job.run(*args, "2026-01-02 09:00:00")            # a later run the same day
+    rep = spark.read.parquet(f"{tmp_dir}/dq/reports")
+    assert rep.count() == 22 and rep.select("run_date").distinct().count() == 1
