@@ -114,3 +114,24 @@ def test_bronze_events_date_filter_reaches_scan(spark, tmp_dir):
     assert pushed and "watch_date" in pushed[0]
     schema = [line for line in text.splitlines() if line.startswith("ReadSchema")][0]
     assert "user_id" not in schema
+
+
+def test_no_forced_broadcasts(spark):
+    """With both broadcast thresholds disabled, no registered plan broadcasts:
+    every broadcast in normal runs is the planner's size-checked choice, never
+    a hint on a table that grows with the data."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        for name in NON_STREAM:
+            text = plan_text(E.queries()[name](spark, SF001), "simple")
+            assert "BroadcastExchange" not in text and "BroadcastHashJoin" not in text, name
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
