@@ -135,3 +135,16 @@ def test_no_forced_broadcasts(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+UNUSED_SOURCE_COLUMNS = ["props:", "event_type:", "value:", "c_acctbal:", "c_mktsegment:",
+                         "o_totalprice:", "o_orderstatus:", "p_brand:", "p_retailprice:"]
+
+
+def test_scans_never_read_unused_source_columns(spark):
+    for name in NON_STREAM:
+        text = plan_text(E.queries()[name](spark, SF001))
+        schemas_read = [line for line in text.splitlines() if line.startswith("ReadSchema")]
+        assert schemas_read, name
+        for line in schemas_read:
+            assert not [c for c in UNUSED_SOURCE_COLUMNS if c in line], (name, line)
