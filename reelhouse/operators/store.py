@@ -94,6 +94,16 @@ def events_in_range(view: DataFrame, user_id: str | F.Column, start: str, end: s
     return events_of_user(view, user_id).where(F.col("processed_at").between(start, end))
 
 
+def recent_events(view: DataFrame, user_id: str | F.Column, days: int = 30) -> DataFrame:
+    """One user's events in the ``days`` before their latest event (a sort-key
+    range whose bounds come from the data: scalar subqueries, no driver trip)."""
+    mine = events_of_user(view, user_id)
+    end = mine.select(F.max("processed_at")).scalar()
+    start = F.date_format(F.to_timestamp(end) - F.expr(f"INTERVAL {int(days)} DAYS"),
+                          "yyyy-MM-dd HH:mm:ss")
+    return mine.where(F.col("processed_at").between(start, end))
+
+
 def high_engagement_users(view: DataFrame) -> DataFrame:
     return view.where(F.col("engagement_level") == "HIGH").select("user_id").distinct()
 

@@ -411,7 +411,10 @@ WHERE dropped OR user_id IS NULL OR content_id IS NULL
     "engagement_by_user": "SELECT * FROM latest WHERE user_id = (SELECT user_id FROM top_user)",
     "engagement_range": """
 SELECT * FROM latest WHERE user_id = (SELECT user_id FROM top_user)
-  AND processed_at BETWEEN '2024-02-01 00:00:00' AND '2024-02-29 23:59:59'""",
+  AND processed_at BETWEEN
+    (SELECT strftime(CAST(max(processed_at) AS TIMESTAMP) - INTERVAL 30 DAY, '%Y-%m-%d %H:%M:%S')
+     FROM latest WHERE user_id = (SELECT user_id FROM top_user))
+    AND (SELECT max(processed_at) FROM latest WHERE user_id = (SELECT user_id FROM top_user))""",
     "engagement_high_users": "SELECT DISTINCT user_id FROM latest WHERE engagement_level = 'HIGH'",
 }
 

@@ -88,7 +88,6 @@ def store_outputs(spark: SparkSession, store_dir: str) -> dict[str, DataFrame]:
         "engagement_store": rows.drop("batch_id", "run"),
         "engagement_latest": view,
         "engagement_by_user": store.events_of_user(view, top),
-        "engagement_range": store.events_in_range(view, top, "2024-02-01 00:00:00",
-                                                  "2024-02-29 23:59:59"),
+        "engagement_range": store.recent_events(view, top, days=30),
         "engagement_high_users": store.high_engagement_users(view),
     }
