@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
-from . import substring_dedup
+from . import decontaminate, jaccard_join, language_id, mixing, quality_rules, substring_dedup
 from .common import table
 
 QUERIES = {
+    "op1_source_mixing": lambda spark, sf: mixing.taken(table(spark, sf, "documents")),
+    "op2_language_id": lambda spark, sf: language_id.identify(table(spark, sf, "documents")),
     "op5_substring_dedup": lambda spark, sf: substring_dedup.dedup_digest(table(spark, sf, "documents")),
+    "op7_decontamination": lambda spark, sf: decontaminate.contamination(
+        table(spark, sf, "documents"), table(spark, sf, "benchmark")),
+    "op8_quality_rules": lambda spark, sf: quality_rules.verdicts(table(spark, sf, "documents")),
+    "op10_jaccard_join": lambda spark, sf: jaccard_join.similar_groups(table(spark, sf, "documents")),
 }
 
 ORACLE = {
     "op5_substring_dedup": substring_dedup.SQL,
+    "op7_decontamination": decontaminate.SQL,
+    "op10_jaccard_join": jaccard_join.SQL,
 }
