@@ -52,8 +52,11 @@ COMMON = 20                # common shingles have at least 2**-20 of all shingle
 COMMON_LEAST = 64
 LOCALLY = 3                # occurrences within one block that make an item worth counting
 LAST_CLASS = 63            # order class of common shingles
+ROOM = 4                   # bits of bitmap for each shingle
 LEAF = 32
 FANOUT = 8
+FEW = 8                    # classes of a bucket compared without a tree
+PER_CLASS = 4              # candidate pairs a bucket may return for each of its classes
 BUCKET = 4096              # classes of one bucket that one task takes
 BLOCK = 1024
 
@@ -147,8 +150,8 @@ def _sets(texts: list[bytes], k: int, order: Order) -> Iterator[tuple[np.ndarray
 
 
 def bitmap(code: np.ndarray) -> np.ndarray:
-    """The set's token bitmap: two bits of room a token, a power of two, 64 at least."""
-    width = max(64, 1 << (2 * len(code) - 1).bit_length())
+    """The set's token bitmap: ROOM bits a token or up to twice that, a power of two, 64 at least."""
+    width = max(64, 1 << (ROOM * len(code) - 1).bit_length())
     bits = np.zeros(width, dtype=np.uint8)
     bits[(code & np.uint64(width - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little")
@@ -287,16 +290,59 @@ def tree_pairs(n: np.ndarray, bits: list[bytes], comp: np.ndarray, percent: int)
             yield from dual(tree, Tree(up, n[up], _fold(rows[2 * w], w), comp[up]), percent)
 
 
-def _alive(group: pa.Table, percent: int) -> pa.Table:
-    """The classes of a bucket with a possible partner in another component."""
-    group = group.sort_by("node")
-    node, n = group.column("node").to_numpy(), group.column("n").to_numpy()
-    _, comp = np.unique(group.column("comp").to_numpy(), return_inverse=True)
-    alive = np.zeros(len(n), dtype=bool)
-    for a, b in tree_pairs(n, group.column("bits").to_pylist(), comp, percent):
-        other = comp[a] != comp[b]
-        alive[a[other]] = alive[b[other]] = True
-    return pa.table({c: group.column(c).filter(pa.array(alive)) for c in ("token", "part", "node", "comp")})
+def _groups(batches) -> Iterator[pa.Table]:
+    """Rows sorted by bucket, in tables that hold whole buckets."""
+    held: pa.Table | None = None
+    for batch in batches:
+        now = pa.Table.from_batches([batch])
+        now = now if held is None else pa.concat_tables([held, now])
+        if not now.num_rows:
+            continue
+        token, part = (now.column(c).to_numpy() for c in ("token", "part"))
+        last = np.flatnonzero((token != token[-1]) | (part != part[-1]))
+        cut = int(last[-1]) + 1 if len(last) else 0
+        if cut:
+            yield now.slice(0, cut)
+        held = now.slice(cut)
+    if held is not None and held.num_rows:
+        yield held
+
+
+def _candidates(batches, percent: int) -> Iterator[pa.RecordBatch]:
+    """Of each bucket, the pairs of different components that may link (kind 0: a, b); where
+    these are many, instead the classes that have such a partner (kind 1: a, its component b)."""
+    for rows in _groups(batches):
+        token, part, node, comp, n = (rows.column(c).to_numpy() for c in ("token", "part", "node", "comp", "n"))
+        bits = rows.column("bits").to_pylist()
+        cut = np.flatnonzero(np.concatenate(([True], (token[1:] != token[:-1]) | (part[1:] != part[:-1]))))
+        size = np.diff(np.append(cut, len(token)))
+        group = np.repeat(np.arange(len(cut)), size)
+        few = size[group] <= FEW
+        pairs = []
+        for d in range(1, FEW):
+            i = np.flatnonzero(few[:-d] & (group[d:] == group[:-d]) & (comp[d:] != comp[:-d])) if d < len(few) else []
+            if len(i):
+                pairs.append((i[possible_pairs(n, bits, i, i + d, percent)], d))
+        a = np.concatenate([i for i, _ in pairs]) if pairs else np.zeros(0, np.int64)
+        b = np.concatenate([i + d for i, d in pairs]) if pairs else np.zeros(0, np.int64)
+        out = [(np.zeros(len(a), np.int32), token[a], part[a], node[a], node[b])]
+        for g in np.flatnonzero(size > FEW).tolist():
+            at = np.arange(cut[g], cut[g] + size[g])
+            _, c = np.unique(comp[at], return_inverse=True)
+            alive, found, many = np.zeros(len(at), dtype=bool), [], False
+            for i, j in tree_pairs(n[at], bits[cut[g]:cut[g] + size[g]], c, percent):
+                other = c[i] != c[j]
+                alive[i[other]] = alive[j[other]] = True
+                if not many:
+                    found.append((at[i[other]], at[j[other]]))
+                    many = sum(len(x) for x, _ in found) > PER_CLASS * len(at)
+            if many:
+                at = at[alive]
+                out.append((np.ones(len(at), np.int32), token[at], part[at], node[at], comp[at]))
+            else:
+                out += [(np.zeros(len(i), np.int32), token[i], part[i], node[i], node[j]) for i, j in found]
+        cols = [np.concatenate(c) for c in zip(*out)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["kind", "token", "part", "a", "b"])
 
 
 def _span(group: pa.Table, percent: int) -> pa.Table:
@@ -329,15 +375,29 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
+def possible_pairs(n: np.ndarray, bits: list[bytes], a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sizes and bitmaps leave a link of the rows a[i] and b[i] possible."""
+    keep = 100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])
+    words = np.array([len(x) // 8 for x in bits])
+    wa, wb = words[a], words[b]
+    for x, y in {p for p, k in zip(zip(wa.tolist(), wb.tolist()), keep.tolist()) if k}:
+        for at in np.array_split(np.flatnonzero(keep & (wa == x) & (wb == y)), 1 + int(keep.sum()) * max(x, y) // (1 << 20)):
+            if len(at):
+                left = np.frombuffer(b"".join([bits[i] for i in a[at].tolist()]), np.uint64).reshape(-1, x)
+                right = np.frombuffer(b"".join([bits[i] for i in b[at].tolist()]), np.uint64).reshape(-1, y)
+                w = min(x, y)
+                differ = np.bitwise_count(_fold(left, w) ^ _fold(right, w)).sum(axis=1).astype(np.int64)
+                keep[at] = _close(n[a[at]], n[b[at]], differ, percent)
+    return keep
+
+
 def _prune_pairs(batches, percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs whose bitmaps leave a link possible."""
     for batch in batches:
-        keep = []
-        for na, nb, x, y in zip(*(batch.column(c).to_pylist() for c in ("na", "nb", "bits_a", "bits_b"))):
-            x, y = np.frombuffer(x, np.uint64)[None, :], np.frombuffer(y, np.uint64)[None, :]
-            w = min(x.shape[1], y.shape[1])
-            differ = int(np.bitwise_count(_fold(x, w) ^ _fold(y, w)).sum())
-            keep.append(100 * min(na, nb) >= percent * max(na, nb) and bool(_close(na, nb, differ, percent)))
+        n = np.concatenate([batch.column(c).to_numpy() for c in ("na", "nb")])
+        bits = batch.column("bits_a").to_pylist() + batch.column("bits_b").to_pylist()
+        rows = np.arange(batch.num_rows)
+        keep = possible_pairs(n, bits, rows, rows + batch.num_rows, percent)
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(
             pa.array(keep, pa.bool_()))
 
@@ -410,24 +470,41 @@ class Join:
                  .mapInArrow(lambda it: _prune_pairs(it, percent), "a long, b long"))
         pairs, _ = stored(pairs, "jaccard-pairs")
         sets = self.sets(classes, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-        led = (pairs.join(sets.toDF("a", "tokens_a"), "a").join(sets.toDF("b", "tokens_b"), "b")
-               .mapInArrow(lambda it: _verify(it, percent), "a long, b long"))
-        led, _ = stored(led, "jaccard-links")
+        led, _ = stored(self._linked(pairs, sets), "jaccard-links")
 
         comp = components(led).withColumnRenamed("component", "comp")
         open_rows = shared.select("token", "node").join(comp, "node", "left").select(
             "token", "node", F.coalesce("comp", "node").alias("comp"))
         open_rows, _ = stored(open_rows, "jaccard-open")
-        several = open_rows.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"),
-                                                 F.count("*").alias("size")).where("x < y").select("token", "size")
-        buckets = self._parts(open_rows.join(several, "token").join(side, "node"))
-        alive = buckets.groupBy("token", "part").applyInArrow(
-            lambda t: _alive(t, percent), "token long, part long, node long, comp long")
-        alive, _ = stored(alive, "jaccard-alive")
-        sets = self.sets(classes, alive.select("node").distinct())
-        spans = alive.join(sets, "node").groupBy("token", "part").applyInArrow(
+        several = self._distinct(open_rows, ["token"], F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y")
+        buckets = self._parts(open_rows.join(several.select("token", "size"), "token").join(side, "node"))
+        found = (buckets.repartition("token", "part").sortWithinPartitions("token", "part")
+                 .mapInArrow(lambda it: _candidates(it, percent), "kind int, token long, part long, a long, b long"))
+        found, _ = stored(found, "jaccard-candidates")
+        more = found.where("kind = 0").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        dense = found.where("kind = 1").select("token", "part", F.col("a").alias("node"), F.col("b").alias("comp"))
+        dense = dense.join(self._distinct(dense, ["token", "part"]).select("token", "part"), ["token", "part"])
+        nodes = more.select(F.explode(F.array("a", "b")).alias("node")).unionByName(dense.select("node")).distinct()
+        sets = self.sets(classes, nodes)
+        spans = dense.join(sets, "node").groupBy("token", "part").applyInArrow(
             lambda t: _span(t, percent), "a long, b long")
-        return stored(led.unionByName(spans).distinct(), "jaccard-links")[0]
+        return stored(led.unionByName(self._linked(more, sets)).unionByName(spans).distinct(), "jaccard-links")[0]
+
+    def _linked(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        percent = self.percent
+        return (pairs.join(sets.toDF("a", "tokens_a"), "a").join(sets.toDF("b", "tokens_b"), "b")
+                .select("a", "b", "tokens_a", "tokens_b")
+                .mapInArrow(lambda it: _verify(it, percent), "a long, b long"))
+
+    @staticmethod
+    def _distinct(rows: DataFrame, bucket: list[str], *more) -> DataFrame:
+        """One bucket of those with the same classes, told by count and two 64-bit sums; with its size."""
+        sums = [F.sum(F.xxhash64("node", F.lit(k)).cast("decimal(38,0)")).alias(f"s{k}") for k in (1, 2)]
+        each = rows.groupBy(*bucket).agg(F.count("*").alias("size"), *sums, *more)
+        names = [c for c in each.columns if c not in ("size", "s1", "s2", *bucket)]
+        one = each.groupBy("size", "s1", "s2").agg(
+            F.min(F.struct(*bucket)).alias("one"), *[F.min(c).alias(c) for c in names])
+        return one.select("size", *[F.col(f"one.{c}").alias(c) for c in bucket], *names)
 
     def _parts(self, rows: DataFrame) -> DataFrame:
         """Adds ``part``: 0 for a bucket one task takes.  A larger one is cut by size class
