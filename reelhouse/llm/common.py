@@ -47,6 +47,23 @@ def drop_stored(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+class Scratch:
+    """Intermediate tables of one run, deleted together once their result is written."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def store(self, df: DataFrame, label: str) -> DataFrame:
+        df, path = stored(df, label)
+        self.paths.append(path)
+        return df
+
+    def drop(self, keep: int = 0) -> None:
+        """Delete all tables but the ``keep`` last ones."""
+        while len(self.paths) > keep:
+            drop_stored(self.spark, self.paths.pop(0))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """64-bit finaliser: spreads the bits of a hash (array in, array out)."""
     x = x ^ (x >> np.uint64(30))

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LAST_ID, Words, mix, stored, text_blocks, window_hash
+from .common import LAST_ID, Scratch, Words, mix, text_blocks, window_hash
 from .components import components
 
 SHINGLE = 4
@@ -415,6 +415,7 @@ class Join:
 
     def __init__(self, docs: DataFrame, k: int, percent: int):
         self.docs, self.k, self.percent = docs, k, percent
+        self.scratch = Scratch(docs.sparkSession)
         self.order = self._order()
 
     def _order(self) -> Order:
@@ -431,13 +432,13 @@ class Join:
     def classes(self) -> tuple[DataFrame, DataFrame]:
         """The documents' (id, n, key), and one row for each distinct set."""
         k, percent, order = self.k, self.percent, self.order
-        sketch, _ = stored(self.docs.mapInArrow(lambda it: _sketch(it, k, percent, order), SKETCH), "jaccard-sketch")
+        sketch = self.scratch.store(self.docs.mapInArrow(lambda it: _sketch(it, k, percent, order), SKETCH), "jaccard-sketch")
         found = sketch.where("n > 0").groupBy("key").agg(
             F.min("id").alias("least"), F.first("n").alias("n"), F.first("hot").alias("hot"),
             F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
         # the smallest number leads a bucket: sets made of widely shared shingles come first
         node = F.shiftleft((1000 - F.col("hot")).cast("long"), 53) + F.monotonically_increasing_id()
-        return sketch.select("id", "n", "key"), stored(found.withColumn("node", node), "jaccard-classes")[0]
+        return sketch.select("id", "n", "key"), self.scratch.store(found.withColumn("node", node), "jaccard-classes")
 
     def sets(self, classes: DataFrame, nodes: DataFrame) -> DataFrame:
         """(node, tokens) of some classes, from the text of a member."""
@@ -454,7 +455,7 @@ class Join:
                 yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in out], pa.int64()),
                                                   pa.array([t for _, t in out], pa.binary())], names=["node", "tokens"])
 
-        return stored(rows.mapInArrow(codes, NODES).dropDuplicates(["node"]), "jaccard-sets")[0]
+        return self.scratch.store(rows.mapInArrow(codes, NODES).dropDuplicates(["node"]), "jaccard-sets")
 
     def links(self, classes: DataFrame) -> DataFrame:
         """Links between classes that join everything the full set of links joins."""
@@ -462,25 +463,25 @@ class Join:
         rows = classes.select("node", "prefix").mapInArrow(_prefix_rows, "token long, node long")
         met = rows.groupBy("token").agg(F.min("node").alias("leader"), F.max("node").alias("last"))
         met = met.where("leader < last").select("token", "leader")
-        shared, _ = stored(rows.join(met, "token"), "jaccard-shared")
+        shared = self.scratch.store(rows.join(met, "token"), "jaccard-shared")
 
         side = classes.select("node", "n", "bits")
         pairs = shared.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
         pairs = (pairs.join(side.toDF("a", "na", "bits_a"), "a").join(side.toDF("b", "nb", "bits_b"), "b")
                  .mapInArrow(lambda it: _prune_pairs(it, percent), "a long, b long"))
-        pairs, _ = stored(pairs, "jaccard-pairs")
+        pairs = self.scratch.store(pairs, "jaccard-pairs")
         sets = self.sets(classes, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-        led, _ = stored(self._linked(pairs, sets), "jaccard-links")
+        led = self.scratch.store(self._linked(pairs, sets), "jaccard-links")
 
-        comp = components(led).withColumnRenamed("component", "comp")
+        comp = components(led, self.scratch).withColumnRenamed("component", "comp")
         open_rows = shared.select("token", "node").join(comp, "node", "left").select(
             "token", "node", F.coalesce("comp", "node").alias("comp"))
-        open_rows, _ = stored(open_rows, "jaccard-open")
+        open_rows = self.scratch.store(open_rows, "jaccard-open")
         several = self._distinct(open_rows, ["token"], F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y")
         buckets = self._parts(open_rows.join(several.select("token", "size"), "token").join(side, "node"))
         found = (buckets.repartition("token", "part").sortWithinPartitions("token", "part")
                  .mapInArrow(lambda it: _candidates(it, percent), "kind int, token long, part long, a long, b long"))
-        found, _ = stored(found, "jaccard-candidates")
+        found = self.scratch.store(found, "jaccard-candidates")
         more = found.where("kind = 0").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         dense = found.where("kind = 1").select("token", "part", F.col("a").alias("node"), F.col("b").alias("comp"))
         dense = dense.join(self._distinct(dense, ["token", "part"]).select("token", "part"), ["token", "part"])
@@ -488,7 +489,7 @@ class Join:
         sets = self.sets(classes, nodes)
         spans = dense.join(sets, "node").groupBy("token", "part").applyInArrow(
             lambda t: _span(t, percent), "a long, b long")
-        return stored(led.unionByName(self._linked(more, sets)).unionByName(spans).distinct(), "jaccard-links")[0]
+        return self.scratch.store(led.unionByName(self._linked(more, sets)).unionByName(spans).distinct(), "jaccard-links")
 
     def _linked(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         percent = self.percent
@@ -531,15 +532,29 @@ def similar_groups(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, *,
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID))
     join = Join(docs.select(key.alias("id"), F.col(text_col).alias("text")), k, percent)
     members, classes = join.classes()
-    comp = components(join.links(classes))
+    comp = components(join.links(classes), join.scratch)
     root = classes.select("key", "node", "least").join(comp, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     first = root.groupBy("component").agg(F.min("least").alias("first"))
     first = root.join(first, "component").select(F.col("key").alias("k"), "first")
     out = members.join(first, F.col("key") == F.col("k"), "left")
-    real = lambda c: F.when(F.col(c) != LAST_ID, F.col(c))
-    return out.select(real("id").alias("doc_id"), F.col("n").alias("n_shingles"),
-                      F.when(F.coalesce("first", "id") != LAST_ID, F.coalesce("first", "id")).alias("component_id"))
+    real = lambda c: F.when(c != LAST_ID, c)
+    out = join.scratch.store(out.select(
+        real(F.col("id")).alias("doc_id"), F.col("n").alias("n_shingles"),
+        real(F.coalesce("first", "id")).alias("component_id")), "jaccard-groups")
+    join.scratch.drop(keep=1)
+    return out
+
+
+def keep_first(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, *, id_col: str = "doc_id",
+               text_col: str = "text") -> DataFrame:
+    """Of each group of linked documents the one with the smallest id, all columns as they are.
+    Rows that repeat a kept document (id and text) stay once; documents without an id stay
+    unless they are linked to one that has an id."""
+    groups = similar_groups(docs, k, percent, id_col=id_col, text_col=text_col)
+    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
+    rows = docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("_kept")), "left_semi")
+    return rows.dropDuplicates([id_col, text_col])
 
 
 # DuckDB: distinct shingles, pairs by shared shingles, recursive reachability.

@@ -108,16 +108,20 @@ class Model:
         self.symbol = np.zeros(0x110000, dtype=np.uint8)
         self.symbol[points] = np.arange(1, len(points) + 1)
         alphabet, limit = len(points) + 2, len(points) + 1          # the last symbol parts the slices
-        self.tables, self.bits = [], []
+        self.tables, self.begins, self.bits = [], [], []
         for lang in self.languages:
             text = np.concatenate([np.append(self.symbol[x], limit) for x in samples[lang]])
             table = suffix_automaton(text.tolist(), alphabet)
-            # one step reads one cell: the state reached, or, past the end of a phrase, the
-            # state after the symbol from the start, with the phrase counted in the low bit
-            start = np.where(table[0] >= 0, table[0], 0)
+            # one step reads one cell: the state reached, or, past the end of a phrase, the state
+            # after the symbol from the start, with the new phrase counted in the low bit.  The
+            # last state is between phrases: at a block's begin, and after a letter not in the sample
+            between = len(table)
+            table = np.vstack((table, np.full(alphabet, -1, np.int32)))
+            start = np.where(table[0] >= 0, table[0], between)
+            start[0] = between
             moved = np.where(table >= 0, table * (2 * alphabet), start[None, :] * (2 * alphabet) + 1).astype(np.int32)
-            moved[:, 0] = 1                                          # unknown letter: a phrase of its own
             self.tables.append(moved.ravel())
+            self.begins.append(between * alphabet)
             self.bits.append(float(np.log2(max(len(text), 2))))
 
     def phrases(self, blocks: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -125,8 +129,8 @@ class Model:
         out = np.zeros((len(self.languages), len(lengths)), dtype=np.int64)
         alive = np.searchsorted(-lengths, -np.arange(1, len(blocks) + 1), side="right")
         for k, table in enumerate(self.tables):
-            state = np.zeros(len(lengths), dtype=np.int32)           # state * alphabet
-            count = np.ones(len(lengths), dtype=np.int32)
+            state = np.full(len(lengths), self.begins[k], dtype=np.int32)    # state * alphabet
+            count = np.zeros(len(lengths), dtype=np.int32)
             for t, n in enumerate(alive.tolist()):
                 if not n:
                     break

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from reelhouse.llm import jaccard_join as J
+from reelhouse.llm.common import Scratch
 from reelhouse.llm.components import components
 from tests.llm.helpers import DOCS, awkward, documents, same, sentence
 
@@ -100,6 +101,6 @@ def test_bitmaps_never_hide_a_link():
 
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(1, 30)] + [(100, 100 + k) for k in range(1, 20)] + [(7, 7), (200, 201)]
-    got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long"), Scratch(spark)).collect()))
     assert all(got[i] == 1 for i in range(1, 31)) and all(got[100 + k] == 100 for k in range(20)) and got[201] == 200
-    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+    assert components(spark.createDataFrame([], "a long, b long"), Scratch(spark)).count() == 0
