@@ -47,7 +47,7 @@ def main() -> None:
     # Inputs landed once (not timed): raw CSV / JSON-lines files and the message feed.
     root = new_scratch(spark, "bench")
     land_raw(spark, sf_dir, f"{root}/raw")
-    land_feed(realtime.feed(spark, sf_dir), f"{root}/feed", files=16)
+    land_feed(realtime.feed(spark, sf_dir), f"{root}/feed")
     t = now_text()
     base = f"{root}/base"
     # rows read by the raw -> bronze job (all four landed tables, repeats included)
@@ -74,7 +74,7 @@ def main() -> None:
     def stream_replay():
         d = fresh("stream")
         run_engagement_stream(spark, f"{root}/feed", f"{d}/store", f"{d}/dead", f"{d}/ckpt",
-                              dedupe_delay=realtime.REPLAY_DEDUPE_DELAY, max_files_per_trigger=8)
+                              max_files_per_trigger=8)
         store.latest(store.read_store(spark, f"{d}/store")).count()
 
     def recommendations():

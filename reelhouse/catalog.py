@@ -16,7 +16,9 @@ from . import oracle
 from .operators import recommend
 from .plans import realtime, sql_pack
 from .plans import reports as report_plan
-from .plans.pipeline import bronze_from_files, medallion, without_run_time
+from .functions.sql import register_sql_functions
+from .plans.pipeline import (bronze_from_files, events_from_arrays, events_from_untidy_lines, job_outputs, medallion,
+                             without_run_time)
 from .plans.quality_job import quality_outputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,12 +85,43 @@ def _catalog_stats(spark: SparkSession, sf: str) -> DataFrame:
     return recommend.catalog_stats(b["content_catalog"], b["users"])
 
 
+def _job_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """What the written jobs report: one row for each table they wrote."""
+    _, counts = job_outputs(spark, sf)
+    return spark.createDataFrame(sorted(counts.items()), "output string, n_rows long")
+
+
+def _job_table(path: str, *columns: str) -> Query:
+    """A table the jobs wrote, read back from the lake."""
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        root, _ = job_outputs(spark, sf)
+        df = without_run_time(spark.read.parquet(f"{root}/{path}"))
+        return df.select(*columns) if columns else df
+    return run
+
+
+def _sql_functions(spark: SparkSession, sf: str) -> DataFrame:
+    """The engine's SQL functions over the profile."""
+    register_sql_functions(spark)
+    medallion(spark, sf).silver["user_watch_profile"].createOrReplaceTempView("profile_for_functions")
+    return spark.sql("SELECT event_id, plan, age_group(age) AS age_group, engagement_level(completion_pct) AS level, "
+                     "engagement_score(completion_pct, watched_mins) AS score FROM profile_for_functions")
+
+
 QUERIES: dict[str, Query] = {
     # bronze (file ingest), silver, gold
     "bronze_users": _bronze("users"),
     "bronze_subscriptions": _bronze("subscriptions"),
     "bronze_content": _bronze("content_catalog"),
     "bronze_watch_events": _bronze("watch_events"),
+    "bronze_events_array": lambda spark, sf: without_run_time(events_from_arrays(spark, sf)),
+    "bronze_events_untidy": lambda spark, sf: without_run_time(events_from_untidy_lines(spark, sf)[0]),
+    "bronze_rejected": lambda spark, sf: events_from_untidy_lines(spark, sf)[1].select("record"),
+    "job_row_counts": _job_rows,
+    "job_user_watch_profile": _job_table("silver/user_watch_profile"),
+    "job_top_content": _job_table("gold/top_content"),
+    "job_quarantined_events": _job_table("dq/failed_records/watch_events", "event_id", "failed_checks"),
+    "sql_functions": _sql_functions,
     "user_watch_profile": _layer("silver", "user_watch_profile"),
     "content_performance": _layer("silver", "content_performance"),
     "dau_metrics": _layer("gold", "dau_metrics"),
@@ -111,6 +144,7 @@ QUERIES: dict[str, Query] = {
        ("engagement_store", "engagement_latest", "engagement_by_user", "engagement_range",
         "engagement_high_users")},
     "engagement_latest_compacted": realtime.compacted_latest,
+    "engagement_store_sink": lambda spark, sf: realtime.stored_once(spark, sf),
     # recommendations
     "recommendations": _recommendations,
     "catalog_stats": _catalog_stats,

@@ -5,11 +5,10 @@ inside whole-stage codegen and can be used identically in batch and streaming
 plans.
 
 Rounding.  Reports round averages and shares HALF_UP.  Averaging doubles and
-rounding the result is engine- and order-dependent at ties, so averages are
-computed as an exact integer ratio: values are scaled to integers by their
-known number of decimals, summed as BIGINT, and the ratio is rounded with
-integer arithmetic.  The final division by a power of ten returns the nearest
-double to the exact decimal result.
+rounding the result is engine- and order-dependent at ties, so averages are an
+exact ratio: values are summed as decimals (six places kept; NaN and infinities
+count as missing) and the ratio is rounded once, in whole numbers.  The final
+division by a power of ten returns the nearest double to the exact result.
 """
 
 from __future__ import annotations
@@ -52,9 +51,14 @@ def is_premium(plan: str | Column) -> Column:
     return F.coalesce(_c(plan) == PREMIUM_PLAN, F.lit(False))
 
 
+def at_least(c: Column, bound: float) -> Column:
+    """``c >= bound`` with NaN false (Spark orders NaN above every number)."""
+    return (c >= bound) & ~F.isnan(c.cast("double"))
+
+
 def engagement_level(pct: str | Column) -> Column:
     p = _c(pct)
-    return F.when(p >= HIGH_PCT, "HIGH").when(p >= MEDIUM_PCT, "MEDIUM").otherwise("LOW")
+    return F.when(at_least(p, HIGH_PCT), "HIGH").when(at_least(p, MEDIUM_PCT), "MEDIUM").otherwise("LOW")
 
 
 def engagement_score(pct: str | Column, mins: str | Column) -> Column:
@@ -69,17 +73,22 @@ def engagement_score(pct: str | Column, mins: str | Column) -> Column:
 
 # -- exact HALF_UP rounding -----------------------------------------------------
 
+DECIMALS = 6                # kept of a fractional input before it is summed
+
+
 def half_up_sql(num: str, den: str, scale: int) -> str:
     """SQL text: ``num / den`` rounded HALF_UP to ``scale`` decimals, as DOUBLE.
 
     ``num`` and ``den`` must be integral SQL expressions, ``den`` > 0 (0 gives
-    NULL).  Pure BIGINT arithmetic, so the result does not depend on summation
-    order or on how an engine rounds binary doubles.
+    NULL).  Whole-number arithmetic, so the result does not depend on summation
+    order or on how an engine rounds binary doubles; 38 digits do not overflow
+    where BIGINT would.
     """
     p = 10 ** scale
+    n, d = f"CAST({num} AS DECIMAL(38,0))", f"CAST({den} AS DECIMAL(38,0))"
     return (
         f"CAST(CASE WHEN ({num}) < 0 THEN -1 ELSE 1 END * "
-        f"((2 * abs({num}) * {p} + ({den})) div nullif(2 * ({den}), 0)) AS DOUBLE) / {p}D"
+        f"((2 * abs({n}) * {p} + {d}) div nullif(2 * {d}, 0)) AS DOUBLE) / {p}D"
     )
 
 
@@ -87,25 +96,29 @@ def half_up(num: str, den: str, scale: int) -> Column:
     return F.expr(half_up_sql(num, den, scale))
 
 
-def scaled_sum_sql(col: str, in_scale: int) -> str:
-    """Exact BIGINT sum of a column holding ``in_scale`` decimals."""
+def exact_sql(col: str) -> str:
+    """A fractional column as an exact decimal; NaN and infinities are NULL."""
+    return f"try_cast({col} AS DECIMAL(18,{DECIMALS}))"
+
+
+def avg_half_up_sql(col: str, in_scale: int, out_scale: int) -> str:
+    """SQL text of an aggregate: exact mean of ``col``, rounded HALF_UP once.  ``in_scale`` 0
+    says the column is whole-numbered; others are summed at DECIMALS decimals."""
     if in_scale == 0:
-        return f"sum(CAST({col} AS BIGINT))"
-    return f"sum(CAST(round({col} * {10 ** in_scale}) AS BIGINT))"
+        return half_up_sql(f"sum(CAST({col} AS BIGINT))", f"count({col})", out_scale)
+    return half_up_sql(f"sum({exact_sql(col)}) * {10 ** DECIMALS}", f"count({exact_sql(col)}) * {10 ** DECIMALS}",
+                       out_scale)
 
 
 def avg_half_up(col: str, in_scale: int, out_scale: int) -> Column:
-    """Aggregate: exact mean of ``col`` rounded HALF_UP to ``out_scale``."""
-    num = scaled_sum_sql(col, in_scale)
-    den = f"count({col}) * {10 ** in_scale}"
-    return half_up(num, den, out_scale)
+    return F.expr(avg_half_up_sql(col, in_scale, out_scale))
 
 
 def sum_scaled(col: str, in_scale: int) -> Column:
-    """Aggregate: exact sum of a fixed-decimal double column, as DOUBLE."""
+    """Aggregate: exact sum, as BIGINT of a whole-numbered column, else as DOUBLE."""
     if in_scale == 0:
-        return F.expr(scaled_sum_sql(col, 0))
-    return F.expr(f"CAST({scaled_sum_sql(col, in_scale)} AS DOUBLE) / {10 ** in_scale}D")
+        return F.expr(f"sum(CAST({col} AS BIGINT))")
+    return F.expr(f"CAST(sum({exact_sql(col)}) AS DOUBLE)")
 
 
 def share_pct(part: str, total: str, scale: int = 1) -> Column:

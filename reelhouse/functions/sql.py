@@ -24,8 +24,8 @@ def register_sql_functions(spark: SparkSession) -> None:
     )
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION engagement_level(p DOUBLE) RETURNS STRING "
-        f"RETURN CASE WHEN p >= {HIGH_PCT} THEN 'HIGH' WHEN p >= {MEDIUM_PCT} THEN 'MEDIUM' "
-        "ELSE 'LOW' END"
+        f"RETURN CASE WHEN isnan(p) THEN 'LOW' WHEN p >= {HIGH_PCT} THEN 'HIGH' "
+        f"WHEN p >= {MEDIUM_PCT} THEN 'MEDIUM' ELSE 'LOW' END"
     )
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION engagement_score(p DOUBLE, m INT) RETURNS DOUBLE "

@@ -1,6 +1,6 @@
 """Command-line jobs (one per pipeline stage), for ``spark-submit`` or python.
 
-    python -m reelhouse.jobs raw-to-bronze   --raw DIR --out DIR
+    python -m reelhouse.jobs raw-to-bronze   --raw DIR --out DIR [--json-array]
     python -m reelhouse.jobs bronze-to-silver --out DIR
     python -m reelhouse.jobs silver-to-gold  --out DIR
     python -m reelhouse.jobs data-quality    --out DIR [--gate]
@@ -35,8 +35,9 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--gate", action="store_true")
     ap.add_argument("--continuous", action="store_true")
     ap.add_argument("--limit", type=int, default=5)
-    ap.add_argument("--dedupe-delay", default="1 hour")
-    ap.add_argument("--dedupe", choices=["watermark", "state", "batch", "none"], default="watermark")
+    ap.add_argument("--dedupe", choices=["batch", "sink", "none"], default="batch")
+    ap.add_argument("--source-format", choices=["parquet", "text"], default="parquet")
+    ap.add_argument("--json-array", action="store_true", help="raw JSON files are arrays, not lines")
     ap.add_argument("--run-time", help="logical run time 'yyyy-MM-dd HH:mm:ss' (default: now)")
     ap.add_argument("--kafka-bootstrap")
     ap.add_argument("--kafka-topic")
@@ -46,7 +47,7 @@ def main(argv: list[str] | None = None) -> None:
     out, t = a.out.rstrip("/"), a.run_time or now_text()
     result: object
     if a.job == "raw-to-bronze":
-        result = bronze.run(spark, a.raw, f"{out}/bronze", t)
+        result = bronze.run(spark, a.raw, f"{out}/bronze", t, json_array=a.json_array)
     elif a.job == "bronze-to-silver":
         result = silver.run(spark, f"{out}/bronze", f"{out}/silver", t)
     elif a.job == "silver-to-gold":
@@ -68,7 +69,7 @@ def main(argv: list[str] | None = None) -> None:
                     if a.kafka_bootstrap else None)
         q = run_engagement_stream(spark, a.source, f"{out}/engagement/store",
                                   f"{out}/engagement/dead_letters", f"{out}/engagement/checkpoint",
-                                  dedupe_delay=a.dedupe_delay, dedupe=a.dedupe,
+                                  dedupe=a.dedupe, fmt=a.source_format,
                                   available_now=not a.continuous,
                                   routed_dir=f"{out}/engagement/state_machine",
                                   messages=messages)

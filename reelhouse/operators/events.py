@@ -4,8 +4,8 @@ Input is a frame with a text column ``value`` holding one message.  A message
 is a viewing event in one of four envelopes, tried in this order:
 
 1. bare event whose ``user_id`` is non-empty,
-2. ``queryStringParameters`` (all values text),
-3. ``Records`` -- a queue batch; every record's ``body`` is JSON text,
+2. ``queryStringParameters`` with any entry (all values text),
+3. ``Records`` -- a queue batch; every record's ``body`` is JSON text and gets an id of its own,
 4. ``body`` -- JSON text,
 
 otherwise it is an empty event.  All records of a queue batch are kept (one
@@ -36,43 +36,52 @@ PROCESSING_ERROR = ("ProcessingError", "Engagement scoring failed")
 REQUIRED = ["user_id", "content_id", "completion_pct", "watched_mins"]
 UNKNOWN_ID, UNKNOWN_ATTR = "UNKNOWN", "unknown"
 STAMP_TEXT = "yyyy-MM-dd HH:mm:ss"
+NUMBER_OF_MINUTES = r'"watched_mins"\s*:\s*-?[0-9]'
 
 
 def _nonempty(c: Column) -> Column:
     return c.isNotNull() & (c != "")
 
 
-def parse_envelopes(df: DataFrame, value_col: str = "value") -> DataFrame:
+def parse_envelopes(df: DataFrame, value_col: str = "value", arrived_col: str = "arrived_at") -> DataFrame:
     """Message text -> one row per event payload.
 
     Output: ``raw`` (message text), ``p`` (payload struct of text fields),
-    ``event_id`` and ``event_time`` (payload value, else message metadata).
+    ``event_id`` and ``event_time`` (payload value, else message metadata; the
+    records of a batch that share the message's id get its id and their place),
+    ``mins_is_number`` (minutes sent as a JSON number) and ``arrived_at`` (of
+    the message, NULL if the source has no such column).
     """
     env = F.from_json(F.col(value_col), schemas.ENVELOPE)
-    e = df.select(F.col(value_col).alias("raw"), env.alias("env"))
+    arrived = F.col(arrived_col) if arrived_col in df.columns else F.lit(None)
+    e = df.select(F.col(value_col).alias("raw"), arrived.cast("timestamp_ntz").alias("arrived_at"), env.alias("env"))
     fields = schemas.EVENT_FIELDS
+    number = lambda text: F.coalesce(text.rlike(NUMBER_OF_MINUTES), F.lit(False))
+
+    def event(p: Column, text: Column) -> Column:
+        return F.struct(p.cast(schemas.EVENT_PAYLOAD).alias("p"), text.alias("number"))
+
     top = F.struct(*[F.col(f"env.{f}").alias(f) for f in fields])
-    qsp = F.col("env.queryStringParameters")
-    qsp_any = qsp[fields[0]].isNotNull()
-    for f in fields[1:]:
-        qsp_any = qsp_any | qsp[f].isNotNull()
+    query = F.col("env.queryStringParameters")
     records = F.col("env.Records")
     body = F.col("env.body")
-    empty = F.array(F.lit(None).cast(schemas.EVENT_PAYLOAD))
     payloads = (
-        F.when(_nonempty(F.col("env.user_id")), F.array(top))
-        .when(qsp.isNotNull() & qsp_any, F.array(qsp))
+        F.when(_nonempty(F.col("env.user_id")), F.array(event(top, number(F.col("raw")))))
+        .when(F.size(query) > 0, F.array(event(F.struct(*[query.getItem(f).alias(f) for f in fields]), F.lit(False))))
         .when(F.size(records) > 0,
-              F.transform(records, lambda r: F.from_json(r["body"], schemas.EVENT_PAYLOAD)))
-        .when(_nonempty(body), F.array(F.from_json(body, schemas.EVENT_PAYLOAD)))
-        .otherwise(empty)
+              F.transform(records, lambda r: event(F.from_json(r["body"], schemas.EVENT_PAYLOAD), number(r["body"]))))
+        .when(_nonempty(body), F.array(event(F.from_json(body, schemas.EVENT_PAYLOAD), number(body))))
+        .otherwise(F.array(event(F.lit(None), F.lit(False))))
     )
-    out = e.select("raw", F.col("env.event_id").alias("_m_id"),
-                   F.col("env.event_time").alias("_m_time"), F.explode(payloads).alias("p"))
+    out = e.select("raw", "arrived_at", F.col("env.event_id").alias("_m_id"), F.col("env.event_time").alias("_m_time"),
+                   (F.size(records) > 1).alias("_many"), F.posexplode(payloads).alias("_place", "e"))
+    own = F.when(F.col("_many") & F.col("_m_id").isNotNull(),
+                 F.concat("_m_id", F.lit("#"), F.col("_place").cast("string"))).otherwise(F.col("_m_id"))
     return out.select(
-        "raw", "p",
-        F.coalesce(F.col("p.event_id"), F.col("_m_id")).alias("event_id"),
-        F.coalesce(F.col("p.event_time"), F.col("_m_time")).alias("event_time"),
+        "raw", F.col("e.p").alias("p"),
+        F.coalesce(F.col("e.p.event_id"), own).alias("event_id"),
+        F.coalesce(F.col("e.p.event_time"), F.col("_m_time")).alias("event_time"),
+        F.col("e.number").alias("mins_is_number"), "arrived_at",
     )
 
 
@@ -98,13 +107,8 @@ def extract_fields(df: DataFrame) -> DataFrame:
     })
 
 
-def _ge(c: Column, bound: float) -> Column:
-    """``c >= bound`` with NaN false (Spark orders NaN above every number)."""
-    return (c >= bound) & ~F.isnan(c)
-
-
-def engagement_level(pct: Column) -> Column:
-    return F.when(_ge(pct, R.HIGH_PCT), "HIGH").when(_ge(pct, R.MEDIUM_PCT), "MEDIUM").otherwise("LOW")
+_ge = R.at_least
+engagement_level = R.engagement_level
 
 
 def notifications(user: Column, content: Column, pct: Column, mins: Column) -> Column:
@@ -130,7 +134,8 @@ def process_events(df: DataFrame) -> DataFrame:
         engagement_level(pct).alias("engagement_level"),
         _ge(pct, R.HIGH_PCT).alias("is_binge_watcher"),
         _ge(pct, R.MEDIUM_PCT).alias("is_engaged"),
-        F.date_format(F.date_trunc("second", F.col("event_ts")), STAMP_TEXT).alias("processed_at"),
+        # an event without a time of its own is stamped with its arrival
+        F.date_format(F.date_trunc("second", F.coalesce("event_ts", "arrived_at")), STAMP_TEXT).alias("processed_at"),
         notes.alias("notifications"),
         F.size(notes).alias("notification_count"),
     )
@@ -144,12 +149,17 @@ def processor_errors(df: DataFrame) -> DataFrame:
 
 # -- validate -> score -> route (the state machine) ------------------------------
 
+def whole_minutes(text: Column) -> Column:
+    """Minutes as the validator reads them: a JSON number is truncated, text must be whole."""
+    return F.when(F.col("mins_is_number"), text.try_cast("double").try_cast("int")).otherwise(text.try_cast("int"))
+
+
 def validation_error(p: str = "p") -> Column:
     """First failing rule wins: missing fields, completion range, minutes, user id."""
     f = lambda n: F.col(f"{p}.{n}")
     missing = F.array_compact(F.array(*[F.when(f(n).isNull(), F.lit(n)) for n in REQUIRED]))
     pct = f("completion_pct").try_cast("double")
-    mins = f("watched_mins").try_cast("int")
+    mins = whole_minutes(f("watched_mins"))
     pct_text = F.coalesce(pct.cast("string"), f("completion_pct"))
     return (
         F.when(F.size(missing) > 0,
@@ -171,7 +181,7 @@ def validate_events(df: DataFrame, stamp: Column | None = None) -> DataFrame:
         "user_id": F.col("p.user_id"),
         "content_id": F.col("p.content_id"),
         "completion_pct": F.col("p.completion_pct").try_cast("double"),
-        "watched_mins": F.col("p.watched_mins").try_cast("int"),
+        "watched_mins": whole_minutes(F.col("p.watched_mins")),
         "device": F.col("p.device"),
         "region": F.col("p.region"),
         "validation_status": F.when(F.col("validation_error").isNull(), F.lit("PASSED")),

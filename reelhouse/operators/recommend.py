@@ -16,7 +16,7 @@ and an id ``CNT0001``..``CNT1000``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import age_group
@@ -62,7 +62,13 @@ def _literal_map(d: dict[str, list[str]]) -> Column:
     return F.create_map(*kv)
 
 
-def candidates(user_id: Column, region: Column, group: Column) -> Column:
+def user_number(user_id: Column) -> Column:
+    """A number for any id: its last nine digits, 0 without digits or without an id."""
+    digits = F.right(F.regexp_replace(user_id.cast("string"), "[^0-9]", ""), F.lit(9))
+    return F.coalesce(digits.try_cast("bigint"), F.lit(0).cast("bigint"))
+
+
+def candidates(number: Column, region: Column, group: Column) -> Column:
     """ARRAY<STRUCT> of the 6 candidates, fields ordered for sorting:
     (neg_points, genre_pos, title_pos, ...)."""
     genres = F.coalesce(F.element_at(_literal_map(AGE_PREFERENCES), group),
@@ -73,16 +79,16 @@ def candidates(user_id: Column, region: Column, group: Column) -> Column:
 
     def per_title(genre, gi):
         def build(title, ti):
-            points = F.lit(75) + F.pmod(user_id * 7 + gi * 13 + ti * 5, F.lit(25))
+            points = F.lit(75) + F.pmod(number * 7 + gi * 13 + ti * 5, F.lit(25))
             return F.struct(
                 (-points).alias("neg_points"),
                 gi.alias("genre_pos"),
                 ti.alias("title_pos"),
-                F.format_string("CNT%04d", F.lit(1) + F.pmod(user_id * 31 + gi * 7 + ti, F.lit(1000)))
+                F.format_string("CNT%04d", F.lit(1) + F.pmod(number * 31 + gi * 7 + ti, F.lit(1000)))
                 .alias("content_id"),
                 title.alias("title"),
                 genre.alias("genre"),
-                F.element_at(langs, F.lit(1) + F.pmod(user_id + gi + ti, F.size(langs)).cast("int"))
+                F.element_at(langs, F.lit(1) + F.pmod(number + gi + ti, F.size(langs)).cast("int"))
                 .alias("language"),
                 (points / F.lit(100.0)).alias("match_score"),
             )
@@ -95,7 +101,7 @@ def candidates(user_id: Column, region: Column, group: Column) -> Column:
 def recommend(users: DataFrame, limit: int = DEFAULT_LIMIT) -> DataFrame:
     """Top-``limit`` titles per user, one row per (user, rank)."""
     group = age_group(F.coalesce(F.col("age"), F.lit(DEFAULT_AGE)))
-    cands = candidates(F.col("user_id"), F.col("region"), group)
+    cands = candidates(user_number(F.col("user_id")), F.col("region"), group)
     top = F.slice(F.array_sort(cands), 1, limit)
     return users.select(
         "user_id", "region", "age", group.alias("age_group"),
@@ -107,14 +113,20 @@ def recommend(users: DataFrame, limit: int = DEFAULT_LIMIT) -> DataFrame:
     )
 
 
+def recommend_for(spark: SparkSession, region: str | None = None, age: int | None = None,
+                  limit: int = DEFAULT_LIMIT) -> DataFrame:
+    """One request that names a region, an age and a limit, and no user."""
+    request = spark.range(1).select(F.lit(None).cast("string").alias("user_id"), F.lit(region).cast("string").alias("region"),
+                                    F.lit(age).cast("int").alias("age"))
+    return recommend(request, limit)
+
+
 def catalog_stats(content: DataFrame, users: DataFrame) -> DataFrame:
-    """Catalog size and vocabularies: genres and titles in the catalog, the
-    regions users come from.  The lists are over bounded vocabularies
-    (de-duplicated map-side by ``collect_set``'s partial aggregation)."""
-    regions = users.select(
-        F.array_join(F.array_sort(F.collect_set("region")), ",")).scalar()
-    return content.agg(
-        F.count_distinct("genre").alias("total_genres"),
-        F.count(F.lit(1)).alias("total_content"),
-        F.array_join(F.array_sort(F.collect_set("genre")), ",").alias("genres"),
-    ).withColumn("regions_supported", regions)
+    """Catalog size and vocabularies, one row for each value: (kind, value, n) with the
+    titles of each genre and the users of each region.  Genres and regions are counted
+    map-side first and stay rows, whatever their number."""
+    genres = content.groupBy(F.col("genre").alias("value")).agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("genre").alias("kind"), "value", "n")
+    regions = users.groupBy(F.col("region").alias("value")).agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("region").alias("kind"), "value", "n")
+    return genres.unionByName(regions)

@@ -5,14 +5,21 @@ Parquet has no MERGE, so a micro-batch is written to its own
 failure rewrites the same directory, so the store never double-counts.  ``r``
 identifies the writing stream by its checkpoint, so a stream started on a new
 checkpoint (whose batch ids restart at 0) cannot overwrite another run's
-batches.  Readers see
-one row per (user_id, processed_at) -- the latest write, ordered by event time
-then request id so the answer does not depend on how events were batched.
+batches.  A batch counts once its write is committed (``_SUCCESS``); readers
+name the committed directories they read, so nothing half-written is seen and
+no other directory is listed or scanned.
+
+Readers see one row per (user_id, processed_at) -- the latest write, ordered by
+event time then request id so the answer does not depend on how events were
+batched.  Events without a time of their own are stamped with their arrival and
+never replace each other: their key also has the request id.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +30,16 @@ STORE_KEY = ["user_id", "processed_at"]
 STORE_COLUMNS = ["user_id", "processed_at", "content_id", "completion_pct", "watched_mins",
                  "engagement_level", "is_binge_watcher", "device", "region",
                  "notification_count", "request_id", "event_ts"]
+STORE_SCHEMA = ("user_id string, processed_at string, content_id string, completion_pct double, watched_mins int, "
+                "engagement_level string, is_binge_watcher boolean, device string, region string, "
+                "notification_count int, request_id string, event_ts timestamp_ntz")
+BUCKETS = 64                # of a snapshot, by user
+
+
+class Batch(NamedTuple):
+    run: str
+    batch_id: int
+    path: str
 
 
 def run_id(checkpoint_dir: str) -> str:
@@ -35,53 +52,114 @@ def write_batch(batch: DataFrame, store_dir: str, batch_id: int, run: str) -> No
         .parquet(f"{store_dir}/run={run}/batch_id={batch_id}")
 
 
+def _glob(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match, by the file system the pattern names."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(str(f.getPath().toString()) for f in found or [])
+
+
+def committed(spark: SparkSession, store_dir: str) -> list[Batch]:
+    """The batches whose write is complete, in order."""
+    out = []
+    for mark in _glob(spark, f"{store_dir}/run=*/batch_id=*/_SUCCESS"):
+        path = mark.rsplit("/", 1)[0]
+        run, batch = path.rsplit("/", 2)[1:]
+        out.append(Batch(run.partition("=")[2], int(batch.partition("=")[2]), path))
+    return sorted(out)
+
+
+def _rows(spark: SparkSession, paths: list[str]) -> DataFrame:
+    return spark.read.schema(STORE_SCHEMA).parquet(*paths) if paths else spark.createDataFrame([], STORE_SCHEMA)
+
+
 def read_store(spark: SparkSession, store_dir: str) -> DataFrame:
-    return spark.read.parquet(store_dir)
+    """Every stored event once: repeated deliveries that landed in several batches collapse."""
+    return _rows(spark, [b.path for b in committed(spark, store_dir)]).distinct()
 
 
 def latest(store: DataFrame) -> DataFrame:
     """One row per key, last write wins (by event time, then request id)."""
-    rows = store.select(*STORE_COLUMNS)
-    return latest_by_key(rows, STORE_KEY, ["event_ts", "request_id"])
+    undated = F.when(F.col("event_ts").isNull(), F.coalesce("request_id", F.lit(""))).otherwise("")
+    rows = store.select(*STORE_COLUMNS, undated.alias("_undated"))
+    return latest_by_key(rows, [*STORE_KEY, "_undated"], ["event_ts", "request_id"]).select(*STORE_COLUMNS)
+
+
+def _snapshot(spark: SparkSession, snapshot_dir: str) -> tuple[int, dict[str, int]]:
+    """The last complete snapshot: its version and, for each stream run, the last batch it includes."""
+    marks = _glob(spark, f"{snapshot_dir}/v=*/_SUCCESS")
+    versions = sorted(int(m.rsplit("/", 2)[1].partition("=")[2]) for m in marks)
+    for v in reversed(versions):
+        got = _glob(spark, f"{snapshot_dir}/included/v={v}/_SUCCESS")
+        if got:
+            rows = spark.read.text(f"{snapshot_dir}/included/v={v}").collect()     # one row
+            return v, json.loads(rows[0]["value"])
+    return 0, {}
+
+
+def _newer(batches: list[Batch], through: dict[str, int]) -> list[Batch]:
+    return [b for b in batches if b.batch_id > through.get(b.run, -1)]
 
 
-def compact(spark: SparkSession, store_dir: str, snapshot_dir: str) -> str:
-    """Materialise the latest-by-key view of all committed batches.
+def compact(spark: SparkSession, store_dir: str, snapshot_dir: str) -> int:
+    """Fold the committed batches after the last snapshot into a new one; returns its version.
 
-    Written as a new version sorted by user within each file (row-group
-    statistics then prune per-user reads); then a marker table -- one row per
-    stream run with the last batch included -- is replaced, so readers never
-    see a half-written snapshot.  Returns the version name.
+    Reads the last snapshot and newer batches only.  A run's batches count up to
+    the first one that is missing, so one completed later is still newer.  The new
+    version gets its own directory, one partition for each bucket of users, and
+    then its own list of included batches; until that list is complete, readers
+    keep the version before.
     """
-    rows = read_store(spark, store_dir)
-    marker = rows.groupBy("run").agg(F.max("batch_id").alias("through_batch"))
-    marker_rows = marker.collect()            # one row per stream run (bounded)
-    if not marker_rows:
-        return ""
-    marker = spark.createDataFrame(marker_rows, "run string, through_batch int")
-    version = hashlib.sha1(repr(sorted(map(tuple, marker_rows))).encode()).hexdigest()[:16]
-    included = rows.join(F.broadcast(marker), "run").where(F.col("batch_id") <= F.col("through_batch"))
-    latest(included).sortWithinPartitions("user_id", "processed_at").write.mode("overwrite") \
-        .parquet(f"{snapshot_dir}/v={version}")
-    marker.withColumn("version", F.lit(version)).coalesce(1).write.mode("overwrite") \
-        .parquet(f"{snapshot_dir}/marker")
-    return version
-
-
-def read_latest(spark: SparkSession, store_dir: str, snapshot_dir: str | None = None) -> DataFrame:
-    """Latest-by-key view = last snapshot + batches written after it."""
-    rows = read_store(spark, store_dir)
-    if snapshot_dir is None:
-        return latest(rows)
-    try:
-        marker = spark.read.parquet(f"{snapshot_dir}/marker")
-        version = marker.select("version").first()["version"]
-    except Exception:  # no snapshot yet
-        return latest(rows)
-    snap = spark.read.parquet(f"{snapshot_dir}/v={version}").select(*STORE_COLUMNS)
-    newer = rows.join(F.broadcast(marker.drop("version")), "run", "left").where(
-        F.col("through_batch").isNull() | (F.col("batch_id") > F.col("through_batch")))
-    return latest(snap.unionByName(newer.select(*STORE_COLUMNS)))
+    version, through = _snapshot(spark, snapshot_dir)
+    included, upto = [], dict(through)
+    for b in _newer(committed(spark, store_dir), through):
+        if b.batch_id == upto.get(b.run, -1) + 1:
+            included.append(b)
+            upto[b.run] = b.batch_id
+    if not included:
+        return version
+    rows = _rows(spark, [b.path for b in included])
+    if version:
+        rows = rows.unionByName(spark.read.parquet(f"{snapshot_dir}/v={version}").select(*STORE_COLUMNS))
+    new = version + 1
+    (latest(rows).withColumn("user_bucket", user_bucket(F.col("user_id")))
+     .repartition("user_bucket").sortWithinPartitions("user_bucket", "user_id", "processed_at")
+     .write.mode("overwrite").partitionBy("user_bucket").parquet(f"{snapshot_dir}/v={new}"))
+    spark.range(1).select(F.lit(json.dumps(upto)).alias("value")).coalesce(1) \
+        .write.mode("overwrite").text(f"{snapshot_dir}/included/v={new}")
+    return new
+
+
+def vacuum(spark: SparkSession, store_dir: str, snapshot_dir: str) -> int:
+    """Delete batches the last snapshot includes, and older snapshots; returns how many batches."""
+    version, through = _snapshot(spark, snapshot_dir)
+    old = [b for b in committed(spark, store_dir) if b.batch_id <= through.get(b.run, -1)]
+    versions = [p for v in range(1, version) for p in _glob(spark, f"{snapshot_dir}/v={v}")]
+    for path in [b.path for b in old] + versions:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    return len(old)
+
+
+def user_bucket(user_id) -> F.Column:
+    return F.pmod(F.xxhash64(user_id), F.lit(BUCKETS)).cast("int")
+
+
+def read_latest(spark: SparkSession, store_dir: str, snapshot_dir: str | None = None,
+                user_id: str | None = None) -> DataFrame:
+    """Latest-by-key view = last snapshot + batches written after it.  With ``user_id``, of
+    one user: the snapshot is read from that user's bucket alone."""
+    version, through = _snapshot(spark, snapshot_dir) if snapshot_dir else (0, {})
+    rows = _rows(spark, [b.path for b in _newer(committed(spark, store_dir), through)])
+    snap = spark.read.parquet(f"{snapshot_dir}/v={version}") if version else None
+    if user_id is not None:
+        rows = rows.where(F.col("user_id") == user_id)
+        if snap is not None:
+            bucket = spark.range(1).select(user_bucket(F.lit(user_id))).first()[0]
+            snap = snap.where((F.col("user_bucket") == bucket) & (F.col("user_id") == user_id))
+    if snap is not None:
+        rows = snap.select(*STORE_COLUMNS).unionByName(rows)
+    return latest(rows)
 
 
 def events_of_user(view: DataFrame, user_id: str | F.Column) -> DataFrame:

@@ -19,11 +19,10 @@ def hu(num: str, den: str, scale: int) -> str:
 
 
 def avg_hu(col: str, in_scale: int, out_scale: int) -> str:
+    """Mean rounded HALF_UP; fractional columns are summed as whole millionths."""
     if in_scale == 0:
-        s = f"sum(CAST({col} AS BIGINT))"
-    else:
-        s = f"sum(CAST(round({col} * {10 ** in_scale}) AS BIGINT))"
-    return hu(s, f"count({col}) * {10 ** in_scale}", out_scale)
+        return hu(f"sum(CAST({col} AS HUGEINT))", f"count({col})", out_scale)
+    return hu(f"sum(CAST(round({col} * 1000000) AS HUGEINT))", f"count({col}) * 1000000", out_scale)
 
 
 def sum_1dp(col: str) -> str:
@@ -34,7 +33,7 @@ def sum_1dp(col: str) -> str:
 
 DOMAIN = {
     "users": """
-SELECT c_custkey AS user_id, c_name AS name,
+SELECT printf('USR%06d', c_custkey) AS user_id, c_name AS name,
   CASE WHEN c_custkey % 50 = 7 THEN concat('user', CAST(c_custkey AS VARCHAR(20)))
        WHEN c_custkey % 61 = 3 THEN NULL
        ELSE concat('user', CAST(c_custkey AS VARCHAR(20)), '@mail.test') END AS email,
@@ -50,7 +49,7 @@ SELECT c_custkey AS user_id, c_name AS name,
   CASE c_custkey % 3 WHEN 0 THEN 'Hindi' WHEN 1 THEN 'English' ELSE 'Tamil' END AS preferred_lang
 FROM customer""",
     "subscriptions": """
-SELECT o_orderkey AS subscription_id, o_custkey AS user_id,
+SELECT printf('SUB%08d', o_orderkey) AS subscription_id, printf('USR%06d', o_custkey) AS user_id,
   CASE WHEN o_orderkey % 40 = 9 THEN 'trial'
        WHEN o_orderpriority = '1-URGENT' THEN 'premium' WHEN o_orderpriority = '2-HIGH' THEN 'standard'
        WHEN o_orderpriority = '3-MEDIUM' THEN 'basic' ELSE 'free' END AS plan,
@@ -65,7 +64,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate D
       FROM orders) o
 WHERE rn = 1""",
     "content_catalog": """
-SELECT p_partkey AS content_id, p_name AS title,
+SELECT printf('CNT%04d', p_partkey) AS content_id, p_name AS title,
   CASE WHEN p_partkey % 2 = 0 THEN 'movie' ELSE 'series' END AS type, p_type AS genre,
   CASE p_partkey % 3 WHEN 0 THEN 'Hindi' WHEN 1 THEN 'English' ELSE 'Tamil' END AS language,
   CAST(2015 + p_size % 10 AS INT) AS release_year, CAST(20 + p_size * 3 AS INT) AS duration_mins,
@@ -74,13 +73,15 @@ SELECT p_partkey AS content_id, p_name AS title,
   p_partkey % 3 = 0 AS is_original
 FROM part""",
     "watch_events": """
-SELECT event_id,
-  CASE WHEN event_id % 400 = 111 THEN NULL ELSE user_id END AS user_id,
-  CASE WHEN event_id % 450 = 222 THEN NULL ELSE (event_id * 17) % 200 END AS content_id,
+SELECT printf('EVT%09d', event_id) AS event_id,
+  CASE WHEN event_id % 400 = 111 THEN NULL ELSE printf('USR%06d', user_id) END AS user_id,
+  CASE WHEN event_id % 450 = 222 THEN NULL
+       ELSE printf('CNT%04d', (event_id * 17) % (SELECT count(*) FROM part)) END AS content_id,
   ts + (event_id % 4) * 30 * INTERVAL '1' DAY AS watch_start_time,
   duration_mins,
   CASE WHEN event_id % 500 = 250 THEN 0 ELSE watched_mins END AS watched_mins,
   CASE WHEN event_id % 700 = 350 THEN 120e0 WHEN event_id % 350 = 17 THEN 100e0
+       WHEN event_id % 90 = 41 THEN floor((watched_mins * 10000) / (1e0 * duration_mins)) / 100e0
        ELSE floor((watched_mins * 2000 + duration_mins) / (2e0 * duration_mins)) / 10e0 END AS completion_pct,
   CASE event_id % 5 WHEN 0 THEN 'mobile' WHEN 1 THEN 'tablet' WHEN 2 THEN 'smart_tv'
     WHEN 3 THEN 'laptop' ELSE 'desktop' END AS device,
@@ -94,7 +95,7 @@ SELECT event_id,
 FROM (SELECT event_id, user_id, ts, CAST(30 + event_id % 151 AS INT) AS duration_mins,
              CAST(1 + (event_id * 13) % (30 + event_id % 151) AS INT) AS watched_mins FROM events) e""",
     "raw_watch_events": """
-SELECT * FROM watch_events UNION ALL SELECT * FROM watch_events WHERE event_id % 100 = 0""",
+SELECT * FROM watch_events UNION ALL SELECT * FROM watch_events WHERE CAST(substr(event_id, 4) AS BIGINT) % 100 = 0""",
 }
 
 # -- layers ---------------------------------------------------------------------
@@ -318,13 +319,24 @@ _LEVEL = ("CASE WHEN completion_pct >= 80 THEN 'HIGH' WHEN completion_pct >= 50
           "ELSE 'LOW' END")
 
 _ALL_CTES.update({
+    # one row for each payload: a queue batch with a second record has two, without ids of their own
+    "ev_raw": """
+SELECT *, CAST(substr(event_id, 4) AS BIGINT) AS number FROM raw_watch_events""",
     "ev_base": """
-SELECT *, ((event_id % 4 = 0 AND user_id IS NULL) OR event_id % 1000 = 999) AS dropped
-FROM raw_watch_events""",
+SELECT event_id || CASE WHEN number % 40 = 2 THEN '#' || CAST(place AS VARCHAR) ELSE '' END AS event_id,
+  CASE WHEN number % 300 = 7 THEN NULL
+       WHEN number % 200 = 13 THEN watch_start_time + INTERVAL 730 DAY
+       WHEN number % 500 = 21 THEN TIMESTAMP '2099-01-01 00:00:00' ELSE watch_start_time END AS event_ts,
+  date_trunc('second', watch_start_time + INTERVAL 1 MINUTE) AS arrived_at,
+  user_id, content_id, device, region,
+  CASE WHEN number % 40 = 2 THEN 85e0 ELSE completion_pct END AS completion_pct,
+  CASE WHEN number % 40 = 2 THEN CAST(30 + place AS INT) ELSE watched_mins END AS watched_mins,
+  ((number % 4 = 0 AND user_id IS NULL) OR number % 1000 = 999) AS dropped
+FROM ev_raw, (VALUES (0), (1)) AS t(place) WHERE place = 0 OR number % 40 = 2""",
     "ev_proc": """
-SELECT CAST(event_id AS VARCHAR) AS request_id, watch_start_time AS event_ts,
-  CASE WHEN dropped OR user_id IS NULL THEN 'UNKNOWN' ELSE CAST(user_id AS VARCHAR) END AS user_id,
-  CASE WHEN dropped OR content_id IS NULL THEN 'UNKNOWN' ELSE CAST(content_id AS VARCHAR) END AS content_id,
+SELECT event_id AS request_id, event_ts, arrived_at,
+  CASE WHEN dropped OR user_id IS NULL THEN 'UNKNOWN' ELSE user_id END AS user_id,
+  CASE WHEN dropped OR content_id IS NULL THEN 'UNKNOWN' ELSE content_id END AS content_id,
   CAST(CASE WHEN dropped THEN 0 ELSE completion_pct END AS DOUBLE) AS completion_pct,
   CAST(CASE WHEN dropped THEN 0 ELSE watched_mins END AS INT) AS watched_mins,
   CASE WHEN dropped THEN 'unknown' ELSE device END AS device,
@@ -334,7 +346,7 @@ FROM ev_base""",
 SELECT request_id, event_ts, user_id, content_id, completion_pct, watched_mins, device, region,
   {_LEVEL} AS engagement_level,
   completion_pct >= 80 AS is_binge_watcher, completion_pct >= 50 AS is_engaged,
-  strftime(date_trunc('second', event_ts), '%Y-%m-%d %H:%M:%S') AS processed_at,
+  strftime(date_trunc('second', coalesce(event_ts, arrived_at)), '%Y-%m-%d %H:%M:%S') AS processed_at,
   CAST((CASE WHEN completion_pct >= 80 THEN 1 ELSE 0 END)
        + (CASE WHEN completion_pct = 100 THEN 1 ELSE 0 END)
        + (CASE WHEN watched_mins > 120 THEN 1 ELSE 0 END) AS INT) AS notification_count,
@@ -366,7 +378,8 @@ SELECT DISTINCT user_id, processed_at, content_id, completion_pct, watched_mins,
 FROM processed""",
     "latest": """
 SELECT * EXCLUDE (rn) FROM (
-  SELECT *, row_number() OVER (PARTITION BY user_id, processed_at
+  SELECT *, row_number() OVER (PARTITION BY user_id, processed_at,
+                                 CASE WHEN event_ts IS NULL THEN request_id ELSE '' END
                                ORDER BY event_ts DESC, request_id DESC) AS rn
   FROM store_rows) WHERE rn = 1""",
     "top_user": """
@@ -374,7 +387,7 @@ SELECT user_id FROM (SELECT user_id, count(*) AS n FROM latest WHERE user_id !=
                      GROUP BY user_id)
 ORDER BY n DESC, user_id ASC LIMIT 1""",
 })
-ORDER.extend(["ev_base", "ev_proc", "processed", "validated", "scored", "store_rows", "latest",
+ORDER.extend(["ev_raw", "ev_base", "ev_proc", "processed", "validated", "scored", "store_rows", "latest",
               "top_user"])
 
 _MISSING = ("'Missing required fields: [' || concat_ws(', ', "
@@ -441,14 +454,15 @@ def _reco_ctes() -> dict[str, str]:
 SELECT u.user_id, u.region, u.age,
   CASE WHEN coalesce(u.age, 25) < 25 THEN '18-24' WHEN coalesce(u.age, 25) < 35 THEN '25-34'
        WHEN coalesce(u.age, 25) < 45 THEN '35-44' ELSE '45+' END AS age_group,
-  CASE WHEN u.region IN (SELECT region FROM rec_langs) THEN u.region ELSE 'default' END AS lang_region
+  CASE WHEN u.region IN (SELECT region FROM rec_langs) THEN u.region ELSE 'default' END AS lang_region,
+  coalesce(TRY_CAST(right(regexp_replace(u.user_id, '[^0-9]', '', 'g'), 9) AS BIGINT), 0) AS number
 FROM users u""",
         "rec_cands": """
 SELECT u.user_id, u.region, u.age, u.age_group, p.gpos, t.tpos, t.title, p.genre,
-  75 + (u.user_id * 7 + p.gpos * 13 + t.tpos * 5) % 25 AS points,
-  'CNT' || lpad(CAST(1 + (u.user_id * 31 + p.gpos * 7 + t.tpos) % 1000 AS VARCHAR), 4, '0') AS content_id,
+  75 + (u.number * 7 + p.gpos * 13 + t.tpos * 5) % 25 AS points,
+  'CNT' || lpad(CAST(1 + (u.number * 31 + p.gpos * 7 + t.tpos) % 1000 AS VARCHAR), 4, '0') AS content_id,
   u.lang_region,
-  (u.user_id + p.gpos + t.tpos) % (SELECT count(*) FROM rec_langs l WHERE l.region = u.lang_region) AS lpos
+  (u.number + p.gpos + t.tpos) % (SELECT count(*) FROM rec_langs l WHERE l.region = u.lang_region) AS lpos
 FROM rec_users u
 JOIN rec_prefs p ON p.age_group = u.age_group AND p.gpos < 3
 JOIN rec_titles t ON t.genre = p.genre AND t.tpos < 2""",
@@ -468,13 +482,41 @@ SELECT user_id, region, age, age_group, CAST(rank AS INT) AS rank, content_id, t
   points / 100.0 AS match_score
 FROM rec_ranked WHERE rank <= 5""",
     "catalog_stats": """
-SELECT count(DISTINCT genre) AS total_genres, count(*) AS total_content,
-  string_agg(DISTINCT genre, ',' ORDER BY genre) AS genres,
-  (SELECT string_agg(DISTINCT region, ',' ORDER BY region) FROM users) AS regions_supported
-FROM b_content""",
+SELECT 'genre' AS kind, genre AS value, count(*) AS n FROM b_content GROUP BY genre
+UNION ALL SELECT 'region', region, count(*) FROM users GROUP BY region""",
 }
 
 
+_COUNTS = {
+    "bronze.users": "b_users", "bronze.subscriptions": "b_subs", "bronze.content_catalog": "b_content",
+    "bronze.watch_events": "b_watch", "silver.user_watch_profile": "profile", "silver.content_performance": "perf",
+    "gold.dau_metrics": "dau", "gold.revenue_summary": "revenue", "gold.top_content": "top",
+    "gold.device_analytics": "device",
+}
+JOBS = {
+    "bronze_events_array": "SELECT *, 'raw/watch_events/watch_events.json' AS source_file, 'bronze' AS layer FROM b_watch",
+    "bronze_events_untidy": """
+SELECT *, 'raw/watch_events/watch_events.json' AS source_file, 'bronze' AS layer FROM b_watch
+WHERE CAST(substr(event_id, 4) AS BIGINT) % 97 <> 5""",
+    "bronze_rejected": """
+SELECT '{"event_id": "' || event_id || '", "user_id":' AS record FROM raw_watch_events
+WHERE CAST(substr(event_id, 4) AS BIGINT) % 97 = 5""",
+    "job_row_counts": " UNION ALL ".join(
+        [f"SELECT '{name}' AS output, count(*) AS n_rows FROM {cte}" for name, cte in _COUNTS.items()]
+        + [f"SELECT 'bronze.rejected_{t}', 0" for t in ("users", "subscriptions", "content_catalog", "watch_events")]
+        + [f"SELECT 'quarantine.{t}', count(*) FROM ({_dq_quarantine_sql()}) WHERE \"table\" = '{t}'"
+           for t in ("users", "watch_events", "subscriptions")]),
+    "job_user_watch_profile": "SELECT * FROM profile",
+    "job_top_content": "SELECT * FROM top",
+    "job_quarantined_events": f"""
+SELECT record_id AS event_id, string_split(failed_checks, ',') AS failed_checks FROM ({_dq_quarantine_sql()})
+WHERE "table" = 'watch_events'""",
+    "sql_functions": f"""
+SELECT event_id, plan, age_group, {_LEVEL} AS level,
+  round(completion_pct * 0.6 + least(watched_mins / 120 * 100, 100) * 0.4, 1) AS score FROM profile""",
+    "engagement_store_sink": "SELECT * FROM store_rows",
+}
+
 EXTRA = {
     "mau_distinct": """
 SELECT CAST(date_trunc('month', watch_date) AS DATE) AS month,
@@ -487,6 +529,6 @@ SQL_PACK = {f"sql_{name}": body for name, body in REPORTS.items()}
 
 def oracle_sql() -> dict[str, str]:
     out = {}
-    for name, body in {**MEDALLION, **REPORTS, **DQ, **EVENTS, **RECO, **EXTRA, **SQL_PACK}.items():
+    for name, body in {**MEDALLION, **REPORTS, **DQ, **EVENTS, **RECO, **EXTRA, **JOBS, **SQL_PACK}.items():
         out[name] = with_ctes(body)
     return out

@@ -55,30 +55,36 @@ def bronze_tables(raw: dict[str, DataFrame], ingestion_time: str) -> dict[str, D
     return {t: to_bronze(df, t, ingestion_time) for t, df in raw.items()}
 
 
+def read_landed(spark: SparkSession, path: str, table: str, json_array: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(raw rows with ``source_path``, rejected rows) of one landed table."""
+    raw = files.read_raw(spark, path, table, multiline=json_array, keep_rejected=True)
+    return files.split_rejected(raw.withColumn("source_path", files.source_file_column()), schemas.RAW[table][1])
+
+
 def ingest_files(spark: SparkSession, raw_dir: str, ingestion_time: str,
-                 multiline_json: bool = False) -> dict[str, DataFrame]:
+                 json_array: bool = False) -> dict[str, DataFrame]:
     """Bronze frames straight from landed raw files under ``raw_dir/<table>``,
     with ``source_path``: the file each surviving row was read from."""
-    out = {}
-    for t in schemas.RAW:
-        raw = files.read_raw(spark, f"{raw_dir}/{t}", t, multiline=multiline_json)
-        raw = raw.withColumn("source_path", files.source_file_column())
-        out[t] = to_bronze(raw, t, ingestion_time)
-    return out
-
-
-def run(spark: SparkSession, raw_dir: str, bronze_dir: str, ingestion_time: str) -> dict[str, int]:
-    """Job: land every raw table in ``bronze_dir`` as Parquet; returns row counts.
-
-    Events leave the key de-duplication hash-partitioned by event_id.  Each
-    task sorts its rows by ``watch_date`` before writing, so every Parquet
-    row group covers a narrow date range and date predicates skip row groups
-    via min/max statistics -- without a second full shuffle for a
-    ``partitionBy`` layout, and without one file per (task, date).
+    return {t: to_bronze(read_landed(spark, f"{raw_dir}/{t}", t, json_array)[0], t, ingestion_time)
+            for t in schemas.RAW}
+
+
+def run(spark: SparkSession, raw_dir: str, bronze_dir: str, ingestion_time: str,
+        json_array: bool = False) -> dict[str, int]:
+    """Job: land every raw table in ``bronze_dir`` as Parquet; returns row counts,
+    and ``rejected_<table>`` for rows that did not parse, kept in ``_rejected/<table>``.
+
+    Events are partitioned by ``watch_date``; a rebalance on it gives each date
+    few files and splits a date that is too large for one task.  Only the dates of
+    the run are replaced.
     """
     jobs = {}
-    for table, df in ingest_files(spark, raw_dir, ingestion_time).items():
+    for table in schemas.RAW:
+        raw, rejected = read_landed(spark, f"{raw_dir}/{table}", table, json_array)
+        df = to_bronze(raw, table, ingestion_time)
         if table == "watch_events":
-            df = df.sortWithinPartitions("watch_date", "event_id")
-        jobs[table] = (lambda d=df, t=table: write_parquet(d, f"{bronze_dir}/{t}"))
+            df = df.hint("rebalance", F.col("watch_date"))
+        by_date = {"partition_by": ["watch_date"], "replace_partitions": True} if table == "watch_events" else {}
+        jobs[table] = lambda d=df, t=table, k=by_date: write_parquet(d, f"{bronze_dir}/{t}", **k)
+        jobs[f"rejected_{table}"] = lambda d=rejected, t=table: write_parquet(d, f"{bronze_dir}/_rejected/{t}")
     return run_concurrently(jobs)

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources import domain, files
 from ..session import new_scratch
@@ -70,6 +71,43 @@ def bronze_from_files(spark: SparkSession, sf_dir: str, table: str) -> DataFrame
     return bronze_plan.to_bronze(df, table, now_text())
 
 
+def land_untidy_events(spark: SparkSession, sf_dir: str, raw_dir: str) -> None:
+    """Events as JSON lines, some of them cut short (numbers with remainder 5 by 97)."""
+    ev = domain.raw_watch_events(spark, sf_dir)
+    whole = F.to_json(F.struct(*ev.columns), {"timestampNTZFormat": files.TS_TEXT})
+    cut = F.concat(F.lit('{"event_id": "'), F.col("event_id"), F.lit('", "user_id":'))
+    broken = F.expr(f"{domain.number_of('event_id')} % 97 = 5")
+    ev.select(F.when(broken, cut).otherwise(whole).alias("value")).write.mode("overwrite").text(f"{raw_dir}/watch_events")
+
+
+def events_from_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze events ingested from files that each hold one JSON array."""
+    raw_dir = new_scratch(spark, "raw-arrays")
+    files.write_json_arrays(domain.raw_watch_events(spark, sf_dir), f"{raw_dir}/watch_events")
+    raw, _ = bronze_plan.read_landed(spark, f"{raw_dir}/watch_events", "watch_events", json_array=True)
+    return bronze_plan.to_bronze(raw.drop("source_path", "part"), "watch_events", now_text())
+
+
+def events_from_untidy_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(bronze events, rejected records) of JSON lines some of which are broken."""
+    raw_dir = new_scratch(spark, "raw-untidy")
+    land_untidy_events(spark, sf_dir, raw_dir)
+    raw, rejected = bronze_plan.read_landed(spark, f"{raw_dir}/watch_events", "watch_events")
+    return bronze_plan.to_bronze(raw.drop("source_path"), "watch_events", now_text()), rejected
+
+
+def job_outputs(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, int]]:
+    """Land the raw tables, run the three ETL jobs and the quality job; returns the lake's
+    folder and the rows each job says it wrote."""
+    from . import quality_job
+    root = new_scratch(spark, "lake")
+    land_raw(spark, sf_dir, f"{root}/raw")
+    counts = {f"{layer}.{t}": n for layer, tables in run_jobs(spark, f"{root}/raw", root).items() for t, n in tables.items()}
+    dq = quality_job.run(spark, f"{root}/bronze", f"{root}/dq", "2024-06-01 00:00:00")
+    counts |= {f"quarantine.{t}": n for t, n in dq["quarantined_rows"].items()}
+    return root, counts
+
+
 def run_jobs(spark: SparkSession, raw_dir: str, out_dir: str) -> dict[str, dict[str, int]]:
     """Run the three ETL jobs in order over landed raw files."""
     t = now_text()

@@ -45,6 +45,12 @@ def _run_id(run_time: str) -> str:
     return "".join(ch for ch in run_time if ch.isdigit())
 
 
+def _partition(run_date: str, run_id: str) -> str:
+    """A run's own folder: a plain overwrite there also clears rows of an earlier attempt
+    that a clean rerun no longer has."""
+    return f"run_date={run_date}/run_id={run_id}"
+
+
 def _table_job(df: DataFrame, table: str, checks: list, out: str, run_date: str, run_id: str):
     row_checks = [c for c in checks if isinstance(c, quality.Check)]
     uniques = [c for c in checks if isinstance(c, quality.UniqueCheck)]
@@ -53,10 +59,8 @@ def _table_job(df: DataFrame, table: str, checks: list, out: str, run_date: str,
         obs = Observation(f"dq_{table}")
         observed = df.observe(obs, F.count(F.lit(1)).alias("total"),
                               *[F.count_if(c.failing).alias(c.name) for c in row_checks])
-        q = quality.quarantine(observed, row_checks).withColumns(
-            {"run_date": F.lit(run_date), "run_id": F.lit(run_id)})
-        written = write_parquet(q, f"{out}/failed_records/{table}",
-                                partition_by=["run_date", "run_id"], replace_partitions=True)
+        q = quality.quarantine(observed, row_checks)
+        written = write_parquet(q, f"{out}/failed_records/{table}/{_partition(run_date, run_id)}")
         counts = {k: int(v) for k, v in obs.get.items()}
         counts["_quarantined"] = written
         for u in uniques:
@@ -87,11 +91,9 @@ def run(spark: SparkSession, bronze_dir: str, dq_dir: str, run_time: str,
         F.when(F.col("total") > 0, half_up("(total - failed) * 100", "total", 1))
         .alias("pass_rate_pct"),
         F.when(F.col("failed") == 0, "PASS").otherwise("FAIL").alias("status"),
-        F.lit(run_time).alias("run_time"), "check_order", F.lit(run_date).alias("run_date"),
-        F.lit(run_id).alias("run_id"),
+        F.lit(run_time).alias("run_time"), "check_order",
     )
-    write_parquet(report.coalesce(1), f"{dq_dir}/reports", partition_by=["run_date", "run_id"],
-                  replace_partitions=True)
+    write_parquet(report.coalesce(1), f"{dq_dir}/reports/{_partition(run_date, run_id)}")
     # The summary and gate come from the eleven counts already on the driver.
     failed = [name for _, name, _, _, n_failed in rows if n_failed]
     result = {"total_checks": len(rows), "passed_checks": len(rows) - len(failed),

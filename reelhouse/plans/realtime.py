@@ -13,11 +13,6 @@ from ..sources import domain
 from ..streaming.engagement import parsed_events, run_engagement_stream
 from ..streaming.feed import envelope_feed, land_feed
 
-# A replay of the whole feed is a backfill: the de-duplication window must
-# cover the feed's full event-time span so no delivery counts as late.
-REPLAY_DEDUPE_DELAY = "365 days"
-
-
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelope_feed(domain.raw_watch_events(spark, sf_dir))
 
@@ -51,14 +46,12 @@ def state_machine(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-def stream_store(spark: SparkSession, sf_dir: str, files: int = 8,
-                 max_files_per_trigger: int = 2) -> str:
+def stream_store(spark: SparkSession, sf_dir: str, dedupe: str = "batch") -> str:
     """Land the feed as files and replay it through the stream; returns the store dir."""
     root = new_scratch(spark, "engagement")
-    land_feed(feed(spark, sf_dir), f"{root}/feed", files)
+    land_feed(feed(spark, sf_dir), f"{root}/feed")
     run_engagement_stream(spark, f"{root}/feed", f"{root}/store", f"{root}/dead_letters",
-                          f"{root}/checkpoint", dedupe_delay=REPLAY_DEDUPE_DELAY,
-                          max_files_per_trigger=max_files_per_trigger)
+                          f"{root}/checkpoint", dedupe=dedupe)
     return f"{root}/store"
 
 
@@ -69,12 +62,11 @@ def compacted_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_scratch(spark, "engagement-compacted")
     msgs = feed(spark, sf_dir)
     half = F.pmod(F.xxhash64("value"), F.lit(2))
-    land_feed(msgs.where(half == 0), f"{root}/feed_a", 4)
-    land_feed(msgs.where(half == 1), f"{root}/feed_b", 4)
+    land_feed(msgs.where(half == 0), f"{root}/feed_a")
+    land_feed(msgs.where(half == 1), f"{root}/feed_b")
     for part in ("a", "b"):
         run_engagement_stream(spark, f"{root}/feed_{part}", f"{root}/store", f"{root}/dead",
-                              f"{root}/checkpoint_{part}", dedupe_delay=REPLAY_DEDUPE_DELAY,
-                              max_files_per_trigger=2)
+                              f"{root}/checkpoint_{part}")
         if part == "a":
             store.compact(spark, f"{root}/store", f"{root}/snapshot")
     return store.read_latest(spark, f"{root}/store", f"{root}/snapshot")
@@ -85,9 +77,22 @@ def store_outputs(spark: SparkSession, store_dir: str) -> dict[str, DataFrame]:
     view = store.latest(rows)
     top = store.busiest_user(view)
     return {
-        "engagement_store": rows.drop("batch_id", "run"),
+        "engagement_store": rows,
         "engagement_latest": view,
         "engagement_by_user": store.events_of_user(view, top),
         "engagement_range": store.recent_events(view, top, days=30),
         "engagement_high_users": store.high_engagement_users(view),
     }
+
+
+def stored_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The store as two runs wrote it with repeats left out at the sink: no reader collapses anything."""
+    root = new_scratch(spark, "engagement-once")
+    msgs = feed(spark, sf_dir)
+    half = F.pmod(F.monotonically_increasing_id(), F.lit(2))
+    land_feed(msgs.withColumn("_half", half).where("_half = 0").drop("_half"), f"{root}/feed_a")
+    land_feed(msgs, f"{root}/feed_b")
+    for part in ("a", "b"):
+        run_engagement_stream(spark, f"{root}/feed_{part}", f"{root}/store", f"{root}/dead",
+                              f"{root}/checkpoint_{part}", dedupe="sink")
+    return spark.read.schema(store.STORE_SCHEMA).parquet(*[b.path for b in store.committed(spark, f"{root}/store")])

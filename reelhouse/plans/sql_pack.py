@@ -11,11 +11,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.columns import half_up_sql, scaled_sum_sql
+from ..functions.columns import avg_half_up_sql, exact_sql, half_up_sql
 
 
 def _avg(col: str, in_scale: int, out_scale: int) -> str:
-    return half_up_sql(scaled_sum_sql(col, in_scale), f"count({col}) * {10 ** in_scale}", out_scale)
+    return avg_half_up_sql(col, in_scale, out_scale)
 
 
 SQL = {
@@ -66,7 +66,7 @@ SELECT genre,
        count(*) AS total_titles,
        {_avg('avg_completion_pct', 1, 1)} AS avg_completion_pct,
        sum(total_views) AS total_views,
-       CAST({scaled_sum_sql('watch_hours', 1)} AS DOUBLE) / 10D AS total_watch_hours,
+       CAST(sum({exact_sql('watch_hours')}) AS DOUBLE) AS total_watch_hours,
        sum(unique_viewers) AS total_unique_viewers
 FROM top_content
 GROUP BY genre
@@ -75,7 +75,7 @@ ORDER BY avg_completion_pct DESC""",
 SELECT type,
        count(*) AS total_titles,
        sum(total_views) AS total_views,
-       CAST({scaled_sum_sql('watch_hours', 1)} AS DOUBLE) / 10D AS total_watch_hours,
+       CAST(sum({exact_sql('watch_hours')}) AS DOUBLE) AS total_watch_hours,
        {_avg('avg_completion_pct', 1, 1)} AS avg_completion_pct,
        {_avg('rating', 1, 1)} AS avg_rating
 FROM top_content

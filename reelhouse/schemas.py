@@ -2,7 +2,8 @@
 
 Raw files are read with an all-string schema built from these (no inference),
 then cast with ``try_cast`` so one malformed cell becomes NULL instead of
-failing the job under ANSI mode.
+failing the job under ANSI mode.  Ids are text (``USR000001``, a uuid, ``CNT0001``)
+and pass through untouched.
 """
 
 from __future__ import annotations
@@ -18,23 +19,23 @@ def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:
 
 
 USERS = _schema(
-    ("user_id", L), ("name", S), ("email", S), ("age", I), ("gender", S), ("region", S),
+    ("user_id", S), ("name", S), ("email", S), ("age", I), ("gender", S), ("region", S),
     ("device", S), ("signup_date", DT), ("is_active", B), ("preferred_lang", S),
 )
 
 SUBSCRIPTIONS = _schema(
-    ("subscription_id", L), ("user_id", L), ("plan", S), ("start_date", DT), ("end_date", DT),
+    ("subscription_id", S), ("user_id", S), ("plan", S), ("start_date", DT), ("end_date", DT),
     ("amount_paid", I), ("payment_method", S), ("auto_renew", B),
 )
 
 CONTENT_CATALOG = _schema(
-    ("content_id", L), ("title", S), ("type", S), ("genre", S), ("language", S),
+    ("content_id", S), ("title", S), ("type", S), ("genre", S), ("language", S),
     ("release_year", I), ("duration_mins", I), ("rating", D), ("num_seasons", I),
     ("is_original", B),
 )
 
 WATCH_EVENTS = _schema(
-    ("event_id", L), ("user_id", L), ("content_id", L), ("watch_start_time", TS),
+    ("event_id", S), ("user_id", S), ("content_id", S), ("watch_start_time", TS),
     ("duration_mins", I), ("watched_mins", I), ("completion_pct", D), ("device", S),
     ("region", S), ("buffering_events", I), ("quality", S),
 )
@@ -47,6 +48,15 @@ RAW = {
     "watch_events": (WATCH_EVENTS, "event_id"),
 }
 
+# The columns silver takes from each bronze table, with their silver names
+# where these differ (``device`` means another thing for users and for events).
+PROFILE_USERS = ["user_id", "name", "age", "gender", "region", "device AS user_preferred_device",
+                 "signup_date", "is_active", "preferred_lang"]
+PROFILE_SUBSCRIPTIONS = ["user_id", "plan", "amount_paid", "start_date", "end_date"]
+PROFILE_EVENTS = ["event_id", "user_id", "content_id", "watch_start_time", "watched_mins", "completion_pct",
+                  "device AS watch_device", "quality", "buffering_events", "watch_date", "watch_hour"]
+TITLE_ATTRIBUTES = ["content_id", "title", "type", "genre", "language", "rating"]
+
 # Logical source label written into bronze ``source_file`` (fixed values).
 SOURCE_FILES = {
     "users": "raw/users/users.csv",
@@ -69,7 +79,7 @@ EVENT_PAYLOAD = _schema(*[(f, S) for f in EVENT_FIELDS])
 ENVELOPE = T.StructType(
     list(EVENT_PAYLOAD.fields)
     + [
-        T.StructField("queryStringParameters", EVENT_PAYLOAD, True),
+        T.StructField("queryStringParameters", T.MapType(S, S), True),
         T.StructField("Records", T.ArrayType(_schema(("body", S))), True),
         T.StructField("body", S, True),
     ]

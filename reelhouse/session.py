@@ -9,7 +9,6 @@ coalesced, and skewed sort-merge join partitions are split.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -34,8 +33,8 @@ BASE_CONF = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # Streaming state (the de-duplication window) can be large: keep it in
-    # RocksDB with changelog checkpoints rather than on the JVM heap.
+    # Streaming state, where a caller keeps some, goes to RocksDB with changelog
+    # checkpoints rather than on the JVM heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
@@ -79,6 +78,7 @@ def apply_runtime_conf(spark: SparkSession) -> None:
         "spark.sql.ansi.enabled",
         "spark.sql.adaptive.enabled",
         "spark.sql.adaptive.skewJoin.enabled",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin",
     ):
         try:
             spark.conf.set(k, BASE_CONF[k])
@@ -101,27 +101,20 @@ def shared_dir(spark: SparkSession) -> str:
     """Root of the shared folder jobs may write intermediate tables to.
 
     Reads the cluster's ``spark.checkpoint.dir`` (or the context's checkpoint
-    dir).  Only when neither is set (unit tests on a laptop) do we create one.
+    dir).  Only when neither is set and the master is local (unit tests) is a
+    folder made; on a cluster each executor would write to its own disk.
     """
     sc = spark.sparkContext
-    root = None
-    try:
-        root = spark.conf.get("spark.checkpoint.dir", None)
-    except Exception:
-        root = None
-    if not root:
-        root = sc.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="reelhouse-ckpt-")
-        sc.setCheckpointDir(root)
-    elif sc.getCheckpointDir() is None:
+    if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
 def new_scratch(spark: SparkSession, label: str) -> str:
     """A fresh, unique sub-folder of the shared folder for one run."""
-    path = f"{shared_dir(spark)}/reelhouse/{label}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-    return path
+    return f"{shared_dir(spark)}/reelhouse/{label}-{uuid.uuid4().hex[:12]}"

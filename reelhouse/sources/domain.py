@@ -13,7 +13,8 @@ so every downstream query's work grows with those tables.  The derivations
 deliberately include dirty rows (NULL keys, bad ages, malformed e-mails,
 invalid plans, negative amounts, zero-length periods, out-of-range
 percentages) so the quality checks have something to find, and the raw event
-feed repeats 1 % of its events to exercise key de-duplication.
+feed repeats 1 % of its events to exercise key de-duplication.  Ids are text,
+as in landed files; ``number_of`` gives the number an id was made from.
 """
 
 from __future__ import annotations
@@ -21,7 +22,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Region / device / quality / language vocabularies used by the derivation.
+# Id texts by kind of id.
+IDS = {"user": "USR%06d", "subscription": "SUB%08d", "content": "CNT%04d", "event": "EVT%09d"}
+
+# Regions the recommender knows by name, and the devices and qualities of events.
 REGIONS = ["Maharashtra", "Karnataka", "Tamil Nadu", "Delhi", "Telangana",
            "Gujarat", "West Bengal", "Rajasthan", "Uttar Pradesh", "Kerala"]
 DEVICES = ["mobile", "tablet", "smart_tv", "laptop", "desktop"]
@@ -37,13 +41,23 @@ def _pick(expr: str, values: list[str]) -> str:
     return f"CASE {expr} {arms} ELSE '{values[-1]}' END"
 
 
+def _id(kind: str, expr: str) -> str:
+    """The id text of a number (NULL stays NULL)."""
+    return f"CASE WHEN ({expr}) IS NOT NULL THEN format_string('{IDS[kind]}', CAST({expr} AS BIGINT)) END"
+
+
+def number_of(col: str) -> str:
+    """The number an id text was made from."""
+    return f"CAST(substring({col}, 4) AS BIGINT)"
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "customer").selectExpr(
-        "c_custkey AS user_id",
+        f"{_id('user', 'c_custkey')} AS user_id",
         "c_name AS name",
         "CASE WHEN c_custkey % 50 = 7 THEN concat('user', CAST(c_custkey AS STRING)) "
         "WHEN c_custkey % 61 = 3 THEN NULL "
@@ -73,8 +87,8 @@ def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("o_custkey", "o.*")
     )
     return latest.selectExpr(
-        "o_orderkey AS subscription_id",
-        "o_custkey AS user_id",
+        f"{_id('subscription', 'o_orderkey')} AS subscription_id",
+        f"{_id('user', 'o_custkey')} AS user_id",
         "CASE WHEN o_orderkey % 40 = 9 THEN 'trial' "
         "WHEN o_orderpriority = '1-URGENT' THEN 'premium' "
         "WHEN o_orderpriority = '2-HIGH' THEN 'standard' "
@@ -93,7 +107,7 @@ def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def content_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "part").selectExpr(
-        "p_partkey AS content_id",
+        f"{_id('content', 'p_partkey')} AS content_id",
         "p_name AS title",
         "CASE WHEN p_partkey % 2 = 0 THEN 'movie' ELSE 'series' END AS type",
         "p_type AS genre",
@@ -107,20 +121,23 @@ def content_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def watch_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One viewing event per ``events`` row (raw form: no derived date/hour)."""
-    e = read_table(spark, sf_dir, "events").selectExpr(
-        "event_id", "user_id", "ts",
+    """One viewing event per ``events`` row (raw form: no derived date/hour).
+    Titles come from the whole catalog, so they grow with ``part``."""
+    titles = read_table(spark, sf_dir, "part").select(F.count(F.lit(1))).scalar()
+    e = read_table(spark, sf_dir, "events").withColumn("titles", titles).selectExpr(
+        "event_id", "user_id", "ts", "titles",
         "CAST(30 + event_id % 151 AS INT) AS duration_mins",
         "CAST(1 + (event_id * 13) % (30 + event_id % 151) AS INT) AS watched_mins",
     )
     return e.selectExpr(
-        "event_id",
-        "CASE WHEN event_id % 400 = 111 THEN NULL ELSE user_id END AS user_id",
-        "CASE WHEN event_id % 450 = 222 THEN NULL ELSE (event_id * 17) % 200 END AS content_id",
+        f"{_id('event', 'event_id')} AS event_id",
+        f"{_id('user', 'CASE WHEN event_id % 400 = 111 THEN NULL ELSE user_id END')} AS user_id",
+        f"{_id('content', 'CASE WHEN event_id % 450 = 222 THEN NULL ELSE (event_id * 17) % titles END')} AS content_id",
         "ts + make_dt_interval(CAST((event_id % 4) * 30 AS INT)) AS watch_start_time",
         "duration_mins",
         "CASE WHEN event_id % 500 = 250 THEN 0 ELSE watched_mins END AS watched_mins",
         "CASE WHEN event_id % 700 = 350 THEN 120.0D WHEN event_id % 350 = 17 THEN 100.0D "
+        "WHEN event_id % 90 = 41 THEN floor((watched_mins * 10000) / (1.0D * duration_mins)) / 100.0D "
         "ELSE floor((watched_mins * 2000 + duration_mins) / (2.0D * duration_mins)) / 10.0D "
         "END AS completion_pct",
         f"{_pick('event_id % 5', DEVICES)} AS device",
@@ -133,7 +150,7 @@ def watch_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_watch_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event feed as delivered: at-least-once, 1 % of events repeated."""
     ev = watch_events(spark, sf_dir)
-    return ev.unionByName(ev.where("event_id % 100 = 0"))
+    return ev.unionByName(ev.where(f"{number_of('event_id')} % 100 = 0"))
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -1,8 +1,8 @@
 """Structured Streaming wiring for the event path.
 
-    readStream (text messages) -> parse envelopes -> extract fields
-      -> watermark + dropDuplicatesWithinWatermark(event id)      [at-least-once input]
-      -> foreachBatch: processor records -> keyed store (batch_id=<n>, overwrite)
+    readStream (messages) -> parse envelopes -> extract fields
+      -> foreachBatch: repeated deliveries removed             [at-least-once input]
+                       processor records -> keyed store (batch_id=<n>, overwrite)
                        parse failures   -> dead letters (batch_id=<n>, overwrite)
 
 The per-row rules are the same transforms the batch form uses, so a replay of
@@ -10,9 +10,11 @@ a feed through the stream gives the same store as one batch run.  Each
 micro-batch is written to its own directory with overwrite, so a batch
 replayed from the checkpoint after a failure replaces its own output.
 
-Rows older than the watermark are dropped by Spark's de-duplication, so the
-delay must cover the input's event-time disorder; for a historical replay
-(backfill) that is the feed's whole time span.
+No event is lost for its time: nothing here has a watermark, so late, undated
+and future-dated events are stored like any other.  Repeated deliveries are
+removed by key in the sink: within a batch by an aggregate that combines copies
+in each map task, across batches by the store (readers collapse them), or
+before the write by an anti-join with the stored keys (``dedupe="sink"``).
 """
 
 from __future__ import annotations
@@ -21,8 +23,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import events as ev
-from ..operators.dedupe import dedupe_by_key
 from ..operators import store
+from ..operators.dedupe import dedupe_by_key
 
 
 def parsed_events(messages: DataFrame) -> DataFrame:
@@ -35,50 +37,37 @@ def _dedupe_key():
                       F.sha2(F.concat_ws("\u0001", F.to_json("p"), F.col("raw")), 256))
 
 
-def with_dedupe_combined(parsed: DataFrame, delay: str, window: str = "1 hour") -> DataFrame:
-    """Repeated deliveries removed by a streaming aggregation (update mode).
-
-    Groups are (event id, event-time window): copies of one event share its
-    event time, so they meet in one group, and the watermark evicts a group's
-    state once its window is older than ``delay``.  Unlike the stateful
-    de-duplication operator, a streaming aggregation combines map-side before
-    the shuffle, so a flood of copies of one event is collapsed inside each
-    map task.  ``current_timestamp()`` is constant within a micro-batch (and
-    restored on replay), so ``_first == _last`` marks a key whose first
-    delivery is in the current batch; ``first_deliveries`` keeps those.
-    """
-    cols = parsed.columns
-    wm = F.coalesce(F.col("event_ts").cast("timestamp"), F.current_timestamp())
-    return (parsed.withColumns({"_dedupe_key": _dedupe_key(), "_wm": wm,
-                                "_seen": F.current_timestamp()})
-            .withWatermark("_wm", delay)
-            .groupBy("_dedupe_key", F.window("_wm", window))
-            .agg(F.min(F.struct(*cols)).alias("_row"), F.min("_seen").alias("_first"),
-                 F.max("_seen").alias("_last")))
+def first_deliveries(batch: DataFrame) -> DataFrame:
+    """One row for each event of a batch; copies are combined in each map task."""
+    return dedupe_by_key(batch.withColumn("_dedupe_key", _dedupe_key()), "_dedupe_key", ["arrived_at"]).drop("_dedupe_key")
 
 
-def first_deliveries(batch: DataFrame) -> DataFrame:
-    return batch.where(F.col("_first") == F.col("_last")).select("_row.*")
+def not_stored(spark: SparkSession, batch: DataFrame, store_dir: str, run: str, batch_id: int) -> DataFrame:
+    """The events of a batch whose ids no other committed batch holds: only the id column of the
+    store is read, and batch directories of this id are left out, so a replayed batch is whole."""
+    paths = [c.path for c in store.committed(spark, store_dir) if (c.run, c.batch_id) != (run, batch_id)]
+    if not paths:
+        return batch
+    seen = spark.read.parquet(*paths).select(F.col("request_id").alias("_seen")).where("_seen is not null")
+    return batch.join(seen, F.col("event_id") == F.col("_seen"), "left_anti")
 
 
-def with_dedupe(parsed: DataFrame, delay: str) -> DataFrame:
-    """Drop repeated deliveries of one event within ``delay`` of event time
-    with Spark's stateful de-duplication operator (no map-side combine)."""
-    wm = F.coalesce(F.col("event_ts").cast("timestamp"), F.current_timestamp())
-    return (parsed.withColumns({"_dedupe_key": _dedupe_key(), "_wm": wm})
-            .withWatermark("_wm", delay)
-            .dropDuplicatesWithinWatermark(["_dedupe_key"])
-            .drop("_dedupe_key", "_wm"))
+# A landed message file: what a queue delivers.
+MESSAGE = "value STRING, arrived_at TIMESTAMP_NTZ"
 
 
-def message_stream(spark: SparkSession, source_dir: str,
+def message_stream(spark: SparkSession, source_dir: str, fmt: str = "parquet",
                    max_files_per_trigger: int | None = None) -> DataFrame:
-    """File source of message lines.  In production this is a Kafka source
-    (``format("kafka")`` with ``value`` cast to string); same downstream plan."""
-    reader = spark.readStream.schema("value STRING")
+    """File source of messages: Parquet files of (value, arrived_at), or text files with
+    one message a line, which arrive when their file was written.  In production this
+    is a Kafka source (``kafka_messages``); same downstream plan."""
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.text(source_dir)
+    if fmt == "text":
+        lines = reader.schema("value STRING").text(source_dir)
+        return lines.select("value", F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("arrived_at"))
+    return reader.schema(MESSAGE).parquet(source_dir)
 
 
 class ConnectorMissing(RuntimeError):
@@ -88,8 +77,8 @@ class ConnectorMissing(RuntimeError):
 def kafka_messages(spark: SparkSession, bootstrap_servers: str, topic: str,
                    starting_offsets: str = "earliest", max_offsets_per_trigger: int | None = None
                    ) -> DataFrame:
-    """Production source: one message per Kafka record value.  Needs the
-    ``spark-sql-kafka`` connector on the classpath (``--packages``)."""
+    """Production source: one message per Kafka record value, arrived at the record's
+    timestamp.  Needs the ``spark-sql-kafka`` connector on the classpath (``--packages``)."""
     reader = (spark.readStream.format("kafka")
               .option("kafka.bootstrap.servers", bootstrap_servers)
               .option("subscribe", topic)
@@ -104,51 +93,41 @@ def kafka_messages(spark: SparkSession, bootstrap_servers: str, topic: str,
                 "Kafka source unavailable: add the spark-sql-kafka connector to the "
                 "session (spark.jars.packages) or use a file source") from e
         raise
-    return stream.selectExpr("CAST(value AS STRING) AS value")
+    return stream.selectExpr("CAST(value AS STRING) AS value", "CAST(timestamp AS TIMESTAMP_NTZ) AS arrived_at")
 
 
 def run_engagement_stream(spark: SparkSession, source_dir: str, store_dir: str,
-                          dead_letter_dir: str, checkpoint_dir: str,
-                          dedupe_delay: str | None = "1 hour",
-                          dedupe: str = "watermark",
+                          dead_letter_dir: str, checkpoint_dir: str, dedupe: str = "batch",
                           max_files_per_trigger: int | None = None,
                           available_now: bool = True, timeout_s: float | None = None,
-                          routed_dir: str | None = None, messages: DataFrame | None = None):
+                          routed_dir: str | None = None, messages: DataFrame | None = None,
+                          fmt: str = "parquet"):
     """Start the stream; with ``available_now`` run to the end of the input.
 
-    ``dedupe``: ``"watermark"`` (default) keeps one row per event id for
-    ``dedupe_delay`` of event time, exact across batches, via a streaming
-    aggregation that combines copies map-side (``with_dedupe_combined``).
-    ``"state"`` uses Spark's ``dropDuplicatesWithinWatermark`` instead (same
-    result; no map-side combine).  ``"batch"`` is stateless: repeats inside a
-    micro-batch are removed by a grouped aggregate, repeats across batches
-    are collapsed by the store's latest-by-key view.  ``"none"`` relies on the
-    store view alone.
+    ``dedupe``: ``"batch"`` (default) removes repeats inside a micro-batch;
+    repeats across batches are collapsed by the store's readers.  ``"sink"``
+    also leaves out events the store already holds, so the store has one row
+    for each event id.  ``"none"`` relies on the readers alone.
 
     ``messages`` replaces the file source (e.g. ``kafka_messages(...)``).
     With ``routed_dir`` each batch also runs validate -> score -> route and
     writes ``routed/`` (partitioned by action) and ``rejected/`` (validation
     and processing errors) under ``run=<r>/batch_id=<n>``.
     """
+    if dedupe not in ("batch", "sink", "none"):
+        raise ValueError(f"unknown dedupe mode {dedupe!r}")
     if messages is None:
-        messages = message_stream(spark, source_dir, max_files_per_trigger)
+        messages = message_stream(spark, source_dir, fmt, max_files_per_trigger)
     parsed = parsed_events(messages)
-    combined = dedupe == "watermark" and bool(dedupe_delay)
-    if combined:
-        parsed = with_dedupe_combined(parsed, dedupe_delay)
-    elif dedupe == "state" and dedupe_delay:
-        parsed = with_dedupe(parsed, dedupe_delay)
-
     run = store.run_id(checkpoint_dir)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         # Parse failures are counted while the store batch is written; the
         # (rare) dead-letter write then reads the cached batch only if needed.
-        if combined:
+        if dedupe != "none":
             batch = first_deliveries(batch)
-        elif dedupe == "batch":
-            batch = dedupe_by_key(batch.withColumn("_dedupe_key", _dedupe_key()),
-                                  "_dedupe_key").drop("_dedupe_key")
+        if dedupe == "sink":
+            batch = not_stored(batch.sparkSession, batch, store_dir, run, batch_id)
         batch = batch.persist()
         try:
             obs = Observation()
@@ -167,8 +146,6 @@ def run_engagement_stream(spark: SparkSession, source_dir: str, store_dir: str,
             batch.unpersist()
 
     writer = parsed.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint_dir)
-    if combined:
-        writer = writer.outputMode("update")
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="10 seconds")
     query = writer.start()

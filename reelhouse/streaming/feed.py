@@ -1,11 +1,12 @@
 """Message feed derived from the raw watch events (test and bench input).
 
-Each raw event becomes one message text in one of the four envelopes,
-chosen by ``event_id % 4`` (bare, query string, queue records, body).  Every
-envelope carries delivery metadata (``event_id``, ``event_time``) at the top
-level.  Ids are sent as text; the query-string envelope sends every value as
-text.  Messages whose ``event_id % 1000 = 999`` carry a corrupt body.  The
-raw feed repeats 1 % of events, as an at-least-once queue would.
+Each raw event becomes one message in one of the four envelopes, chosen by the
+event's number modulo 4 (bare, query string, queue records, body), with the time
+it arrived.  Messages carry delivery metadata (``event_id``, ``event_time``) at
+the top level; the query-string envelope sends every value as text.  The feed is
+as untidy as a queue: 1 % of events come twice, numbers ending in 999 have a
+corrupt body, some events have no time, a time two years on or one in 2099, and
+some queue batches hold a second record without an id of its own.
 """
 
 from __future__ import annotations
@@ -13,24 +14,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.domain import number_of
+
 TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 CORRUPT_BODY = "not json"
 
+# Event times of the feed, by the event's number.
+EVENT_TIME = """CASE WHEN number % 300 = 7 THEN NULL
+  WHEN number % 200 = 13 THEN watch_start_time + INTERVAL 730 DAY
+  WHEN number % 500 = 21 THEN TIMESTAMP_NTZ '2099-01-01 00:00:00' ELSE watch_start_time END"""
+SECOND_RECORD = "number % 40 = 2"        # of the queue batches (number % 4 = 2)
+
 
 def envelope_feed(watch_events: DataFrame) -> DataFrame:
-    """Raw watch events -> ``(value STRING)`` messages."""
-    ev = watch_events.select(
-        F.col("event_id").cast("string").alias("event_id"),
-        F.col("user_id").cast("string").alias("user_id"),
-        F.col("content_id").cast("string").alias("content_id"),
-        "completion_pct", "watched_mins", "device", "region",
-        F.date_format("watch_start_time", TS_TEXT).alias("event_time"),
-        (F.col("event_id") % 4).alias("_shape"),
-        (F.col("event_id") % 1000 == 999).alias("_corrupt"),
+    """Raw watch events -> ``(value STRING, arrived_at TIMESTAMP_NTZ)`` messages."""
+    ev = watch_events.withColumn("number", F.expr(number_of("event_id"))).select(
+        "event_id", "user_id", "content_id", "completion_pct", "watched_mins", "device", "region",
+        F.date_format(F.expr(EVENT_TIME), TS_TEXT).alias("event_time"),
+        F.date_trunc("second", F.col("watch_start_time") + F.expr("INTERVAL 1 MINUTE")).cast("timestamp_ntz").alias("arrived_at"),
+        (F.col("number") % 4).alias("_shape"),
+        (F.col("number") % 1000 == 999).alias("_corrupt"),
+        F.expr(SECOND_RECORD).alias("_second"),
     )
     fields = ["event_id", "user_id", "content_id", "completion_pct", "watched_mins", "device",
               "region", "event_time"]
     payload = F.to_json(F.struct(*fields))
+    nameless = [F.struct(F.to_json(F.struct(F.col("user_id"), F.col("content_id"), F.lit(85).alias("completion_pct"),
+                                            (F.lit(30.5) + i).alias("watched_mins"), "device", "region")).alias("body"))
+                for i in (0, 1)]
+    one = F.array(F.struct(payload.alias("body")))
     as_text = F.struct(*[F.col(f).cast("string").alias(f) for f in fields])
     meta = [F.col("event_id"), F.col("event_time")]
     value = (
@@ -38,13 +50,13 @@ def envelope_feed(watch_events: DataFrame) -> DataFrame:
         .when(F.col("_shape") == 1,
               F.to_json(F.struct(*meta, as_text.alias("queryStringParameters"))))
         .when(F.col("_shape") == 2,
-              F.to_json(F.struct(*meta, F.array(F.struct(payload.alias("body"))).alias("Records"))))
+              F.to_json(F.struct(*meta, F.when(F.col("_second"), F.array(*nameless)).otherwise(one).alias("Records"))))
         .otherwise(F.to_json(F.struct(
             *meta, F.when(F.col("_corrupt"), F.lit(CORRUPT_BODY)).otherwise(payload).alias("body"))))
     )
-    return ev.select(value.alias("value"))
+    return ev.select(value.alias("value"), "arrived_at")
 
 
-def land_feed(feed: DataFrame, path: str, files: int = 8) -> None:
-    """Write messages as text files (one message per line) for a file stream."""
-    feed.repartition(files).write.mode("overwrite").text(path)
+def land_feed(feed: DataFrame, path: str) -> None:
+    """Write messages as Parquet files for a file stream, as the scan split them."""
+    feed.write.mode("overwrite").parquet(path)

@@ -32,12 +32,12 @@ def test_csv_scan_safe_casts_and_dedupe(spark, tmp_dir):
     _write(f"{tmp_dir}/users/users.csv", USERS_CSV)
     df = bronze.to_bronze(files.read_raw(spark, f"{tmp_dir}/users", "users"), "users", "t0")
     rows = {r["user_id"]: r for r in df.collect()}
-    assert sorted(rows) == [1, 2, 3]                  # duplicate key collapsed
-    assert rows[2]["age"] is None                      # 'abc' -> NULL, job survives ANSI mode
-    assert rows[3]["signup_date"] is None and rows[3]["is_active"] is None
-    assert rows[3]["email"] is None                    # empty cell
-    assert rows[1]["age"] == 25 and rows[1]["is_active"] is True
-    assert rows[1]["layer"] == "bronze" and rows[1]["source_file"] == "raw/users/users.csv"
+    assert sorted(rows) == ["1", "2", "3"]                  # duplicate key collapsed
+    assert rows["2"]["age"] is None                      # 'abc' -> NULL, job survives ANSI mode
+    assert rows["3"]["signup_date"] is None and rows["3"]["is_active"] is None
+    assert rows["3"]["email"] is None                    # empty cell
+    assert rows["1"]["age"] == 25 and rows["1"]["is_active"] is True
+    assert rows["1"]["layer"] == "bronze" and rows["1"]["source_file"] == "raw/users/users.csv"
 
 
 def test_csv_empty_amount_and_seasons(spark, tmp_dir):
@@ -46,11 +46,11 @@ def test_csv_empty_amount_and_seasons(spark, tmp_dir):
     subs = bronze.to_bronze(files.read_raw(spark, f"{tmp_dir}/subscriptions", "subscriptions"),
                             "subscriptions", "t0")
     got = {r["subscription_id"]: r["amount_paid"] for r in subs.collect()}
-    assert got == {10: 349, 11: None}
+    assert got == {"10": 349, "11": None}
     content = bronze.to_bronze(files.read_raw(spark, f"{tmp_dir}/content_catalog", "content_catalog"),
                                "content_catalog", "t0")
     got = {r["content_id"]: (r["num_seasons"], r["rating"]) for r in content.collect()}
-    assert got == {5: (None, 7.5), 6: (3, 8.1)}
+    assert got == {"5": (None, 7.5), "6": (3, 8.1)}
 
 
 def test_json_array_scan_date_hour(spark, tmp_dir):
@@ -69,10 +69,10 @@ def test_json_array_scan_date_hour(spark, tmp_dir):
     raw = files.read_raw(spark, f"{tmp_dir}/watch_events", "watch_events", multiline=True)
     df = bronze.to_bronze(raw, "watch_events", "t0")
     rows = {r["event_id"]: r for r in df.collect()}
-    assert sorted(rows) == [7, 8]
-    assert str(rows[7]["watch_date"]) == "2024-01-02" and rows[7]["watch_hour"] == 21
-    assert rows[8]["watch_date"] is None and rows[8]["watch_hour"] is None
-    assert rows[8]["duration_mins"] is None and rows[8]["completion_pct"] == 12.5
+    assert sorted(rows) == ["7", "8"]
+    assert str(rows["7"]["watch_date"]) == "2024-01-02" and rows["7"]["watch_hour"] == 21
+    assert rows["8"]["watch_date"] is None and rows["8"]["watch_hour"] is None
+    assert rows["8"]["duration_mins"] is None and rows["8"]["completion_pct"] == 12.5
 
 
 def test_dedupe_is_deterministic_and_idempotent(spark):

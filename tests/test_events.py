@@ -144,3 +144,23 @@ def test_nan_completion(spark):
     routed, errors = ev.state_machine(run(spark, [msg]))
     assert routed.count() == 0
     assert errors.first()["detail"].startswith("Invalid completion_pct: NaN")
+
+
+def test_records_of_a_batch_keep_an_id_of_their_own(spark):
+    body = json.dumps({k: v for k, v in EVENT.items() if k != "event_id"})
+    one, two = (json.dumps({"event_id": "m", "Records": [{"body": body}] * n}) for n in (1, 2))
+    out = ev.parse_envelopes(spark.createDataFrame([(one,), (two,)], "value string"))
+    assert sorted(r["event_id"] for r in out.collect()) == ["m", "m#0", "m#1"]
+
+
+def test_query_string_with_other_fields_only(spark):
+    out = ev.parse_envelopes(spark.createDataFrame([(json.dumps({"queryStringParameters": {"page": "2"},
+                                                                  "body": json.dumps(EVENT)}),)], "value string"))
+    assert [r["p"]["user_id"] for r in out.collect()] == [None]      # dispatched to the query string, not to the body
+
+
+def test_fractional_minutes_as_number_and_as_text(spark):
+    msgs = [json.dumps(dict(EVENT, watched_mins=85.5)), json.dumps(dict(EVENT, watched_mins="85.5"))]
+    out = ev.validate_events(ev.parse_envelopes(spark.createDataFrame([(m,) for m in msgs], "value string"))).collect()
+    assert [(r["watched_mins"], r["validation_error"]) for r in out] == [
+        (85, None), (None, "Invalid watched_mins: 85.5. Must be >= 0.")]

@@ -2,6 +2,7 @@ import contextlib
 import io
 
 import pytest
+from pyspark.sql import functions as F
 
 from reelhouse.functions import (age_group, avg_half_up, engagement_score, half_up,
                                  register_sql_functions, share_pct)
@@ -54,3 +55,21 @@ def test_sql_functions(spark):
     with contextlib.redirect_stdout(buf):
         spark.sql("SELECT age_group(30)").explain(True)
     assert "PythonUDF" not in buf.getvalue() and "BatchEvalPython" not in buf.getvalue()
+
+
+def test_averages_at_any_scale_and_with_nan(spark):
+    from reelhouse.functions import avg_half_up, sum_scaled
+    df = spark.createDataFrame([(0.05,), (0.04,), (float("nan"),), (None,)], "x double")
+    assert df.agg(avg_half_up("x", 1, 1).alias("a")).first()["a"] == 0.0
+    assert df.agg(avg_half_up("x", 1, 2).alias("a"), sum_scaled("x", 1).alias("s")).first() == (0.05, 0.09)
+    big = spark.range(1000).selectExpr("99999999999.999999D AS x")
+    assert big.agg(avg_half_up("x", 1, 2).alias("a")).first()["a"] == 100000000000.0
+
+
+def test_one_engagement_level_with_nan(spark):
+    from reelhouse.functions import columns as C
+    from reelhouse.functions.sql import register_sql_functions
+    register_sql_functions(spark)
+    df = spark.createDataFrame([(float("nan"),), (85.0,), (60.0,), (None,)], "p double")
+    got = df.select(C.engagement_level("p").alias("a"), F.expr("engagement_level(p)").alias("b")).collect()
+    assert [r["a"] for r in got] == [r["b"] for r in got] == ["LOW", "HIGH", "MEDIUM", "LOW"]

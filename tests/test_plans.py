@@ -6,6 +6,7 @@ import io
 import pytest
 
 import __spark_entry__ as E
+from reelhouse import catalog
 from reelhouse.plans import silver
 from tests.conftest import SF001
 
@@ -20,7 +21,7 @@ def plan_text(df, mode="formatted"):
     return buf.getvalue()
 
 
-NON_STREAM = sorted(n for n in E.queries() if not n.startswith("engagement_"))
+NON_STREAM = sorted(n for n in catalog.QUERIES if not n.startswith("engagement_"))
 
 
 @pytest.mark.parametrize("name", NON_STREAM)

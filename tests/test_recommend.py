@@ -38,6 +38,14 @@ def test_catalog_stats(spark):
     content = spark.createDataFrame([(1, "Drama"), (2, "Comedy"), (3, "Drama")],
                                     "content_id long, genre string")
     users = spark.createDataFrame([("Delhi",), ("Goa",), ("Delhi",)], "region string")
-    r = rec.catalog_stats(content, users).first()
-    assert (r["total_genres"], r["total_content"], r["genres"], r["regions_supported"]) == \
-        (2, 3, "Comedy,Drama", "Delhi,Goa")
+    got = sorted(map(tuple, rec.catalog_stats(content, users).collect()))
+    assert got == [("genre", "Comedy", 1), ("genre", "Drama", 2), ("region", "Delhi", 2), ("region", "Goa", 1)]
+
+
+def test_any_id_and_requests_without_a_user(spark):
+    users = spark.createDataFrame([("6f1c1a52-2a4e-4a86-9a53-1f0f8c6d7e01", "Delhi", 20), ("x", "Goa", 50), (None, None, None),
+                                   ("9" * 30, "Kerala", 40)], "user_id string, region string, age int")
+    assert rec.recommend(users).count() == 20
+    asked = rec.recommend_for(spark, "Kerala", 22, limit=3).collect()
+    assert [r["rank"] for r in asked] == [1, 2, 3] and {r["age_group"] for r in asked} == {"18-24"}
+    assert rec.recommend_for(spark).count() == 5

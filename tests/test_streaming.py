@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from reelhouse.operators import events as ev
 from reelhouse.operators import store
 from reelhouse.plans import realtime
-from reelhouse.streaming.engagement import parsed_events, run_engagement_stream
+from reelhouse.streaming.engagement import first_deliveries, parsed_events, run_engagement_stream
 from reelhouse.streaming.feed import land_feed
 from tests.conftest import SF001
 
@@ -22,30 +22,49 @@ def _same(a, b):
     return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_stream_equals_batch_and_dedupes(spark, tmp_dir):
-    land_feed(realtime.feed(spark, SF001), f"{tmp_dir}/feed", files=5)
+def _written(spark, store_dir):
+    """The rows as the batches wrote them, with their run and batch."""
+    return spark.read.parquet(store_dir)
+
+
+def test_stream_equals_batch_and_loses_nothing(spark, tmp_dir):
+    """The feed has late, undated and 2099 events: all are stored, in any number of batches."""
+    feed = realtime.feed(spark, SF001)
+    land_feed(feed.repartition(5), f"{tmp_dir}/feed")
     run_engagement_stream(spark, f"{tmp_dir}/feed", f"{tmp_dir}/store", f"{tmp_dir}/dead",
-                          f"{tmp_dir}/ckpt", dedupe_delay=realtime.REPLAY_DEDUPE_DELAY,
-                          max_files_per_trigger=1)
+                          f"{tmp_dir}/ckpt", max_files_per_trigger=1)
+    assert _written(spark, f"{tmp_dir}/store").select("batch_id").distinct().count() >= 2   # several micro-batches
     rows = store.read_store(spark, f"{tmp_dir}/store")
-    assert rows.select("batch_id").distinct().count() >= 2          # several micro-batches
-    assert rows.count() == rows.select("request_id").distinct().count()   # repeats removed
+    sent = parsed_events(feed).where("parse_error is null").select("event_id").distinct()
+    assert rows.count() == rows.select("request_id").distinct().count() == sent.count()
+    assert rows.where("event_ts is null").count() > 0 and rows.where("event_ts > '2098-01-01'").count() > 0
+    assert rows.where("event_ts > '2026-01-01' AND event_ts < '2090-01-01'").count() > 0
+    assert rows.where("processed_at is null").count() == 0
     assert _same(store.latest(rows), _batch_latest(spark))
 
 
+def test_sink_mode_stores_each_event_once(spark, tmp_dir):
+    land_feed(realtime.feed(spark, SF001).repartition(4), f"{tmp_dir}/feed")
+    for ckpt in ("a", "b"):                                   # the second run delivers everything again
+        run_engagement_stream(spark, f"{tmp_dir}/feed", f"{tmp_dir}/store", f"{tmp_dir}/dead",
+                              f"{tmp_dir}/ckpt_{ckpt}", dedupe="sink", max_files_per_trigger=1)
+    rows = _written(spark, f"{tmp_dir}/store")
+    assert rows.count() == rows.select("request_id").distinct().count() == store.read_store(spark, f"{tmp_dir}/store").count()
+
+
 def test_replay_is_idempotent(spark, tmp_dir):
-    land_feed(realtime.feed(spark, SF001), f"{tmp_dir}/feed", files=3)
+    land_feed(realtime.feed(spark, SF001).repartition(3), f"{tmp_dir}/feed")
     args = (f"{tmp_dir}/feed", f"{tmp_dir}/store", f"{tmp_dir}/dead", f"{tmp_dir}/ckpt")
-    run_engagement_stream(spark, *args, dedupe_delay=None, max_files_per_trigger=1)
+    run_engagement_stream(spark, *args, dedupe="none", max_files_per_trigger=1)
     first = store.latest(store.read_store(spark, f"{tmp_dir}/store")).cache()
     n_first = first.count()
     # restart on the same checkpoint: nothing new is processed
-    run_engagement_stream(spark, *args, dedupe_delay=None)
-    assert store.read_store(spark, f"{tmp_dir}/store").select("batch_id").distinct().count() == 3
-    assert store.read_store(spark, f"{tmp_dir}/store").select("run").distinct().count() == 1
-    # a full replay (new checkpoint, same store) rewrites the same batch directories
+    run_engagement_stream(spark, *args, dedupe="none")
+    assert [(b.batch_id) for b in store.committed(spark, f"{tmp_dir}/store")] == [0, 1, 2]
+    # a full replay on a new checkpoint writes under its own run; readers collapse the repeats
     run_engagement_stream(spark, f"{tmp_dir}/feed", f"{tmp_dir}/store", f"{tmp_dir}/dead",
-                          f"{tmp_dir}/ckpt2", dedupe_delay=None, max_files_per_trigger=1)
+                          f"{tmp_dir}/ckpt2", dedupe="none", max_files_per_trigger=1)
+    assert len({b.run for b in store.committed(spark, f"{tmp_dir}/store")}) == 2
     again = store.latest(store.read_store(spark, f"{tmp_dir}/store"))
     assert again.count() == n_first and _same(again, first)
 
@@ -58,7 +77,7 @@ def test_dead_letters_for_unparseable_numbers(spark, tmp_dir):
         f.write('{"event_id": "2", "event_time": "2024-01-01 00:00:01.000000", "user_id": "u", '
                 '"completion_pct": 90, "watched_mins": 30}\n')
     run_engagement_stream(spark, f"{tmp_dir}/feed", f"{tmp_dir}/store", f"{tmp_dir}/dead",
-                          f"{tmp_dir}/ckpt", dedupe_delay="1 hour")
+                          f"{tmp_dir}/ckpt", fmt="text")
     dead = spark.read.parquet(f"{tmp_dir}/dead")
     assert [r["request_id"] for r in dead.collect()] == ["1"]
     st = store.read_store(spark, f"{tmp_dir}/store").collect()
@@ -77,28 +96,37 @@ def test_store_reads(spark):
     assert hi.count() == view.where("engagement_level = 'HIGH'").select("user_id").distinct().count()
 
 
-def test_batch_dedupe_mode_and_compaction(spark, tmp_dir):
-    land_feed(realtime.feed(spark, SF001), f"{tmp_dir}/feed", files=4)
+def test_compaction_counts_committed_batches_only(spark, tmp_dir):
+    """A batch that is complete only after the compaction is still read."""
+    land_feed(realtime.feed(spark, SF001).repartition(4), f"{tmp_dir}/feed")
     args = (f"{tmp_dir}/feed", f"{tmp_dir}/store", f"{tmp_dir}/dead", f"{tmp_dir}/ckpt")
-    run_engagement_stream(spark, *args, dedupe="batch", max_files_per_trigger=2)
-    rows = store.read_store(spark, f"{tmp_dir}/store")
-    per_batch = rows.groupBy("batch_id", "request_id").count().where("count > 1").count()
-    assert per_batch == 0                                   # no repeats inside a batch
-    assert _same(store.latest(rows), _batch_latest(spark))
-    # compact after the first run, then append more batches and read through the snapshot
-    version = store.compact(spark, f"{tmp_dir}/store", f"{tmp_dir}/snap")
-    assert version
-    land_feed(realtime.feed(spark, SF001), f"{tmp_dir}/feed2", files=2)
-    run_engagement_stream(spark, f"{tmp_dir}/feed2", f"{tmp_dir}/store", f"{tmp_dir}/dead",
+    run_engagement_stream(spark, *args, max_files_per_trigger=1)
+    assert _same(store.latest(store.read_store(spark, f"{tmp_dir}/store")), _batch_latest(spark))
+    batch = next(b for b in store.committed(spark, f"{tmp_dir}/store") if b.batch_id == 1)
+    mark = batch.path.removeprefix("file:") + "/_SUCCESS"
+    os.rename(mark, mark + ".hidden")
+    assert store.compact(spark, f"{tmp_dir}/store", f"{tmp_dir}/snap") == 1
+    os.rename(mark + ".hidden", mark)
+    view = lambda **k: store.read_latest(spark, f"{tmp_dir}/store", f"{tmp_dir}/snap", **k)
+    assert _same(view(), _batch_latest(spark))
+    # the next compaction starts from the snapshot, and batches it includes may go
+    assert store.compact(spark, f"{tmp_dir}/store", f"{tmp_dir}/snap") == 2
+    assert store.compact(spark, f"{tmp_dir}/store", f"{tmp_dir}/snap") == 2
+    assert store.vacuum(spark, f"{tmp_dir}/store", f"{tmp_dir}/snap") == 4
+    assert store.committed(spark, f"{tmp_dir}/store") == [] and _same(view(), _batch_latest(spark))
+    # a new run after it; one user is read from that user's bucket
+    run_engagement_stream(spark, f"{tmp_dir}/feed", f"{tmp_dir}/store", f"{tmp_dir}/dead",
                           f"{tmp_dir}/ckpt2", dedupe="none")
-    # the second checkpoint numbers its batches from 0 again, under its own run id
-    assert store.read_store(spark, f"{tmp_dir}/store").select("run").distinct().count() == 2
-    view = store.read_latest(spark, f"{tmp_dir}/store", f"{tmp_dir}/snap")
-    assert _same(view, _batch_latest(spark))
+    assert _same(view(), _batch_latest(spark))
+    user = _batch_latest(spark).where("user_id <> 'UNKNOWN'").first()["user_id"]
+    one = view(user_id=user)
+    assert _same(one, _batch_latest(spark).where(F.col("user_id") == user))
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(user_bucket" in plan
 
 
 def test_stream_routes_like_batch(spark, tmp_dir):
-    land_feed(realtime.feed(spark, SF001), f"{tmp_dir}/feed", files=4)
+    land_feed(realtime.feed(spark, SF001).repartition(4), f"{tmp_dir}/feed")
     run_engagement_stream(spark, f"{tmp_dir}/feed", f"{tmp_dir}/store", f"{tmp_dir}/dead",
                           f"{tmp_dir}/ckpt", dedupe="none", max_files_per_trigger=2,
                           routed_dir=f"{tmp_dir}/sm")
@@ -111,16 +139,6 @@ def test_stream_routes_like_batch(spark, tmp_dir):
     assert _same(s_rej, rejected.select("request_id", "error", "detail"))
 
 
-def test_state_operator_mode_equals_batch(spark, tmp_dir):
-    land_feed(realtime.feed(spark, SF001), f"{tmp_dir}/feed", files=4)
-    run_engagement_stream(spark, f"{tmp_dir}/feed", f"{tmp_dir}/store", f"{tmp_dir}/dead",
-                          f"{tmp_dir}/ckpt", dedupe="state", dedupe_delay=realtime.REPLAY_DEDUPE_DELAY,
-                          max_files_per_trigger=1)
-    rows = store.read_store(spark, f"{tmp_dir}/store")
-    assert rows.count() == rows.select("request_id").distinct().count()
-    assert _same(store.latest(rows), _batch_latest(spark))
-
-
 def test_flood_of_copies_is_combined_map_side(spark, tmp_dir):
     """One event delivered 3,000 times across files and batches: stored once,
     and the de-duplication aggregates map-side before its shuffle."""
@@ -136,15 +154,15 @@ def test_flood_of_copies_is_combined_map_side(spark, tmp_dir):
                 out.write(hot + "\n")
             out.write(_json.dumps({"event_id": f"x{f}", "event_time": "2024-01-01 00:00:01.000000",
                                    "user_id": "u2", "completion_pct": 10, "watched_mins": 5}) + "\n")
-    q = run_engagement_stream(spark, f"{tmp_dir}/feed", f"{tmp_dir}/store", f"{tmp_dir}/dead",
-                              f"{tmp_dir}/ckpt", dedupe_delay="1 day", max_files_per_trigger=1)
+    run_engagement_stream(spark, f"{tmp_dir}/feed", f"{tmp_dir}/store", f"{tmp_dir}/dead",
+                          f"{tmp_dir}/ckpt", max_files_per_trigger=1, fmt="text")
     rows = store.read_store(spark, f"{tmp_dir}/store")
     assert sorted(r["request_id"] for r in rows.collect()) == ["42", "x0", "x1", "x2"]
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
-        q.explain()
+        first_deliveries(parsed_events(spark.read.text(f"{tmp_dir}/feed"))).explain()
     plan = buf.getvalue()
-    assert plan.index("REQUIRED_BY_STATEFUL_OPERATOR") < plan.rindex("partial_min")
+    assert plan.index("Exchange") < plan.rindex("partial_min")
 
 
 def test_kafka_source_is_gated(spark):
@@ -155,7 +173,7 @@ def test_kafka_source_is_gated(spark):
         df = kafka_messages(spark, "localhost:9092", "watch-events")
     except ConnectorMissing:
         return                                   # no connector in this environment
-    assert df.columns == ["value"]               # connector present: nothing is started
+    assert df.columns == ["value", "arrived_at"]               # connector present: nothing is started
     pytest.skip("Kafka connector present")
 
 
@@ -186,10 +204,14 @@ def test_envelope_cases_across_files_stream_equals_batch(spark, tmp_dir):
         with open(f"{tmp_dir}/feed/events_{n:02d}.json", "w") as f:
             f.write("\n".join(lines) + "\n")
     run_engagement_stream(spark, f"{tmp_dir}/feed", f"{tmp_dir}/store", f"{tmp_dir}/dead",
-                          f"{tmp_dir}/ckpt", dedupe_delay="1 day", max_files_per_trigger=1)
-    streamed = store.latest(store.read_store(spark, f"{tmp_dir}/store"))
+                          f"{tmp_dir}/ckpt", max_files_per_trigger=1, fmt="text")
+    rows = store.read_store(spark, f"{tmp_dir}/store")
+    streamed = store.latest(rows)
     batch_in = spark.createDataFrame([(m,) for m in msgs], "value string")
-    batch = store.latest(ev.process_events(parsed_events(batch_in)).select(*STORE_COLS))
-    assert _same(streamed, batch)
+    batch = ev.process_events(parsed_events(batch_in)).select(*STORE_COLS)
+    # the two payloads without a time (not JSON, a body that is not) are stamped with their file's arrival
+    assert rows.where("event_ts is null AND processed_at is null").count() == 0
+    dated = "event_ts is not null"
+    assert _same(streamed.where(dated), store.latest(batch).where(dated))
     ids = sorted(r["request_id"] for r in streamed.collect() if r["request_id"] is not None)
     assert ids == ["1", "2", "3", "4", "5", "6", "7"]
