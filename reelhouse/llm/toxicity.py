@@ -14,8 +14,8 @@ two weight vectors, so scoring reads one number for each n-gram.
 
 Edge cases: null or wordless texts get the calibrated score of a bag without
 any evidence (under the threshold); without both labels every score is 0;
-labels that are null or of unknown documents teach nothing; repeated rows get
-equal scores; other columns are ignored.
+labels that are null or of unknown documents teach nothing, and a document with
+both labels is toxic; repeated rows get equal scores; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -173,8 +173,8 @@ def sample(docs: DataFrame, labels: DataFrame, words_per_class: int = WORDS_PER_
     """(text, label) of labelled documents outside the held-out fold, in hashed order, up to
     ``words_per_class`` words of each class.  Counts by class set the rate of a draw first, so
     the driver only receives about what it keeps."""
-    known = labels.where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"))).select(
-        F.col("doc_id").alias("of"), "toxic").dropDuplicates(["of"])
+    known = labels.where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"))).groupBy(
+        F.col("doc_id").alias("of")).agg(F.max("toxic").alias("toxic"))
     order = F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(1 << 30))
     # first (id, label, size), then texts: only the drawn rows' texts meet the labels
     size = (F.octet_length("text") / 5).cast("long") + 1
