@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import oracle
 from .operators import recommend
@@ -86,9 +87,17 @@ def _catalog_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _job_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """What the written jobs report: one row for each table they wrote."""
-    _, counts = job_outputs(spark, sf)
-    return spark.createDataFrame(sorted(counts.items()), "output string, n_rows long")
+    """What the jobs say they wrote, beside the rows of the written tables: one row for each table."""
+    root, counts = job_outputs(spark, sf)
+    out = None
+    for name, n in sorted(counts.items()):
+        layer, _, t = name.partition(".")
+        path = (f"{root}/dq/failed_records/{t}" if layer == "quarantine" else
+                f"{root}/{layer}/_rejected/{t.removeprefix('rejected_')}" if t.startswith("rejected_") else f"{root}/{layer}/{t}")
+        row = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_read")).select(
+            F.lit(name).alias("output"), F.lit(n).cast("long").alias("n_rows"), "n_read")
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 def _job_table(path: str, *columns: str) -> Query:

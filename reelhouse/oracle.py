@@ -502,9 +502,9 @@ WHERE CAST(substr(event_id, 4) AS BIGINT) % 97 <> 5""",
 SELECT '{"event_id": "' || event_id || '", "user_id":' AS record FROM raw_watch_events
 WHERE CAST(substr(event_id, 4) AS BIGINT) % 97 = 5""",
     "job_row_counts": " UNION ALL ".join(
-        [f"SELECT '{name}' AS output, count(*) AS n_rows FROM {cte}" for name, cte in _COUNTS.items()]
-        + [f"SELECT 'bronze.rejected_{t}', 0" for t in ("users", "subscriptions", "content_catalog", "watch_events")]
-        + [f"SELECT 'quarantine.{t}', count(*) FROM ({_dq_quarantine_sql()}) WHERE \"table\" = '{t}'"
+        [f"SELECT '{name}' AS output, count(*) AS n_rows, count(*) AS n_read FROM {cte}" for name, cte in _COUNTS.items()]
+        + [f"SELECT 'bronze.rejected_{t}', 0, 0" for t in ("users", "subscriptions", "content_catalog", "watch_events")]
+        + [f"SELECT 'quarantine.{t}', count(*), count(*) FROM ({_dq_quarantine_sql()}) WHERE \"table\" = '{t}'"
            for t in ("users", "watch_events", "subscriptions")]),
     "job_user_watch_profile": "SELECT * FROM profile",
     "job_top_content": "SELECT * FROM top",
