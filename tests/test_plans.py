@@ -149,3 +149,27 @@ def test_scans_never_read_unused_source_columns(spark):
         assert schemas_read, name
         for line in schemas_read:
             assert not [c for c in UNUSED_SOURCE_COLUMNS if c in line], (name, line)
+
+
+def test_store_reads_neither_broadcast_nor_run_python(spark, tmp_dir):
+    """The engagement outputs: one replay, a compaction, then every read pattern's plan."""
+    from reelhouse.operators import store
+    from reelhouse.plans import realtime
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    path = realtime.stream_store(spark, SF001)
+    store.compact(spark, path, f"{tmp_dir}/snapshot")
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        reads = realtime.store_outputs(spark, path) | {"compacted": store.read_latest(spark, path, f"{tmp_dir}/snapshot")}
+        for name, df in reads.items():
+            text = plan_text(df, "simple")
+            assert "BroadcastExchange" not in text and not [p for p in PYTHON_NODES if p in text], name
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
