@@ -171,6 +171,7 @@ def copies(sized: DataFrame, state: DataFrame) -> DataFrame:
     one = _same(one, lack)
     cut1 = one.where((F.col("before") <= F.col("lack")) & (F.col("before") + F.col("w") > F.col("lack"))).select(
         "source", F.col("s1").alias("cut1"), (F.col("lack") - F.col("before")).alias("lack"))
+    cut1, _ = stored(cut1, "mix-cuts")         # one row a source, of known size before it meets documents
     two = _same(d.where("place is not null"), cut1).where(F.col("s1") == F.col("cut1"))
     two = two.groupBy("source", "s2", "lack").agg(F.sum("size").alias("w"))
     two = two.withColumn("upto", F.sum("w").over(Window.partitionBy("source").orderBy("s2")))
@@ -179,6 +180,7 @@ def copies(sized: DataFrame, state: DataFrame) -> DataFrame:
     cuts = _same(lack, cut1.select("source", "cut1"), "left")
     cuts = _same(cuts, cut2, "left").select("source", "lack", "cut1", F.coalesce("cut2", F.lit(-1)).alias("cut2"))
     # no crossing slice: all or none of the source's fractions are taken
+    cuts, _ = stored(cuts, "mix-cuts")
     d = _same(d, cuts)
     extra = F.when(F.col("place").isNull(), 0).when(F.col("cut1").isNull(), (F.col("lack") > 0).cast("int")).otherwise(
         ((F.col("s1") < F.col("cut1")) | ((F.col("s1") == F.col("cut1")) & (F.col("s2") <= F.col("cut2")))).cast("int"))
@@ -195,6 +197,7 @@ def _nudged(d: DataFrame) -> DataFrame:
     to its target: what is left matters only to sources of few documents."""
     d, _ = stored(d, "mix-copies")
     off = d.groupBy("source").agg((F.max("target") - F.sum(F.col("size") * F.col("copies"))).alias("off"))
+    off, _ = stored(off, "mix-cuts")
     moves = _same(d.where("size > 0"), off)
     step = F.when((F.col("off") > 0) & (F.col("copies") < CAP), 1).when((F.col("off") < 0) & (F.col("copies") > 0), -1)
     gain = F.abs(F.col("off")) - F.abs(F.col("off") - step * F.col("size"))
