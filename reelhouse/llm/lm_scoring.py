@@ -33,7 +33,7 @@ from .decontaminate import TO_WORDS
 WORD_SHARE = 18
 PAIR_SHARE = 19
 PAIR_WEIGHT = 0.6          # of the bigram in the interpolation
-FLUSH = 4 << 20            # words counted together
+FLUSH = 2 << 20            # words counted together
 ID_BITS = 21
 
 COUNTS = "code long, n long"
