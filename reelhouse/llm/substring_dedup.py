@@ -114,7 +114,7 @@ def _pack(batches: Iterable[pa.RecordBatch], window: int, m: int, buckets: int,
         bucket = (key[keep] % np.uint64(buckets)).astype(np.int64)
         by = np.argsort(bucket, kind="stable")
         cut = np.flatnonzero(np.diff(bucket[by])) + 1
-        pack = zstandard.ZstdCompressor(level=1)
+        pack = zstandard.ZstdCompressor(level=3)
         rows: tuple[list, list, list] = ([], [], [])
         for part in np.split(by, cut):
             k = keep[part]
