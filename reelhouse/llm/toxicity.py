@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, held_out, text_blocks, window_hash
+from .common import Words, drop_stored, held_out, stored, text_blocks, window_hash
 
 GRAMS = (3, 4, 5)
 BUCKETS = 1 << 17
@@ -186,7 +186,9 @@ def sample(docs: DataFrame, labels: DataFrame, words_per_class: int = WORDS_PER_
     rate = F.create_map(*[F.lit(x) for c, n in total.items() for x in (c, min(1.0, 1.3 * words_per_class / n))])
     drawn = rows.where(F.col("o") < rate[F.col("toxic")] * float(1 << 30)).select(
         F.col("doc_id").alias("of"), "toxic", "o", "size")
+    drawn, path = stored(drawn, "toxicity-draw")     # bounded, and of known size before it meets the texts
     got = docs.select("doc_id", "text").join(drawn, F.col("doc_id") == F.col("of")).select("toxic", "o", "text").collect()
+    drop_stored(docs.sparkSession, path)
     out, used = [], {0: 0, 1: 0}
     for label, _, text in sorted(got):
         if used[label] < words_per_class:
