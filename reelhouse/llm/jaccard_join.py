@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LAST_ID, Scratch, Words, mix, text_blocks, window_hash
+from .common import LAST_ID, Scratch, Words, drop_stored, mix, stored, text_blocks, window_hash
 from .components import components
 
 SHINGLE = 4
@@ -432,13 +432,16 @@ class Join:
     def classes(self) -> tuple[DataFrame, DataFrame]:
         """The documents' (id, n, key), and one row for each distinct set."""
         k, percent, order = self.k, self.percent, self.order
-        sketch = self.scratch.store(self.docs.mapInArrow(lambda it: _sketch(it, k, percent, order), SKETCH), "jaccard-sketch")
+        sketch, path = stored(self.docs.mapInArrow(lambda it: _sketch(it, k, percent, order), SKETCH), "jaccard-sketch")
         found = sketch.where("n > 0").groupBy("key").agg(
             F.min("id").alias("least"), F.first("n").alias("n"), F.first("hot").alias("hot"),
             F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
         # the smallest number leads a bucket: sets made of widely shared shingles come first
         node = F.shiftleft((1000 - F.col("hot")).cast("long"), 53) + F.monotonically_increasing_id()
-        return sketch.select("id", "n", "key"), self.scratch.store(found.withColumn("node", node), "jaccard-classes")
+        members = self.scratch.store(sketch.select("id", "n", "key"), "jaccard-members")
+        classes = self.scratch.store(found.withColumn("node", node), "jaccard-classes")
+        drop_stored(sketch.sparkSession, path)       # prefixes and bitmaps are with the classes now
+        return members, classes
 
     def sets(self, classes: DataFrame, nodes: DataFrame) -> DataFrame:
         """(node, tokens) of some classes, from the text of a member."""
