@@ -61,3 +61,16 @@ def test_empty_tables(spark):
     assert M.cross_entropy_difference(none, none).count() == 0
     out = M.cross_entropy_difference(documents(spark, awkward()), none).collect()
     assert len(out) == len(awkward())
+
+
+def test_rare_words_and_pairs_count_at_any_corpus_size(spark, monkeypatch):
+    """Scores by the definition, even if a share of the corpus were asked of words and pairs."""
+    monkeypatch.setattr(M, "WORD_SHARE", 4, raising=False)
+    monkeypatch.setattr(M, "PAIR_SHARE", 4, raising=False)
+    rows = [(k, "common word " * 30 + f"rare{k} thing{k % 5} of its own rare{k}", "s") for k in range(40)]
+    target = ["common word rare3 thing3", "thing1 of its own"]
+    docs = documents(spark, rows).repartition(6)
+    got = M.cross_entropy_difference(docs, spark.createDataFrame([(t,) for t in target], "text string"))
+    got = {r.doc_id: (r.target_bits, r.background_bits) for r in got.collect()}
+    for (k, _, _), want in zip(rows, brute([t for _, t, _ in rows], target)):
+        assert got[k] == pytest.approx(tuple(want), abs=1e-9)
