@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (decontaminate, html_wrappers, jaccard_join, language_id, license_scan, lm_scoring, mixing,
-               quality_rules, substring_dedup, toxicity)
+from . import (collocations, decontaminate, html_wrappers, jaccard_join, language_id, license_scan, lm_scoring, mixing,
+               quality_rules, simhash_join, spelling, substring_dedup, toxicity)
 from .common import table
 
 QUERIES = {
@@ -20,10 +20,14 @@ QUERIES = {
     "op8_quality_rules": lambda spark, sf: quality_rules.verdicts(table(spark, sf, "documents")),
     "op9_html_wrappers": lambda spark, sf: html_wrappers.extract_all(table(spark, sf, "pages")),
     "op10_jaccard_join": lambda spark, sf: jaccard_join.similar_groups(table(spark, sf, "documents")),
+    "op11_simhash_join": lambda spark, sf: simhash_join.near_duplicates(table(spark, sf, "documents")),
+    "op12_collocations": lambda spark, sf: collocations.collocations(table(spark, sf, "documents")),
+    "op13_spelling": lambda spark, sf: spelling.variants(table(spark, sf, "documents")),
 }
 
 ORACLE = {
     "op5_substring_dedup": substring_dedup.SQL,
     "op7_decontamination": decontaminate.SQL,
     "op10_jaccard_join": jaccard_join.SQL,
+    "op12_collocations": collocations.SQL,
 }

@@ -15,4 +15,4 @@ def test_query_equals_sql(spark, name):
 
 def test_registered_names():
     names = set(E.queries())
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
