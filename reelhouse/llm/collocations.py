@@ -3,13 +3,15 @@
 Texts are cut into pieces and words; a suffix is the words from one word on, to
 the end of its piece or ``DEPTH`` words.  Everything is per language.
 
-1. *Words* are counted (combined in each task).  A word with fewer than ``LEAST``
-   occurrences is in no candidate, so it ends a suffix.  Tasks know these words
-   by a bitmap over hashes, of ``BITMAP_MOST`` bits at most, which may keep a rare
-   word but never loses a frequent one.
+1. *Words* are counted (combined in each task), and so are all pairs of
+   neighbours by the hash of their partition, (language, two leading words).  A
+   partition with fewer than ``LEAST`` occurrences is abandoned before its suffixes
+   move, and a pair of that kind ends every suffix it is in, as no candidate holds
+   it.  Tasks know what is left by bitmaps of ``BITMAP_MOST`` bits at most; these may
+   keep a rare pair but never lose a frequent one.
 2. *Blocks.*  The suffixes of a few MB of text are sorted; equal ones are one row
    with their count, so a phrase of any frequency is one row a block.
-3. *Routing.*  Suffixes go to slots of the hash of their first two words.  A slot
+3. *Routing.*  Suffixes go to slots of the hash of their two leading words.  A slot
    with more than ``SLOT_MOST`` rows sends them on by three, four, then five words,
    and receives their first two words alone, as rows of a block; a long slot is
    found by counting all rows of all blocks.
@@ -47,12 +49,16 @@ SLOT_ROWS = 1 << 19               # rows a slot has on average
 SLOT_MOST = 1 << 21               # rows of a slot that one task sorts
 MOST_SLOTS = 1 << 24
 BITMAP_MOST = 1 << 27
+RANGE = 1 << 17                   # hash places one task adds up at a time
+PAIRS_AT_ONCE = 1 << 23           # pairs whose counts a task adds up before it sends them
 SALTS = 64
 
 # a piece ends at each of these; a full stop stands for them all
 SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 TO_PIECES = bytes.maketrans(SEPARATORS + b"\t", b"." * len(SEPARATORS) + b" ")
 
+PAIRS = "part int, data binary"
+FREQUENT = "part int, bits binary, n long"
 WORDS = "lang string, word string, n long, hash long"
 BLOCKS = "lang string, level int, slot long, n long, rows binary"
 SENT = "lang string, level int, slot long, rows binary"
@@ -102,18 +108,20 @@ def _lang_seed(lang: str) -> np.uint64:
     return np.uint64(xxhash.xxh64_intdigest(lang.encode()))
 
 
-def suffixes(ids: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(distinct suffixes of two words or more in sorted order, their counts); rows are word numbers, 0 after the end."""
-    ids = np.where(frequent[ids], ids, 0)
-    padded = np.concatenate((ids, np.zeros(DEPTH, dtype=ids.dtype)))
-    at = np.flatnonzero((padded[:-DEPTH] > 0) & (padded[1:len(ids) + 1] > 0))
-    rows = np.empty((len(at), DEPTH), dtype=np.int32)
+def suffixes(ids: np.ndarray, linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct suffixes of two words or more in sorted order, their counts); rows are word numbers, 0 after the end.
+
+    ``linked``: whether a word and the next one are a pair that candidates may hold."""
+    at = np.flatnonzero(linked)
+    if not len(at):
+        return np.zeros((0, DEPTH), dtype=np.int32), np.zeros(0, dtype=np.int64)
+    ids, linked = (np.concatenate((x, np.zeros(DEPTH, dtype=x.dtype))) for x in (ids, linked))
+    rows = np.zeros((len(at), DEPTH), dtype=np.int32)
+    rows[:, 0] = ids[at]
     goes_on = np.ones(len(at), dtype=bool)
-    for k in range(DEPTH):
-        goes_on &= padded[at + k] > 0
-        rows[:, k] = np.where(goes_on, padded[at + k], 0)
-    if not len(rows):
-        return rows, np.zeros(0, dtype=np.int64)
+    for k in range(1, DEPTH):
+        goes_on &= linked[at + k - 1]
+        rows[:, k] = np.where(goes_on, ids[at + k], 0)
     keys = [rows[:, k].astype(np.int64) for k in range(DEPTH)]
     if rows.max() < 1 << 21:                                    # several words fit one key
         keys = [keys[0] << 32 | keys[1], keys[2] << 42 | keys[3] << 21 | keys[4]]
@@ -131,6 +139,68 @@ def slots(rows: np.ndarray, hashes: np.ndarray, lang: str, level: int, count: in
     return (h >> np.uint64(20)).astype(np.int64) % count
 
 
+def _has(bitmap: np.ndarray, place: np.ndarray) -> np.ndarray:
+    return bitmap[place >> 3] >> (place & 7).astype(np.uint8) & 1 > 0
+
+
+def _pair_places(block: Lexicon, lang: str, at: np.ndarray, places: int) -> np.ndarray:
+    """Of the pairs that start ``at`` these words."""
+    return slots(np.stack((block.ids[at], block.ids[at + 1]), axis=1), block.hashes, lang, 2, places)
+
+
+def _count_pairs(batches: Iterable[pa.RecordBatch], words: np.ndarray, places: int) -> Iterator[pa.RecordBatch]:
+    """How often each place of the hash space is met, a row for each range of places."""
+    held: list[np.ndarray] = []
+
+    def sent() -> pa.RecordBatch:
+        place, n = np.unique(np.concatenate(held), return_counts=True)
+        held.clear()
+        part = place // RANGE
+        begin = np.flatnonzero(np.diff(part, prepend=-1))
+        data = []
+        for i, j in zip(begin.tolist(), [*begin[1:].tolist(), len(part)]):
+            gaps = np.diff(place[i:j], prepend=part[i] * RANGE)
+            kinds = [np.min_scalar_type(int(x.max())) for x in (gaps, n[i:j])]
+            head = np.array([j - i, kinds[0].itemsize, kinds[1].itemsize], dtype=np.int64).tobytes()
+            data.append(zstandard.compress(head + gaps.astype(kinds[0]).tobytes() + n[i:j].astype(kinds[1]).tobytes(), 1))
+        return pa.RecordBatch.from_arrays([pa.array(part[begin].astype(np.int32)), pa.array(data, pa.binary())], names=["part", "data"])
+
+    for lang, texts in _texts(batches):
+        block = Lexicon(texts)
+        frequent = _has(words, (block.hashes % np.uint64(8 * len(words))).astype(np.int64))
+        frequent[0] = False
+        known = frequent[block.ids]
+        held.append(_pair_places(block, lang, np.flatnonzero(known[:-1] & known[1:]), places))
+        if sum(map(len, held)) >= PAIRS_AT_ONCE:
+            yield sent()
+    if sum(map(len, held)):
+        yield sent()
+
+
+def _frequent_pairs(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """A bitmap of each range and the occurrences of what it keeps; the rows arrive sorted by range."""
+    part, total = None, np.zeros(RANGE, dtype=np.int64)
+
+    def done() -> pa.RecordBatch:
+        kept = total >= least
+        return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "bits": [np.packbits(kept, bitorder="little").tobytes()],
+                                           "n": [int(total[kept].sum())]})
+
+    for b in batches:
+        for own, data in zip(b.column("part").to_pylist(), b.column("data").to_pylist()):
+            if own != part:
+                if part is not None:
+                    yield done()
+                part = own
+                total[:] = 0
+            data = zstandard.decompress(data)
+            size, gap, deep = np.frombuffer(data, dtype=np.int64, count=3).tolist()
+            place = np.cumsum(np.frombuffer(data, dtype=f"u{gap}", count=size, offset=24).astype(np.int64))
+            total[place] += np.frombuffer(data, dtype=f"u{deep}", count=size, offset=24 + size * gap).astype(np.int64)
+    if part is not None:
+        yield done()
+
+
 def _pack(rows: np.ndarray, n: np.ndarray, words: list[bytes]) -> bytes:
     """Suffixes with the words they use: sizes, the words, then rows and counts in the narrowest types."""
     used, codes = np.unique(rows, return_inverse=True)
@@ -155,10 +225,10 @@ def _sort_blocks(batches: Iterable[pa.RecordBatch], bitmap: np.ndarray, count: i
     """A row for each block with its distinct suffixes (level 0), and how many rows each slot gets at each level."""
     for lang, texts in _texts(batches):
         block = Lexicon(texts)
-        place = (block.hashes % np.uint64(8 * len(bitmap))).astype(np.int64)
-        frequent = bitmap[place >> 3] >> (place & 7).astype(np.uint8) & 1 > 0
-        frequent[0] = False
-        rows, n = suffixes(block.ids, frequent)
+        at = np.flatnonzero((block.ids[:-1] > 0) & (block.ids[1:] > 0))
+        linked = np.zeros(len(block.ids), dtype=bool)
+        linked[at[_has(bitmap, _pair_places(block, lang, at, 8 * len(bitmap)))]] = True
+        rows, n = suffixes(block.ids, linked)
         if not len(rows):
             continue
         words = [b"", *block.words[1:]]
@@ -275,11 +345,19 @@ def phrases(docs: DataFrame, scratch: Scratch, least: int = LEAST, slot_most: in
     bitmap[rows.column("at").to_numpy()] = rows.column("mask").to_numpy()
     bitmap = bitmap.view(np.uint8)
 
-    count = _power((total[0] or 0) / SLOT_ROWS, 16, MOST_SLOTS)
-    blocks = scratch.store(docs.mapInArrow(lambda b: _sort_blocks(b, bitmap, count), BLOCKS), "collocation-blocks")
+    places = _power(2 * (total[0] or 0), RANGE, BITMAP_MOST)
+    counts = docs.mapInArrow(lambda b: _count_pairs(b, bitmap, places), PAIRS)
+    kept = counts.repartition("part").sortWithinPartitions("part").mapInArrow(lambda b: _frequent_pairs(b, least), FREQUENT).toArrow()
+    pairs, moved = np.zeros(places // 8, dtype=np.uint8), 0     # at most BITMAP_MOST / RANGE rows
+    for part, bits, n in zip(*(kept.column(c).to_pylist() for c in ("part", "bits", "n"))):
+        pairs[part * RANGE // 8:(part + 1) * RANGE // 8] = np.frombuffer(bits, dtype=np.uint8)
+        moved += n
+
+    count = _power(moved / SLOT_ROWS, 16, MOST_SLOTS)
+    blocks = scratch.store(docs.mapInArrow(lambda b: _sort_blocks(b, pairs, count), BLOCKS), "collocation-blocks")
     sums = blocks.where("level > 0").groupBy("lang", "level", "slot").agg(F.sum("n").alias("n"))
     long: dict[tuple[str, int], list] = {}
-    for r in sums.where(F.col("n") > max(slot_most, 4 * (total[0] or 0) // MOST_SLOTS)).collect():
+    for r in sums.where(F.col("n") > max(slot_most, 4 * moved // MOST_SLOTS)).collect():
         long.setdefault((r.lang, r.level), []).append(r.slot)
     long = {k: np.array(v, dtype=np.int64) for k, v in long.items()}
     sent = blocks.where("level = 0").select("lang", "rows").mapInArrow(lambda b: _route(b, long, count), SENT)
