@@ -10,7 +10,9 @@ is a viewing event in one of four envelopes, tried in this order:
 
 otherwise it is an empty event.  All records of a queue batch are kept (one
 output row each).  Message-level ``event_id`` / ``event_time`` (delivery
-metadata) back-fill the payload's own.  Every rule is a built-in column
+metadata) back-fill the payload's own, and the position of the message in its
+source stands in for an id that neither has: two equal messages at two positions
+are two events, one position read twice is one.  Every rule is a built-in column
 expression: no Python runs per row.
 """
 
@@ -47,14 +49,16 @@ def parse_envelopes(df: DataFrame, value_col: str = "value", arrived_col: str =
     """Message text -> one row per event payload.
 
     Output: ``raw`` (message text), ``p`` (payload struct of text fields),
-    ``event_id`` and ``event_time`` (payload value, else message metadata; the
-    records of a batch that share the message's id get its id and their place),
-    ``mins_is_number`` (minutes sent as a JSON number) and ``arrived_at`` (of
-    the message, NULL if the source has no such column).
+    ``event_id`` and ``event_time`` (payload value, else message metadata, for
+    the id else the message's ``position``; the records of a batch that share the
+    message's id or position get it and their place), ``mins_is_number`` (minutes
+    sent as a JSON number) and ``arrived_at`` (of the message).  ``position`` and
+    ``arrived_at`` are NULL if the source has no such column.
     """
     env = F.from_json(F.col(value_col), schemas.ENVELOPE)
-    arrived = F.col(arrived_col) if arrived_col in df.columns else F.lit(None)
-    e = df.select(F.col(value_col).alias("raw"), arrived.cast("timestamp_ntz").alias("arrived_at"), env.alias("env"))
+    arrived, position = (F.col(c) if c in df.columns else F.lit(None) for c in (arrived_col, "position"))
+    e = df.select(F.col(value_col).alias("raw"), arrived.cast("timestamp_ntz").alias("arrived_at"),
+                  position.cast("string").alias("position"), env.alias("env"))
     fields = schemas.EVENT_FIELDS
     number = lambda text: F.coalesce(text.rlike(NUMBER_OF_MINUTES), F.lit(False))
 
@@ -73,7 +77,7 @@ def parse_envelopes(df: DataFrame, value_col: str = "value", arrived_col: str =
         .when(_nonempty(body), F.array(event(F.from_json(body, schemas.EVENT_PAYLOAD), number(body))))
         .otherwise(F.array(event(F.lit(None), F.lit(False))))
     )
-    out = e.select("raw", "arrived_at", F.col("env.event_id").alias("_m_id"), F.col("env.event_time").alias("_m_time"),
+    out = e.select("raw", "arrived_at", F.coalesce("env.event_id", "position").alias("_m_id"), F.col("env.event_time").alias("_m_time"),
                    (F.size(records) > 1).alias("_many"), F.posexplode(payloads).alias("_place", "e"))
     own = F.when(F.col("_many") & F.col("_m_id").isNotNull(),
                  F.concat("_m_id", F.lit("#"), F.col("_place").cast("string"))).otherwise(F.col("_m_id"))
@@ -136,6 +140,7 @@ def process_events(df: DataFrame) -> DataFrame:
         _ge(pct, R.MEDIUM_PCT).alias("is_engaged"),
         # an event without a time of its own is stamped with its arrival
         F.date_format(F.date_trunc("second", F.coalesce("event_ts", "arrived_at")), STAMP_TEXT).alias("processed_at"),
+        "arrived_at",
         notes.alias("notifications"),
         F.size(notes).alias("notification_count"),
     )

@@ -9,10 +9,12 @@ batches.  A batch counts once its write is committed (``_SUCCESS``); readers
 name the committed directories they read, so nothing half-written is seen and
 no other directory is listed or scanned.
 
-Readers see one row per (user_id, processed_at) -- the latest write, ordered by
-event time then request id so the answer does not depend on how events were
-batched.  Events without a time of their own are stamped with their arrival and
-never replace each other: their key also has the request id.
+Readers first see each event once: of the deliveries of a request id (an event's id or
+its position in the source) the one that arrived first counts.  The latest view has
+one row per (user_id, processed_at), ordered by event time then request id, so the
+answer does not depend on how events were batched.  Events without a time of their
+own are stamped with their arrival and never replace each other: their key is the
+request id.
 """
 
 from __future__ import annotations
@@ -24,15 +26,15 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .dedupe import latest_by_key
+from .dedupe import dedupe_by_key, latest_by_key
 
 STORE_KEY = ["user_id", "processed_at"]
 STORE_COLUMNS = ["user_id", "processed_at", "content_id", "completion_pct", "watched_mins",
                  "engagement_level", "is_binge_watcher", "device", "region",
-                 "notification_count", "request_id", "event_ts"]
+                 "notification_count", "request_id", "event_ts", "arrived_at"]
 STORE_SCHEMA = ("user_id string, processed_at string, content_id string, completion_pct double, watched_mins int, "
                 "engagement_level string, is_binge_watcher boolean, device string, region string, "
-                "notification_count int, request_id string, event_ts timestamp_ntz")
+                "notification_count int, request_id string, event_ts timestamp_ntz, arrived_at timestamp_ntz")
 BUCKETS = 64                # of a snapshot, by user
 
 
@@ -73,14 +75,24 @@ def _rows(spark: SparkSession, paths: list[str]) -> DataFrame:
     return spark.read.schema(STORE_SCHEMA).parquet(*paths) if paths else spark.createDataFrame([], STORE_SCHEMA)
 
 
+def _identity() -> F.Column:
+    """The request id; rows without one (no id and no position) are told apart by their values."""
+    return F.coalesce("request_id", F.concat(F.lit("\u0001"), F.sha2(F.to_json(F.struct(*STORE_COLUMNS)), 256)))
+
+
+def once(rows: DataFrame) -> DataFrame:
+    """Every event once: the delivery that arrived first."""
+    return dedupe_by_key(rows.select(*STORE_COLUMNS, _identity().alias("_id")), "_id", ["arrived_at"]).select(*STORE_COLUMNS)
+
+
 def read_store(spark: SparkSession, store_dir: str) -> DataFrame:
     """Every stored event once: repeated deliveries that landed in several batches collapse."""
-    return _rows(spark, [b.path for b in committed(spark, store_dir)]).distinct()
+    return once(_rows(spark, [b.path for b in committed(spark, store_dir)]))
 
 
 def latest(store: DataFrame) -> DataFrame:
-    """One row per key, last write wins (by event time, then request id)."""
-    undated = F.when(F.col("event_ts").isNull(), F.coalesce("request_id", F.lit(""))).otherwise("")
+    """One row per key of events that come once, last write wins (by event time, then request id)."""
+    undated = F.when(F.col("event_ts").isNull(), _identity()).otherwise("")
     rows = store.select(*STORE_COLUMNS, undated.alias("_undated"))
     return latest_by_key(rows, [*STORE_KEY, "_undated"], ["event_ts", "request_id"]).select(*STORE_COLUMNS)
 
@@ -122,7 +134,7 @@ def compact(spark: SparkSession, store_dir: str, snapshot_dir: str) -> int:
     if version:
         rows = rows.unionByName(spark.read.parquet(f"{snapshot_dir}/v={version}").select(*STORE_COLUMNS))
     new = version + 1
-    (latest(rows).withColumn("user_bucket", user_bucket(F.col("user_id")))
+    (latest(once(rows)).withColumn("user_bucket", user_bucket(F.col("user_id")))
      .repartition("user_bucket").sortWithinPartitions("user_bucket", "user_id", "processed_at")
      .write.mode("overwrite").partitionBy("user_bucket").parquet(f"{snapshot_dir}/v={new}"))
     spark.range(1).select(F.lit(json.dumps(upto)).alias("value")).coalesce(1) \
@@ -159,7 +171,7 @@ def read_latest(spark: SparkSession, store_dir: str, snapshot_dir: str | None =
             snap = snap.where((F.col("user_bucket") == bucket) & (F.col("user_id") == user_id))
     if snap is not None:
         rows = snap.select(*STORE_COLUMNS).unionByName(rows)
-    return latest(rows)
+    return latest(once(rows))
 
 
 def events_of_user(view: DataFrame, user_id: str | F.Column) -> DataFrame:

@@ -319,20 +319,29 @@ _LEVEL = ("CASE WHEN completion_pct >= 80 THEN 'HIGH' WHEN completion_pct >= 50
           "ELSE 'LOW' END")
 
 _ALL_CTES.update({
-    # one row for each payload: a queue batch with a second record has two, without ids of their own
+    # one row for each payload of each delivery: a queue batch with a second record has two, without
+    # ids of their own; a message without an id is known by its place in the queue
     "ev_raw": """
-SELECT *, CAST(substr(event_id, 4) AS BIGINT) AS number FROM raw_watch_events""",
+SELECT *, CAST(substr(event_id, 4) AS BIGINT) AS number FROM (SELECT DISTINCT * FROM raw_watch_events)""",
+    "ev_sent": """
+SELECT e.*, 0 AS copy, 0 AS late FROM ev_raw e
+UNION ALL SELECT e.*, 1, 0 FROM ev_raw e WHERE number % 45 = 31
+UNION ALL SELECT e.*, 1, 0 FROM ev_raw e WHERE number % 45 = 31 AND number % 135 = 121
+UNION ALL SELECT e.*, 1, 5 FROM ev_raw e WHERE number % 100 = 0 AND number % 45 <> 31
+UNION ALL SELECT e.*, 0, 0 FROM ev_raw e WHERE number % 100 = 50 AND number % 45 <> 31""",
     "ev_base": """
-SELECT event_id || CASE WHEN number % 40 = 2 THEN '#' || CAST(place AS VARCHAR) ELSE '' END AS event_id,
-  CASE WHEN number % 300 = 7 THEN NULL
+SELECT CASE WHEN number % 45 = 31
+    THEN 'watch-events/' || CAST(number % 8 AS VARCHAR) || '/' || CAST(2 * number + copy AS VARCHAR) ELSE event_id END
+    || CASE WHEN number % 40 = 2 THEN '#' || CAST(place AS VARCHAR) ELSE '' END AS event_id,
+  CASE WHEN number % 300 = 7 OR number % 90 = 31 THEN NULL
        WHEN number % 200 = 13 THEN watch_start_time + INTERVAL 730 DAY
        WHEN number % 500 = 21 THEN TIMESTAMP '2099-01-01 00:00:00' ELSE watch_start_time END AS event_ts,
-  date_trunc('second', watch_start_time + INTERVAL 1 MINUTE) AS arrived_at,
+  date_trunc('second', watch_start_time + INTERVAL 1 MINUTE) + to_minutes(late) AS arrived_at,
   user_id, content_id, device, region,
   CASE WHEN number % 40 = 2 THEN 85e0 ELSE completion_pct END AS completion_pct,
   CASE WHEN number % 40 = 2 THEN CAST(30 + place AS INT) ELSE watched_mins END AS watched_mins,
   ((number % 4 = 0 AND user_id IS NULL) OR number % 1000 = 999) AS dropped
-FROM ev_raw, (VALUES (0), (1)) AS t(place) WHERE place = 0 OR number % 40 = 2""",
+FROM ev_sent, (VALUES (0), (1)) AS t(place) WHERE place = 0 OR number % 40 = 2""",
     "ev_proc": """
 SELECT event_id AS request_id, event_ts, arrived_at,
   CASE WHEN dropped OR user_id IS NULL THEN 'UNKNOWN' ELSE user_id END AS user_id,
@@ -347,6 +356,7 @@ SELECT request_id, event_ts, user_id, content_id, completion_pct, watched_mins,
   {_LEVEL} AS engagement_level,
   completion_pct >= 80 AS is_binge_watcher, completion_pct >= 50 AS is_engaged,
   strftime(date_trunc('second', coalesce(event_ts, arrived_at)), '%Y-%m-%d %H:%M:%S') AS processed_at,
+  arrived_at,
   CAST((CASE WHEN completion_pct >= 80 THEN 1 ELSE 0 END)
        + (CASE WHEN completion_pct = 100 THEN 1 ELSE 0 END)
        + (CASE WHEN watched_mins > 120 THEN 1 ELSE 0 END) AS INT) AS notification_count,
@@ -372,10 +382,12 @@ SELECT *,
   round(completion_pct * 0.6 + least(watched_mins / 120 * 100, 100) * 0.4, 1) AS engagement_score,
   {_LEVEL} AS engagement_level, completion_pct >= 80 AS should_notify
 FROM validated""",
+    # the queue may deliver an event again; what came first counts
     "store_rows": """
-SELECT DISTINCT user_id, processed_at, content_id, completion_pct, watched_mins, engagement_level,
-  is_binge_watcher, device, region, notification_count, request_id, event_ts
-FROM processed""",
+SELECT user_id, processed_at, content_id, completion_pct, watched_mins, engagement_level,
+  is_binge_watcher, device, region, notification_count, request_id, event_ts, arrived_at
+FROM (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY arrived_at) AS delivery FROM processed)
+WHERE delivery = 1""",
     "latest": """
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id, processed_at,
@@ -387,7 +399,7 @@ SELECT user_id FROM (SELECT user_id, count(*) AS n FROM latest WHERE user_id !=
                      GROUP BY user_id)
 ORDER BY n DESC, user_id ASC LIMIT 1""",
 })
-ORDER.extend(["ev_raw", "ev_base", "ev_proc", "processed", "validated", "scored", "store_rows", "latest",
+ORDER.extend(["ev_raw", "ev_sent", "ev_base", "ev_proc", "processed", "validated", "scored", "store_rows", "latest",
               "top_user"])
 
 _MISSING = ("'Missing required fields: [' || concat_ws(', ', "

@@ -1,7 +1,8 @@
 """Structured Streaming wiring for the event path.
 
-    readStream (messages) -> parse envelopes -> extract fields
-      -> foreachBatch: repeated deliveries removed             [at-least-once input]
+    readStream (messages, each with its position in the source)
+      -> foreachBatch: parse envelopes -> extract fields
+                       repeated deliveries removed             [at-least-once input]
                        processor records -> keyed store (batch_id=<n>, overwrite)
                        parse failures   -> dead letters (batch_id=<n>, overwrite)
 
@@ -11,15 +12,18 @@ micro-batch is written to its own directory with overwrite, so a batch
 replayed from the checkpoint after a failure replaces its own output.
 
 No event is lost for its time: nothing here has a watermark, so late, undated
-and future-dated events are stored like any other.  Repeated deliveries are
-removed by key in the sink: within a batch by an aggregate that combines copies
+and future-dated events are stored like any other.  An event is known by its id, or
+by where its message stands in the source: topic, partition and offset of a queue,
+else file and row.  So equal messages without an id are events of their own, and
+the store does not depend on how messages were batched.  Repeated deliveries are
+removed by that key in the sink: within a batch by an aggregate that combines copies
 in each map task, across batches by the store (readers collapse them), or
 before the write by an anti-join with the stored keys (``dedupe="sink"``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import events as ev
@@ -27,14 +31,37 @@ from ..operators import store
 from ..operators.dedupe import dedupe_by_key
 
 
+POSITION = "concat_ws('/', topic, partition, offset)"
+
+
+def located(messages: DataFrame) -> DataFrame:
+    """Adds ``position`` from topic, partition and offset where the messages have them.  Lines of
+    text files (``message_stream``) get their file and number in it, however the file was split."""
+    if "position" in messages.columns:
+        return messages
+    if {"topic", "partition", "offset"} <= set(messages.columns):
+        queue = F.when(F.col("offset").isNotNull(), F.expr(POSITION))
+        row = F.concat_ws("/", "_file", "_row") if "_row" in messages.columns else F.lit(None).cast("string")
+        return messages.withColumn("position", F.coalesce(queue, row)).drop("_file", "_row")
+    if "_block" not in messages.columns:
+        return messages
+    # the lines of a block are neighbours in one task, so their places there count them
+    lines = messages.withColumn("_at", F.monotonically_increasing_id())
+    blocks = lines.groupBy("_file", "_block").agg(F.min("_at").alias("_first"), F.count("*").alias("_lines"))
+    before = F.sum("_lines").over(Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
+    blocks = blocks.withColumn("_before", F.coalesce(before, F.lit(0))).drop("_lines")
+    return lines.join(blocks, ["_file", "_block"]).select(
+        "value", "arrived_at", F.concat_ws("/", "_file", F.col("_before") + F.col("_at") - F.col("_first")).alias("position"))
+
+
 def parsed_events(messages: DataFrame) -> DataFrame:
-    return ev.extract_fields(ev.parse_envelopes(messages))
+    return ev.extract_fields(ev.parse_envelopes(located(messages)))
 
 
 def _dedupe_key():
-    """Event id, or a digest of the message for events without one."""
+    """Event id (or source position); without either a digest of the message and its arrival."""
     return F.coalesce(F.col("event_id"),
-                      F.sha2(F.concat_ws("\u0001", F.to_json("p"), F.col("raw")), 256))
+                      F.sha2(F.concat_ws("\u0001", F.to_json("p"), F.col("raw"), F.col("arrived_at").cast("string")), 256))
 
 
 def first_deliveries(batch: DataFrame) -> DataFrame:
@@ -52,22 +79,25 @@ def not_stored(spark: SparkSession, batch: DataFrame, store_dir: str, run: str,
     return batch.join(seen, F.col("event_id") == F.col("_seen"), "left_anti")
 
 
-# A landed message file: what a queue delivers.
-MESSAGE = "value STRING, arrived_at TIMESTAMP_NTZ"
+# A landed message file: what a queue delivers.  A file without the queue's columns has rows
+# known by file and row.
+MESSAGE = "value STRING, arrived_at TIMESTAMP_NTZ, topic STRING, partition INT, offset BIGINT"
 
 
 def message_stream(spark: SparkSession, source_dir: str, fmt: str = "parquet",
                    max_files_per_trigger: int | None = None) -> DataFrame:
-    """File source of messages: Parquet files of (value, arrived_at), or text files with
-    one message a line, which arrive when their file was written.  In production this
-    is a Kafka source (``kafka_messages``); same downstream plan."""
+    """File source of messages: Parquet files (``MESSAGE``), or text files with one message
+    a line, which arrive when their file was written.  In production this is a Kafka
+    source (``kafka_messages``); same downstream plan."""
     reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if fmt == "text":
         lines = reader.schema("value STRING").text(source_dir)
-        return lines.select("value", F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("arrived_at"))
-    return reader.schema(MESSAGE).parquet(source_dir)
+        return lines.select("value", F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("arrived_at"),
+                            F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
+    rows = reader.schema(MESSAGE).parquet(source_dir)
+    return rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
 
 
 class ConnectorMissing(RuntimeError):
@@ -93,7 +123,13 @@ def kafka_messages(spark: SparkSession, bootstrap_servers: str, topic: str,
                 "Kafka source unavailable: add the spark-sql-kafka connector to the "
                 "session (spark.jars.packages) or use a file source") from e
         raise
-    return stream.selectExpr("CAST(value AS STRING) AS value", "CAST(timestamp AS TIMESTAMP_NTZ) AS arrived_at")
+    return from_kafka(stream)
+
+
+def from_kafka(records: DataFrame) -> DataFrame:
+    """Messages of the connector's rows (key, value, topic, partition, offset, timestamp, timestampType)."""
+    return records.selectExpr("CAST(value AS STRING) AS value", "CAST(timestamp AS TIMESTAMP_NTZ) AS arrived_at",
+                              "topic", "partition", "offset")
 
 
 def run_engagement_stream(spark: SparkSession, source_dir: str, store_dir: str,
@@ -118,10 +154,10 @@ def run_engagement_stream(spark: SparkSession, source_dir: str, store_dir: str,
         raise ValueError(f"unknown dedupe mode {dedupe!r}")
     if messages is None:
         messages = message_stream(spark, source_dir, fmt, max_files_per_trigger)
-    parsed = parsed_events(messages)
     run = store.run_id(checkpoint_dir)
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
+    def sink(arrived: DataFrame, batch_id: int) -> None:
+        batch = parsed_events(arrived)
         # Parse failures are counted while the store batch is written; the
         # (rare) dead-letter write then reads the cached batch only if needed.
         if dedupe != "none":
@@ -145,7 +181,7 @@ def run_engagement_stream(spark: SparkSession, source_dir: str, store_dir: str,
         finally:
             batch.unpersist()
 
-    writer = parsed.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint_dir)
+    writer = messages.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="10 seconds")
     query = writer.start()

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from reelhouse.operators import events as ev
 from reelhouse.operators import store
 from reelhouse.plans import realtime
-from reelhouse.streaming.engagement import first_deliveries, parsed_events, run_engagement_stream
+from reelhouse.streaming.engagement import first_deliveries, located, parsed_events, run_engagement_stream
 from reelhouse.streaming.feed import land_feed
 from tests.conftest import SF001
 
@@ -15,7 +15,7 @@ STORE_COLS = [c for c in store.STORE_COLUMNS]
 
 def _batch_latest(spark):
     rows = ev.process_events(parsed_events(realtime.feed(spark, SF001)))
-    return store.latest(rows.select(*STORE_COLS))
+    return store.latest(store.once(rows))
 
 
 def _same(a, b):
@@ -132,7 +132,7 @@ def test_stream_routes_like_batch(spark, tmp_dir):
                           routed_dir=f"{tmp_dir}/sm")
     streamed = spark.read.parquet(f"{tmp_dir}/sm/routed").select(
         "action", "message", "engagement_score", "data.event_id", "data.user_id")
-    routed, rejected = ev.state_machine(ev.parse_envelopes(realtime.feed(spark, SF001)))
+    routed, rejected = ev.state_machine(ev.parse_envelopes(located(realtime.feed(spark, SF001))))
     batch = routed.select("action", "message", "engagement_score", "data.event_id", "data.user_id")
     assert _same(streamed, batch)
     s_rej = spark.read.parquet(f"{tmp_dir}/sm/rejected").select("request_id", "error", "detail")
@@ -208,10 +208,104 @@ def test_envelope_cases_across_files_stream_equals_batch(spark, tmp_dir):
     rows = store.read_store(spark, f"{tmp_dir}/store")
     streamed = store.latest(rows)
     batch_in = spark.createDataFrame([(m,) for m in msgs], "value string")
-    batch = ev.process_events(parsed_events(batch_in)).select(*STORE_COLS)
+    batch = ev.process_events(parsed_events(batch_in)).select(*STORE_COLS).drop("arrived_at")
     # the two payloads without a time (not JSON, a body that is not) are stamped with their file's arrival
     assert rows.where("event_ts is null AND processed_at is null").count() == 0
     dated = "event_ts is not null"
-    assert _same(streamed.where(dated), store.latest(batch).where(dated))
-    ids = sorted(r["request_id"] for r in streamed.collect() if r["request_id"] is not None)
-    assert ids == ["1", "2", "3", "4", "5", "6", "7"]
+    assert _same(streamed.where(dated).drop("arrived_at"), batch.where(dated).distinct())
+    ids = sorted(r["request_id"] for r in streamed.collect())
+    # the text that is no event comes at two positions, so it is two
+    assert ids[:7] == ["1", "2", "3", "4", "5", "6", "7"]
+    assert [i.rsplit("/", 2)[1:] for i in ids[7:]] == [["events_01.json", "3"], ["events_02.json", "3"]]
+
+
+NAMELESS = '{"user_id": "u1", "content_id": "c1", "completion_pct": 85, "watched_mins": 127}'
+
+
+def _stream(spark, tmp_dir, label, files, **options):
+    """Run the stream over message files of (value, arrived_at[, offset]) rows; returns the store's folder."""
+    for n, rows in enumerate(files):
+        df = spark.createDataFrame([(v, a, *rest) for v, a, *rest in rows],
+                                   "value string, arrived string" + (", offset long" if len(rows[0]) == 3 else ""))
+        df = df.withColumn("arrived_at", F.col("arrived").cast("timestamp_ntz")).drop("arrived")
+        if "offset" in df.columns:
+            df = df.withColumns({"topic": F.lit("t"), "partition": F.lit(0)})
+        df.coalesce(1).write.mode("append").parquet(f"{tmp_dir}/{label}/feed/{n}")
+    out = f"{tmp_dir}/{label}"
+    run_engagement_stream(spark, f"{out}/feed/*", f"{out}/store", f"{out}/dead", f"{out}/ckpt", **options)
+    return f"{out}/store"
+
+
+def test_equal_messages_without_id_are_events_of_their_own(spark, tmp_dir):
+    """One batch or two, by queue offset or by file and row; one position read twice is one event."""
+    t = ["2024-01-01 00:00:01", "2024-01-01 00:00:01.5", "2024-01-01 00:00:09"]
+    queue = [[(NAMELESS, t[0], 7), (NAMELESS, t[1], 8)], [(NAMELESS, t[0], 7), (NAMELESS, t[2], 9)]]
+    plain = [[r[:2] for r in f] for f in queue]
+    for label, files, want in (("q", queue, ["t/0/7", "t/0/8", "t/0/9"]), ("f", plain, None)):
+        for trigger in (None, 1):
+            for mode in ("batch", "sink", "none"):
+                path = _stream(spark, tmp_dir, f"{label}{trigger}{mode}", files, max_files_per_trigger=trigger, dedupe=mode)
+                rows = store.read_store(spark, path)
+                ids = sorted(r["request_id"] for r in rows.collect())
+                assert ids == want if want else len(set(ids)) == 4
+                # three arrive in two seconds: none replaces another
+                assert store.latest(rows).count() == len(ids)
+
+
+def test_an_undated_event_delivered_again_is_stored_once_as_it_first_came(spark, tmp_dir):
+    event = NAMELESS.replace("{", '{"event_id": "e1", ', 1)
+    first, again = (event, "2024-01-01 00:00:00", 1), (event, "2024-01-01 00:05:00", 2)
+    for label, files in (("one", [[again, first]]), ("two", [[again], [first]]), ("three", [[first], [again], [first]])):
+        path = _stream(spark, tmp_dir, label, files, max_files_per_trigger=1)
+        rows = store.read_store(spark, path)
+        assert [(r["request_id"], r["processed_at"]) for r in rows.collect()] == [("e1", "2024-01-01 00:00:00")], label
+        store.compact(spark, path, f"{tmp_dir}/{label}/snap")
+        assert store.read_latest(spark, path, f"{tmp_dir}/{label}/snap").count() == 1
+
+
+def test_any_batching_gives_the_same_store(spark, tmp_dir):
+    feed = realtime.feed(spark, SF001)
+    seen = []
+    for files, trigger in ((1, None), (3, 1), (5, 2)):
+        root = f"{tmp_dir}/{files}"
+        land_feed(feed.repartition(files), f"{root}/feed")
+        run_engagement_stream(spark, f"{root}/feed", f"{root}/store", f"{root}/dead", f"{root}/ckpt", max_files_per_trigger=trigger)
+        rows = store.read_store(spark, f"{root}/store")
+        seen.append((rows, store.latest(rows)))
+    for rows, view in seen[1:]:
+        assert _same(rows, seen[0][0]) and _same(view, seen[0][1])
+    nameless = seen[0][0].where("request_id like 'watch-events/%'")
+    assert nameless.count() > 20 and nameless.where("event_ts is null").count() > 10
+
+
+def test_lines_of_text_files_are_known_by_file_and_number(spark, tmp_dir):
+    """However the files are split into tasks."""
+    os.makedirs(f"{tmp_dir}/feed")
+    for name, n in (("a", 300), ("b", 7)):
+        with open(f"{tmp_dir}/feed/{name}", "w") as f:
+            f.writelines(f"{NAMELESS[:-1]}, \"region\": \"{name}{k}\"}}\n" for k in range(n))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    found = []
+    try:
+        for size in ("3k", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            lines = spark.read.schema("value string").text(f"{tmp_dir}/feed").select(
+                "value", F.lit(None).cast("timestamp_ntz").alias("arrived_at"), F.col("_metadata.file_path").alias("_file"),
+                F.col("_metadata.file_block_start").alias("_block"))
+            assert (lines.select("_block").distinct().count() > 3) == (size == "3k")
+            found.append(sorted((r["value"].rsplit('"', 2)[1], r["position"].rsplit("/", 2)[1:]) for r in located(lines).collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert found[0] == found[1] == sorted((f"{f}{k}", [f, str(k)]) for f, n in (("a", 300), ("b", 7)) for k in range(n))
+    run_engagement_stream(spark, f"{tmp_dir}/feed", f"{tmp_dir}/store", f"{tmp_dir}/dead", f"{tmp_dir}/ckpt", fmt="text")
+    view = store.latest(store.read_store(spark, f"{tmp_dir}/store"))
+    assert view.count() == 307                       # one user, one arrival for each file
+
+
+def test_kafka_rows_become_messages_with_their_position(spark):
+    from reelhouse.streaming.engagement import from_kafka
+    rows = spark.createDataFrame([(None, bytearray(NAMELESS.encode()), "watch", 3, 41, "2024-01-01 00:00:05", 0)],
+                                 "key binary, value binary, topic string, partition int, offset long, ts string, timestampType int")
+    rows = rows.withColumn("timestamp", F.col("ts").cast("timestamp")).drop("ts")
+    got = ev.process_events(parsed_events(from_kafka(rows))).first()
+    assert (got["request_id"], got["user_id"], got["processed_at"]) == ("watch/3/41", "u1", "2024-01-01 00:00:05")
