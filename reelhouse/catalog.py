@@ -18,9 +18,10 @@ from .operators import recommend
 from .plans import realtime, sql_pack
 from .plans import reports as report_plan
 from .functions.sql import register_sql_functions
-from .plans.pipeline import (bronze_from_files, events_from_arrays, events_from_untidy_lines, job_outputs, medallion,
-                             without_run_time)
-from .plans.quality_job import quality_outputs
+from .plans.pipeline import (bronze_from_files, bronze_merged, bronze_rerun, events_from_arrays, events_from_untidy_lines,
+                             job_outputs, medallion, without_run_time)
+from .plans.quality_job import quality_gate, quality_outputs
+from .sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,7 +95,7 @@ def _job_rows(spark: SparkSession, sf: str) -> DataFrame:
         layer, _, t = name.partition(".")
         path = (f"{root}/dq/failed_records/{t}" if layer == "quarantine" else
                 f"{root}/{layer}/_rejected/{t.removeprefix('rejected_')}" if t.startswith("rejected_") else f"{root}/{layer}/{t}")
-        row = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_read")).select(
+        row = tables.read(spark, path).agg(F.count(F.lit(1)).alias("n_read")).select(
             F.lit(name).alias("output"), F.lit(n).cast("long").alias("n_rows"), "n_read")
         out = row if out is None else out.unionByName(row)
     return out
@@ -104,7 +105,7 @@ def _job_table(path: str, *columns: str) -> Query:
     """A table the jobs wrote, read back from the lake."""
     def run(spark: SparkSession, sf: str) -> DataFrame:
         root, _ = job_outputs(spark, sf)
-        df = without_run_time(spark.read.parquet(f"{root}/{path}"))
+        df = without_run_time(tables.read(spark, f"{root}/{path}"))
         return df.select(*columns) if columns else df
     return run
 
@@ -126,7 +127,12 @@ QUERIES: dict[str, Query] = {
     "bronze_events_array": lambda spark, sf: without_run_time(events_from_arrays(spark, sf)),
     "bronze_events_untidy": lambda spark, sf: without_run_time(events_from_untidy_lines(spark, sf)[0]),
     "bronze_rejected": lambda spark, sf: events_from_untidy_lines(spark, sf)[1].select("record"),
+    "bronze_rerun": lambda spark, sf: without_run_time(bronze_rerun(spark, sf)).drop("source_path"),
+    "bronze_merged": lambda spark, sf: without_run_time(bronze_merged(spark, sf)).drop("source_path"),
     "job_row_counts": _job_rows,
+    "job_quality_report": _job_table("dq/reports", "check_name", "table", "total_records", "passed", "failed", "pass_rate_pct",
+                                     "status", "check_order"),
+    "job_quality_gate": quality_gate,
     "job_user_watch_profile": _job_table("silver/user_watch_profile"),
     "job_top_content": _job_table("gold/top_content"),
     "job_quarantined_events": _job_table("dq/failed_records/watch_events", "event_id", "failed_checks"),

@@ -1,6 +1,6 @@
 """Command-line jobs (one per pipeline stage), for ``spark-submit`` or python.
 
-    python -m reelhouse.jobs raw-to-bronze   --raw DIR --out DIR [--json-array]
+    python -m reelhouse.jobs raw-to-bronze   --raw DIR --out DIR [--json-array] [--merge]
     python -m reelhouse.jobs bronze-to-silver --out DIR
     python -m reelhouse.jobs silver-to-gold  --out DIR
     python -m reelhouse.jobs data-quality    --out DIR [--gate]
@@ -38,6 +38,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--dedupe", choices=["batch", "sink", "none"], default="batch")
     ap.add_argument("--source-format", choices=["parquet", "text"], default="parquet")
     ap.add_argument("--json-array", action="store_true", help="raw JSON files are arrays, not lines")
+    ap.add_argument("--merge", action="store_true", help="the raw events are an increment: upsert them by id")
     ap.add_argument("--run-time", help="logical run time 'yyyy-MM-dd HH:mm:ss' (default: now)")
     ap.add_argument("--kafka-bootstrap")
     ap.add_argument("--kafka-topic")
@@ -47,7 +48,7 @@ def main(argv: list[str] | None = None) -> None:
     out, t = a.out.rstrip("/"), a.run_time or now_text()
     result: object
     if a.job == "raw-to-bronze":
-        result = bronze.run(spark, a.raw, f"{out}/bronze", t, json_array=a.json_array)
+        result = bronze.run(spark, a.raw, f"{out}/bronze", t, json_array=a.json_array, merge=a.merge)
     elif a.job == "bronze-to-silver":
         result = silver.run(spark, f"{out}/bronze", f"{out}/silver", t)
     elif a.job == "silver-to-gold":

@@ -507,6 +507,17 @@ _COUNTS = {
 }
 JOBS = {
     "bronze_events_array": "SELECT *, 'raw/watch_events/watch_events.json' AS source_file, 'bronze' AS layer FROM b_watch",
+    "bronze_rerun": "SELECT *, 'raw/watch_events/watch_events.json' AS source_file, 'bronze' AS layer FROM b_watch",
+    "bronze_merged": """
+SELECT * REPLACE (CASE WHEN CAST(substr(event_id, 4) AS BIGINT) % 5 = 0 THEN buffering_events END AS buffering_events),
+  'raw/watch_events/watch_events.json' AS source_file, 'bronze' AS layer FROM b_watch""",
+    "job_quality_report": "SELECT * FROM dq",
+    "job_quality_gate": """
+SELECT bool_or(status = 'FAIL') AS stopped,
+  CASE WHEN bool_or(status = 'FAIL') THEN CAST(count(*) FILTER (WHERE status = 'FAIL') AS VARCHAR) || ' of '
+    || CAST(count(*) AS VARCHAR) || ' checks failed: ['
+    || string_agg(chr(39) || check_name || chr(39), ', ' ORDER BY check_order) FILTER (WHERE status = 'FAIL') || ']'
+  ELSE '' END AS message FROM dq""",
     "bronze_events_untidy": """
 SELECT *, 'raw/watch_events/watch_events.json' AS source_file, 'bronze' AS layer FROM b_watch
 WHERE CAST(substr(event_id, 4) AS BIGINT) % 97 <> 5""",

@@ -8,13 +8,13 @@ checks instead.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators.dedupe import dedupe_by_key
-from ..session import run_concurrently
-from ..sources import files
+from ..session import new_scratch, run_concurrently
+from ..sources import files, tables
 from ..sources.sinks import write_parquet
 
 
@@ -70,21 +70,41 @@ def ingest_files(spark: SparkSession, raw_dir: str, ingestion_time: str,
 
 
 def run(spark: SparkSession, raw_dir: str, bronze_dir: str, ingestion_time: str,
-        json_array: bool = False) -> dict[str, int]:
+        json_array: bool = False, merge: bool = False) -> dict[str, int]:
     """Job: land every raw table in ``bronze_dir`` as Parquet; returns row counts,
     and ``rejected_<table>`` for rows that did not parse, kept in ``_rejected/<table>``.
 
     Events are partitioned by ``watch_date``; a rebalance on it gives each date
-    few files and splits a date that is too large for one task.  Only the dates of
-    the run are replaced.
+    few files and splits a date that is too large for one task.  A run replaces its
+    tables.  With ``merge`` the raw events are an increment: each replaces the event
+    of its id, wherever that was, and only dates that change are rewritten
+    (``sources/tables``).  Rows that did not parse are counted while the others are
+    written; a table is read again only if it has any.
     """
-    jobs = {}
-    for table in schemas.RAW:
-        raw, rejected = read_landed(spark, f"{raw_dir}/{table}", table, json_array)
-        df = to_bronze(raw, table, ingestion_time)
-        if table == "watch_events":
-            df = df.hint("rebalance", F.col("watch_date"))
-        by_date = {"partition_by": ["watch_date"], "replace_partitions": True} if table == "watch_events" else {}
-        jobs[table] = lambda d=df, t=table, k=by_date: write_parquet(d, f"{bronze_dir}/{t}", **k)
-        jobs[f"rejected_{table}"] = lambda d=rejected, t=table: write_parquet(d, f"{bronze_dir}/_rejected/{t}")
-    return run_concurrently(jobs)
+    def job(table: str):
+        def land() -> tuple[int, int]:
+            path = f"{raw_dir}/{table}"
+            raw = files.read_raw(spark, path, table, multiline=json_array, keep_rejected=True)
+            bad = Observation()
+            seen = raw.withColumn("source_path", files.source_file_column()).observe(
+                bad, F.count_if(F.col(files.REJECTED).isNotNull()).alias("n"))
+            rows, rejected = files.split_rejected(seen, schemas.RAW[table][1])
+            df = to_bronze(rows, table, ingestion_time)
+            out = f"{bronze_dir}/{table}"
+            if table != "watch_events":
+                n = write_parquet(df, out)
+            elif merge:
+                staged = new_scratch(spark, "increment")
+                write_parquet(df, staged)
+                n, _ = tables.merge(spark.read.schema(df.schema).parquet(staged), out, "watch_date", "event_id")
+            else:
+                n = tables.replace(df, out, "watch_date")
+            if bad.get["n"]:
+                _, rejected = read_landed(spark, path, table, json_array)
+            else:
+                rejected = spark.createDataFrame([], rejected.schema)
+            return n, write_parquet(rejected, f"{bronze_dir}/_rejected/{table}")
+        return land
+
+    counts = run_concurrently({t: job(t) for t in schemas.RAW})
+    return {t: n for t, (n, _) in counts.items()} | {f"rejected_{t}": n for t, (_, n) in counts.items()}

@@ -14,7 +14,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources import domain, files
+from ..sources import domain, files, tables
 from ..session import new_scratch
 from . import bronze as bronze_plan
 from . import gold as gold_plan
@@ -96,6 +96,41 @@ def events_from_untidy_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFram
     return bronze_plan.to_bronze(raw.drop("source_path"), "watch_events", now_text()), rejected
 
 
+def _land_events(events: DataFrame, raw_dir: str, spark: SparkSession, sf_dir: str) -> None:
+    land_raw(spark, sf_dir, raw_dir, ("users", "subscriptions", "content_catalog"))
+    files.write_raw(events, f"{raw_dir}/watch_events", "watch_events")
+
+
+def _day_before(events: DataFrame, which: str) -> DataFrame:
+    """The events as first delivered: these a day earlier."""
+    start = F.expr(f"CASE WHEN {domain.number_of('event_id')} % {which} THEN watch_start_time - INTERVAL 1 DAY ELSE watch_start_time END")
+    return events.withColumn("watch_start_time", start)
+
+
+def bronze_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze events after the job ran on a first delivery (a third of the events missing, some of
+    the others on another day) and again on the whole raw files."""
+    root, raw = new_scratch(spark, "bronze-rerun"), domain.raw_watch_events(spark, sf_dir)
+    first = _day_before(raw, "7 = 1").where(f"{domain.number_of('event_id')} % 3 <> 0")
+    for name, events in (("first", first), ("second", raw)):
+        _land_events(events, f"{root}/{name}", spark, sf_dir)
+        bronze_plan.run(spark, f"{root}/{name}", f"{root}/bronze", now_text())
+    return tables.read(spark, f"{root}/bronze/watch_events")
+
+
+def bronze_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze events after an increment of late and corrected events: numbers ending in 0 come
+    late, those ending in 5 were a day earlier, and no first delivery says how often it buffered."""
+    root, raw = new_scratch(spark, "bronze-merged"), domain.raw_watch_events(spark, sf_dir)
+    number = domain.number_of("event_id")
+    first = _day_before(raw, "10 = 5").withColumn("buffering_events", F.lit(None).cast("int"))
+    _land_events(first.where(f"{number} % 10 <> 0"), f"{root}/first", spark, sf_dir)
+    bronze_plan.run(spark, f"{root}/first", f"{root}/bronze", now_text())
+    _land_events(raw.where(f"{number} % 5 = 0"), f"{root}/second", spark, sf_dir)
+    bronze_plan.run(spark, f"{root}/second", f"{root}/bronze", now_text(), merge=True)
+    return tables.read(spark, f"{root}/bronze/watch_events")
+
+
 def job_outputs(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, int]]:
     """Land the raw tables, run the three ETL jobs and the quality job; returns the lake's
     folder and the rows each job says it wrote."""

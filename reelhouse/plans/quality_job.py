@@ -24,6 +24,7 @@ from .. import schemas
 from ..functions import half_up
 from ..operators import quality
 from ..session import run_concurrently
+from ..sources import tables
 from ..sources.sinks import write_parquet
 
 BRONZE_TABLES = ("users", "watch_events", "subscriptions")
@@ -74,7 +75,7 @@ def _table_job(df: DataFrame, table: str, checks: list, out: str, run_date: str,
 def run(spark: SparkSession, bronze_dir: str, dq_dir: str, run_time: str,
         gate: bool = False) -> dict:
     run_date, run_id = run_time[:10], _run_id(run_time)
-    bronze = {t: spark.read.parquet(f"{bronze_dir}/{t}") for t in BRONZE_TABLES}
+    bronze = {t: tables.read(spark, f"{bronze_dir}/{t}") for t in BRONZE_TABLES}
     checks = quality.default_checks()
     by_table: dict[str, list] = {}
     for c in checks:
@@ -103,3 +104,16 @@ def run(spark: SparkSession, bronze_dir: str, dq_dir: str, run_time: str,
         raise quality.QualityGateError(
             f"{len(failed)} of {len(rows)} checks failed: {failed}")
     return result
+
+
+def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the gate says of the bronze tables the jobs wrote: one row with its verdict and, where
+    it stops the chain, the failed checks it names."""
+    from .pipeline import job_outputs
+    root, _ = job_outputs(spark, sf_dir)
+    try:
+        run(spark, f"{root}/bronze", f"{root}/gate", "2024-06-02 00:00:00", gate=True)
+        found = (False, "")
+    except quality.QualityGateError as e:
+        found = (True, str(e))
+    return spark.createDataFrame([found], "stopped boolean, message string")
