@@ -159,6 +159,7 @@ QUERIES: dict[str, Query] = {
        ("engagement_store", "engagement_latest", "engagement_by_user", "engagement_range",
         "engagement_high_users")},
     "engagement_latest_compacted": realtime.compacted_latest,
+    "engagement_batch_status": lambda spark, sf: realtime.batch_statuses(spark, sf),
     "engagement_store_sink": lambda spark, sf: realtime.stored_once(spark, sf),
     # recommendations
     "recommendations": _recommendations,

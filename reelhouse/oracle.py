@@ -337,7 +337,7 @@ SELECT CASE WHEN number % 45 = 31
        WHEN number % 200 = 13 THEN watch_start_time + INTERVAL 730 DAY
        WHEN number % 500 = 21 THEN TIMESTAMP '2099-01-01 00:00:00' ELSE watch_start_time END AS event_ts,
   date_trunc('second', watch_start_time + INTERVAL 1 MINUTE) + to_minutes(late) AS arrived_at,
-  user_id, content_id, device, region,
+  user_id, content_id, device, region, copy,
   CASE WHEN number % 40 = 2 THEN 85e0 ELSE completion_pct END AS completion_pct,
   CASE WHEN number % 40 = 2 THEN CAST(30 + place AS INT) ELSE watched_mins END AS watched_mins,
   ((number % 4 = 0 AND user_id IS NULL) OR number % 1000 = 999) AS dropped
@@ -441,6 +441,9 @@ SELECT * FROM latest WHERE user_id = (SELECT user_id FROM top_user)
      FROM latest WHERE user_id = (SELECT user_id FROM top_user))
     AND (SELECT max(processed_at) FROM latest WHERE user_id = (SELECT user_id FROM top_user))""",
     "engagement_high_users": "SELECT DISTINCT user_id FROM latest WHERE engagement_level = 'HIGH'",
+    "engagement_batch_status": """
+SELECT copy + 1 AS version, 0 AS batch_id, 'SAVED' AS status, count(DISTINCT event_id) AS n_events, 0 AS n_rejected
+FROM ev_base GROUP BY copy""",
 }
 
 
@@ -517,7 +520,7 @@ SELECT bool_or(status = 'FAIL') AS stopped,
   CASE WHEN bool_or(status = 'FAIL') THEN CAST(count(*) FILTER (WHERE status = 'FAIL') AS VARCHAR) || ' of '
     || CAST(count(*) AS VARCHAR) || ' checks failed: ['
     || string_agg(chr(39) || check_name || chr(39), ', ' ORDER BY check_order) FILTER (WHERE status = 'FAIL') || ']'
-  ELSE '' END AS message FROM dq""",
+  ELSE '' END AS message, count(*) FILTER (WHERE status = 'FAIL') AS n_failed FROM dq""",
     "bronze_events_untidy": """
 SELECT *, 'raw/watch_events/watch_events.json' AS source_file, 'bronze' AS layer FROM b_watch
 WHERE CAST(substr(event_id, 4) AS BIGINT) % 97 <> 5""",

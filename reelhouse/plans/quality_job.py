@@ -107,13 +107,14 @@ def run(spark: SparkSession, bronze_dir: str, dq_dir: str, run_time: str,
 
 
 def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the gate says of the bronze tables the jobs wrote: one row with its verdict and, where
-    it stops the chain, the failed checks it names."""
+    """What the gate says of the bronze tables the jobs wrote: one row with its verdict, where it
+    stops the chain the failed checks it names, and how many the written report has."""
     from .pipeline import job_outputs
     root, _ = job_outputs(spark, sf_dir)
     try:
         run(spark, f"{root}/bronze", f"{root}/gate", "2024-06-02 00:00:00", gate=True)
-        found = (False, "")
+        stopped, message = False, ""
     except quality.QualityGateError as e:
-        found = (True, str(e))
-    return spark.createDataFrame([found], "stopped boolean, message string")
+        stopped, message = True, str(e)
+    return spark.read.parquet(f"{root}/gate/reports").agg(F.count_if(F.col("status") == "FAIL").alias("n_failed")).select(
+        F.lit(stopped).alias("stopped"), F.lit(message).alias("message"), "n_failed")

@@ -96,3 +96,12 @@ def stored_once(spark: SparkSession, sf_dir: str) -> DataFrame:
         run_engagement_stream(spark, f"{root}/feed_{part}", f"{root}/store", f"{root}/dead",
                               f"{root}/checkpoint_{part}", dedupe="sink")
     return spark.read.schema(store.STORE_SCHEMA).parquet(*[b.path for b in store.committed(spark, f"{root}/store")])
+
+
+def batch_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The save status of each batch of two runs: the first copies, then the copies sent again."""
+    root, msgs = new_scratch(spark, "engagement-status"), feed(spark, sf_dir)
+    for part in (0, 1):
+        land_feed(msgs.where(f"offset % 2 = {part}"), f"{root}/feed_{part}")
+        run_engagement_stream(spark, f"{root}/feed_{part}", f"{root}/store", f"{root}/dead", f"{root}/checkpoint_{part}")
+    return store.statuses(spark, f"{root}/store").select("version", "batch_id", "status", "n_events", "n_rejected")

@@ -3,13 +3,14 @@
     readStream (messages, each with its position in the source)
       -> foreachBatch: parse envelopes -> extract fields
                        repeated deliveries removed             [at-least-once input]
-                       processor records -> keyed store (batch_id=<n>, overwrite)
+                       processor records -> keyed store (a folder of this attempt)
                        parse failures   -> dead letters (batch_id=<n>, overwrite)
+                       commit           -> the store's log; the batch counts from here
 
 The per-row rules are the same transforms the batch form uses, so a replay of
-a feed through the stream gives the same store as one batch run.  Each
-micro-batch is written to its own directory with overwrite, so a batch
-replayed from the checkpoint after a failure replaces its own output.
+a feed through the stream gives the same store as one batch run.  A batch
+replayed from the checkpoint is skipped if the log has it, and otherwise replaces
+what it wrote.
 
 No event is lost for its time: nothing here has a watermark, so late, undated
 and future-dated events are stored like any other.  An event is known by its id, or
@@ -18,7 +19,7 @@ else file and row.  So equal messages without an id are events of their own, and
 the store does not depend on how messages were batched.  Repeated deliveries are
 removed by that key in the sink: within a batch by an aggregate that combines copies
 in each map task, across batches by the store (readers collapse them), or
-before the write by an anti-join with the stored keys (``dedupe="sink"``).
+before the write by an anti-join with the store's id index (``dedupe="sink"``).
 """
 
 from __future__ import annotations
@@ -69,13 +70,11 @@ def first_deliveries(batch: DataFrame) -> DataFrame:
     return dedupe_by_key(batch.withColumn("_dedupe_key", _dedupe_key()), "_dedupe_key", ["arrived_at"]).drop("_dedupe_key")
 
 
-def not_stored(spark: SparkSession, batch: DataFrame, store_dir: str, run: str, batch_id: int) -> DataFrame:
-    """The events of a batch whose ids no other committed batch holds: only the id column of the
-    store is read, and batch directories of this id are left out, so a replayed batch is whole."""
-    paths = [c.path for c in store.committed(spark, store_dir) if (c.run, c.batch_id) != (run, batch_id)]
-    if not paths:
-        return batch
-    seen = spark.read.parquet(*paths).select(F.col("request_id").alias("_seen")).where("_seen is not null")
+def not_stored(spark: SparkSession, batch: DataFrame, store_dir: str) -> DataFrame:
+    """The events of a batch the store never had.  Of the id index only the buckets the batch's own
+    ids fall in are read (``store.ID_BUCKETS`` numbers at most come to the driver)."""
+    buckets = [r.b for r in batch.where("event_id is not null").select(store.id_bucket(F.col("event_id")).alias("b")).distinct().collect()]
+    seen = store.stored_ids(spark, store_dir, sorted(buckets)).withColumnRenamed("request_id", "_seen")
     return batch.join(seen, F.col("event_id") == F.col("_seen"), "left_anti")
 
 
@@ -157,19 +156,23 @@ def run_engagement_stream(spark: SparkSession, source_dir: str, store_dir: str,
     run = store.run_id(checkpoint_dir)
 
     def sink(arrived: DataFrame, batch_id: int) -> None:
+        spark = arrived.sparkSession
+        if store.is_committed(spark, store_dir, batch_id, run):
+            return                      # replayed after its commit: all it writes is there
         batch = parsed_events(arrived)
-        # Parse failures are counted while the store batch is written; the
-        # (rare) dead-letter write then reads the cached batch only if needed.
         if dedupe != "none":
             batch = first_deliveries(batch)
-        if dedupe == "sink":
-            batch = not_stored(batch.sparkSession, batch, store_dir, run, batch_id)
         batch = batch.persist()
         try:
+            if dedupe == "sink":
+                batch = not_stored(spark, batch, store_dir)
+            # Parse failures are counted while the store batch is written; the (rare)
+            # dead-letter write then reads the cached batch only if needed.
             obs = Observation()
             observed = batch.observe(obs, F.count_if(F.col("parse_error").isNotNull()).alias("bad"))
-            store.write_batch(ev.process_events(observed), store_dir, batch_id, run)
-            if obs.get["bad"]:
+            written = store.write_batch(ev.process_events(observed), store_dir, batch_id, run, index=dedupe == "sink")
+            bad = obs.get["bad"]
+            if bad:
                 ev.processor_errors(batch).write.mode("overwrite") \
                     .parquet(f"{dead_letter_dir}/run={run}/batch_id={batch_id}")
             if routed_dir:
@@ -178,6 +181,7 @@ def run_engagement_stream(spark: SparkSession, source_dir: str, store_dir: str,
                     .parquet(f"{routed_dir}/routed/run={run}/batch_id={batch_id}")
                 rejected.write.mode("overwrite") \
                     .parquet(f"{routed_dir}/rejected/run={run}/batch_id={batch_id}")
+            store.commit_batch(spark, store_dir, batch_id, run, written, bad)
         finally:
             batch.unpersist()
 

@@ -97,21 +97,19 @@ def test_store_reads(spark):
 
 
 def test_compaction_counts_committed_batches_only(spark, tmp_dir):
-    """A batch that is complete only after the compaction is still read."""
     land_feed(realtime.feed(spark, SF001).repartition(4), f"{tmp_dir}/feed")
     args = (f"{tmp_dir}/feed", f"{tmp_dir}/store", f"{tmp_dir}/dead", f"{tmp_dir}/ckpt")
     run_engagement_stream(spark, *args, max_files_per_trigger=1)
     assert _same(store.latest(store.read_store(spark, f"{tmp_dir}/store")), _batch_latest(spark))
-    batch = next(b for b in store.committed(spark, f"{tmp_dir}/store") if b.batch_id == 1)
-    mark = batch.path.removeprefix("file:") + "/_SUCCESS"
-    os.rename(mark, mark + ".hidden")
+    # an attempt that is written but not committed is not seen
+    lost = store.write_batch(store.read_store(spark, f"{tmp_dir}/store").limit(3).withColumn("request_id", F.lit("x")),
+                             f"{tmp_dir}/store", 0, "other")
     assert store.compact(spark, f"{tmp_dir}/store", f"{tmp_dir}/snap") == 1
-    os.rename(mark + ".hidden", mark)
+    assert store.read_store(spark, f"{tmp_dir}/store").where("request_id = 'x'").count() == 0 and lost.rows == 3
     view = lambda **k: store.read_latest(spark, f"{tmp_dir}/store", f"{tmp_dir}/snap", **k)
     assert _same(view(), _batch_latest(spark))
-    # the next compaction starts from the snapshot, and batches it includes may go
-    assert store.compact(spark, f"{tmp_dir}/store", f"{tmp_dir}/snap") == 2
-    assert store.compact(spark, f"{tmp_dir}/store", f"{tmp_dir}/snap") == 2
+    # nothing new: no new snapshot; batches it includes may go
+    assert store.compact(spark, f"{tmp_dir}/store", f"{tmp_dir}/snap") == 1
     assert store.vacuum(spark, f"{tmp_dir}/store", f"{tmp_dir}/snap") == 4
     assert store.committed(spark, f"{tmp_dir}/store") == [] and _same(view(), _batch_latest(spark))
     # a new run after it; one user is read from that user's bucket
@@ -309,3 +307,55 @@ def test_kafka_rows_become_messages_with_their_position(spark):
     rows = rows.withColumn("timestamp", F.col("ts").cast("timestamp")).drop("ts")
     got = ev.process_events(parsed_events(from_kafka(rows))).first()
     assert (got["request_id"], got["user_id"], got["processed_at"]) == ("watch/3/41", "u1", "2024-01-01 00:00:05")
+
+
+def _rows_for(spark, *ids):
+    rows = [(f"u{i}", "2024-01-01 00:00:00", i) for i in ids]
+    df = spark.createDataFrame(rows, "user_id string, processed_at string, request_id string")
+    have = {f.split()[0]: f.split()[1] for f in store.STORE_SCHEMA.split(", ")}
+    return df.select(*[c if c in df.columns else F.lit(None).cast(have[c]).alias(c) for c in store.STORE_COLUMNS])
+
+
+def test_two_writers_lose_no_batch_and_the_log_is_read_from_its_checkpoint(spark, tmp_dir, monkeypatch):
+    import threading
+
+    from reelhouse.sources import versions
+    path, done = f"{tmp_dir}/store", []
+
+    def write(run):
+        for n in range(10):
+            w = store.write_batch(_rows_for(spark, f"{run}{n}"), path, n, run)
+            done.append(store.commit_batch(spark, path, n, run, w))
+            assert not store.commit_batch(spark, path, n, run, w)      # a replay is committed once
+    threads = [threading.Thread(target=write, args=(r,)) for r in ("a", "b", "c")]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert done == [True] * 30 and store.read_store(spark, path).count() == 30
+    seen = store.statuses(spark, path)
+    assert seen.count() == 30 and seen.agg(F.sum("n_events")).first()[0] == 30
+    assert [r.version for r in seen.orderBy("version").collect()] == list(range(1, 31))
+    read, text = [], versions.read_text
+    monkeypatch.setattr(versions, "read_text", lambda s, p: read.append(p) or text(s, p))
+    assert len(store.committed(spark, path)) == 30
+    assert len(read) <= store.CHECKPOINT + 1
+
+
+def test_sink_mode_reads_its_buckets_and_remembers_what_vacuum_deleted(spark, tmp_dir):
+    from reelhouse.streaming.engagement import not_stored
+    path = f"{tmp_dir}/store"
+    for n, ids in enumerate((("a", "b", "c"), ("d", "e"))):
+        w = store.write_batch(_rows_for(spark, *ids), path, n, "r", index=n == 0)
+        store.commit_batch(spark, path, n, "r", w)
+    batch = spark.createDataFrame([("a",), ("e",), ("new",), (None,)], "event_id string")
+    left = lambda: sorted(str(r.event_id) for r in not_stored(spark, batch, path).collect())
+    assert left() == ["None", "new"]
+    store.compact(spark, path, f"{tmp_dir}/snap")
+    assert left() == ["None", "new"] and store.vacuum(spark, path, f"{tmp_dir}/snap") == 2
+    assert store.committed(spark, path) == [] and left() == ["None", "new"]
+    plan = not_stored(spark, batch, path)._jdf.queryExecution().executedPlan().toString()
+    assert "id_bucket" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+    assert "request_id:string" in plan and "content_id" not in plan
+    # a replay of a batch whose data is gone is skipped too
+    assert store.is_committed(spark, path, 1, "r") and not store.is_committed(spark, path, 2, "r")
