@@ -201,8 +201,10 @@ def _nudged(d: DataFrame) -> DataFrame:
     moves = _same(d.where("size > 0"), off)
     step = F.when((F.col("off") > 0) & (F.col("copies") < CAP), 1).when((F.col("off") < 0) & (F.col("copies") > 0), -1)
     gain = F.abs(F.col("off")) - F.abs(F.col("off") - step * F.col("size"))
+    # ties by the document, not by where it stands: any partitions give the same mix
+    order = F.struct("gain", F.xxhash64("doc_id", "size").alias("by"), "doc_id", "copies", "row", "step")
     best = moves.withColumn("step", step).withColumn("gain", gain).where("gain > 0").groupBy("source").agg(
-        F.max(F.struct("gain", "row", "step")).alias("best"))
+        F.max(order).alias("best"))
     chosen = best.select(F.col("best.row").alias("of"), F.col("best.step").alias("step"))
     return d.join(chosen, F.col("row") == F.col("of"), "left").withColumn(
         "copies", F.col("copies") + F.coalesce("step", F.lit(0))).drop("of", "step")

@@ -79,3 +79,13 @@ def test_tilts_solve_the_dual(spark):
 def test_awkward_and_empty(spark):
     check(M.mix(documents(spark, awkward())), awkward())
     assert M.mix(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_partitions_do_not_change_the_mix(spark):
+    """Sixty rows whose sizes tie, in 1, 3 and 7 partitions and in another order."""
+    rows = [(k if k % 9 else None, sentence(__import__("random").Random(k % 7), 10 + k % 7), "abc"[k % 3]) for k in range(60)]
+    seen = []
+    for n in (1, 3, 7):
+        docs = documents(spark, rows[n:] + rows[:n]).repartition(n)
+        seen.append(sorted((tuple(r) for r in M.taken(docs).select("doc_id", "size", "taken").collect()), key=repr))
+    assert seen[0] == seen[1] == seen[2] and sum(r[2] for r in seen[0])
