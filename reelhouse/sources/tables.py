@@ -32,6 +32,8 @@ def _read(spark: SparkSession, path: str, state: dict, values: set[str] | None =
                if values is None or value in values]
     if not folders:
         return spark.createDataFrame([], schema)
+    if values is None and state["whole"]:
+        folders = [f"{path}/v={state['whole']}"]        # one write made it all: one folder to list
     return spark.read.schema(schema).option("basePath", path).parquet(*folders).select(*schema.fieldNames())
 
 
@@ -49,9 +51,12 @@ def _write(df: DataFrame, path: str, column: str) -> tuple[int, dict[str, str]]:
     return rows, {f.rpartition("=")[2]: tag for f in folders}
 
 
-def _commit(spark: SparkSession, path: str, version: int, schema: T.StructType, column: str, partitions: dict) -> bool:
+def _commit(spark: SparkSession, path: str, version: int, schema: T.StructType, column: str, partitions: dict,
+            whole: bool = False) -> bool:
+    """``whole``: the partitions are all that one write made."""
     return versions.commit(spark, f"{path}/_versions", version,
-                           {"schema": json.loads(schema.json()), "column": column, "partitions": partitions})
+                           {"schema": json.loads(schema.json()), "column": column, "partitions": partitions,
+                            "whole": next(iter(partitions.values()), None) if whole else None})
 
 
 def replace(df: DataFrame, path: str, column: str) -> int:
@@ -59,7 +64,7 @@ def replace(df: DataFrame, path: str, column: str) -> int:
     spark = df.sparkSession
     rows, partitions = _write(df, path, column)
     for _ in range(10):
-        if _commit(spark, path, _state(spark, path)[0] + 1, df.schema, column, partitions):
+        if _commit(spark, path, _state(spark, path)[0] + 1, df.schema, column, partitions, whole=True):
             return rows
     raise versions.CommitConflict(path)
 
@@ -74,7 +79,7 @@ def merge(new: DataFrame, path: str, column: str, key: str) -> tuple[int, list[s
         version, state = _state(spark, path)
         if not version:
             rows, partitions = _write(new, path, column)
-            if _commit(spark, path, 1, new.schema, column, partitions):
+            if _commit(spark, path, 1, new.schema, column, partitions, whole=True):
                 return rows, sorted(partitions)
             continue
         keys = new.select(F.col(key).alias("_key"))
