@@ -6,17 +6,19 @@ phrase, and the next phrase starts where it ends.  The language whose sample
 explains the text with the fewest phrases, normalised by the sample's length
 (``phrases * log2(sample) / letters``), wins.
 
-Automata are dense transition tables, and a task walks thousands of text blocks
-through them in step, so a text costs a few table reads a letter, whatever its
-length.  Texts are folded to lower-case letters with one space between runs of
+Every letter of any sample is a symbol of its own.  An automaton's transitions are
+one row of cells, in which the edges of all states are laid between each other (a
+cell knows whose edge it holds), so no table of states by letters is made.  A task walks thousands of text blocks through it in step:
+a text costs a few table reads a letter, whatever its length.  Texts are folded to lower-case letters with one space between runs of
 letters and cut into blocks of ``BLOCK`` symbols; a block starts a new phrase,
 which adds the same to every language.
 
 Only the sample is bounded (``DOCS_PER_LANGUAGE`` documents, a slice of
 ``SLICE`` letters each); every document is parsed whole.
 
-Edge cases: a null text or one without letters is ``und`` with score 0; letters
-no sample has are a phrase each; ties go to the smaller language name; without
+Edge cases: a null text or one without letters is ``und`` with score 0; a
+letter a language's sample lacks ends a phrase and counts as two, an escape and
+the letter; ties go to the smaller language name; without
 any labelled row everything is ``und``; rows with null lang teach nothing;
 repeated rows get equal results; other columns are ignored.
 """
@@ -36,7 +38,8 @@ from .common import held_out
 DOCS_PER_LANGUAGE = 200
 SLICE = 160
 BLOCK = 1024
-LANES = 16384              # blocks walked in step
+LANES = 8192               # blocks walked in step
+TRIES = 64                 # free cells tried for a state's edges before the end of the row
 TEMPERATURE = 0.05         # of the score, in bits a letter
 UNDETERMINED = "und"
 
@@ -63,8 +66,8 @@ def _is_letter() -> np.ndarray:
     return _LETTERS[0]
 
 
-def suffix_automaton(symbols: list[int], alphabet: int) -> np.ndarray:
-    """next[state, symbol] of the automaton of all substrings; -1 where no substring goes on."""
+def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
+    """Of each state of the automaton of all substrings, the state each symbol leads to."""
     nxt: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for c in symbols:
@@ -90,11 +93,42 @@ def suffix_automaton(symbols: list[int], alphabet: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = twin
         last = cur
-    table = np.full((len(nxt), alphabet), -1, dtype=np.int32)
-    for state, edges in enumerate(nxt):
-        for c, to in edges.items():
-            table[state, c] = to
-    return table
+    return nxt
+
+
+def lay_out(edges: list[dict[int, int]], alphabet: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place of each state, owner, target): the edge of a state at place ``p`` by symbol ``c`` is in
+    cell ``p + c``, which ``owner`` says is the state's by the same ``p``.  Places differ."""
+    # cells start at ``alphabet``, so no place is negative
+    room = 2 * alphabet + 2 * sum(map(len, edges))
+    used, place, taken = bytearray(room), [0] * len(edges), set()
+    free, top = alphabet, alphabet           # the first free cell, and the end of the row
+    for state in sorted(range(len(edges)), key=lambda s: (-len(edges[s]), s)):
+        out = sorted(edges[state])
+        cell = free = used.find(0, free)
+        for left in range(TRIES, -1, -1):
+            cell = cell if left else top
+            at = cell - out[0] if out else cell
+            if at not in taken and not any(used[at + c] for c in out):
+                break
+            cell = used.find(0, cell + 1)
+        while at in taken:                   # only past the end, or without edges: a place of its own
+            at += 1
+        taken.add(at)
+        place[state] = at
+        for c in out:
+            used[at + c] = 1
+        top = max(top, at + out[-1] + 1 if out else 0)
+        if top + 2 * alphabet > len(used):
+            used.extend(bytes(top + 2 * alphabet - len(used) + room // 4))
+    places = np.array(place, dtype=np.int32)
+    size = max(place) + alphabet
+    owner, target = np.full(size, -1, dtype=np.int32), np.zeros(size, dtype=np.int32)
+    for state, row in enumerate(edges):
+        for c, to in row.items():
+            owner[place[state] + c] = place[state]
+            target[place[state] + c] = place[to]
+    return places, owner, target
 
 
 class Model:
@@ -103,46 +137,46 @@ class Model:
     def __init__(self, samples: dict[str, list[np.ndarray]]):
         self.languages = sorted(samples)
         every = np.concatenate([x for s in samples.values() for x in s]) if samples else np.zeros(0, np.uint32)
-        points, n = np.unique(every, return_counts=True)
-        points = np.sort(points[np.argsort(-n, kind="stable")][:254])
-        self.symbol = np.zeros(0x110000, dtype=np.uint8)
+        points = np.unique(every)
+        self.symbol = np.zeros(0x110000, dtype=np.int32)
         self.symbol[points] = np.arange(1, len(points) + 1)
         alphabet, limit = len(points) + 2, len(points) + 1          # the last symbol parts the slices
-        self.tables, self.begins, self.bits = [], [], []
+        self.rows, self.bits = [], []
         for lang in self.languages:
             text = np.concatenate([np.append(self.symbol[x], limit) for x in samples[lang]])
-            table = suffix_automaton(text.tolist(), alphabet)
-            # one step reads one cell: the state reached, or, past the end of a phrase, the state
-            # after the symbol from the start, with the new phrase counted in the low bit.  The
-            # last state is between phrases: at a block's begin, and after a letter not in the sample
-            between = len(table)
-            table = np.vstack((table, np.full(alphabet, -1, np.int32)))
-            start = np.where(table[0] >= 0, table[0], between)
-            start[0] = between
-            moved = np.where(table >= 0, table * (2 * alphabet), start[None, :] * (2 * alphabet) + 1).astype(np.int32)
-            self.tables.append(moved.ravel())
-            self.begins.append(between * alphabet)
+            edges = suffix_automaton(text.tolist())
+            # the last state is between phrases: at a block's begin, and after a letter not in the sample
+            between = len(edges)
+            edges.append({})
+            place, owner, target = lay_out(edges, alphabet)
+            start = np.full(alphabet, place[between], dtype=np.int32)   # past the end of a phrase, the next one's state
+            for c, to in edges[0].items():
+                start[c] = place[to]
+            self.rows.append((owner, target, start, int(place[between])))
             self.bits.append(float(np.log2(max(len(text), 2))))
 
     def phrases(self, blocks: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """phrases[language, block]; ``blocks`` is (symbol place, block), longest block first."""
         out = np.zeros((len(self.languages), len(lengths)), dtype=np.int64)
         alive = np.searchsorted(-lengths, -np.arange(1, len(blocks) + 1), side="right")
-        for k, table in enumerate(self.tables):
-            state = np.full(len(lengths), self.begins[k], dtype=np.int32)    # state * alphabet
+        for k, (owner, target, start, between) in enumerate(self.rows):
+            state = np.full(len(lengths), between, dtype=np.int32)
             count = np.zeros(len(lengths), dtype=np.int32)
             for t, n in enumerate(alive.tolist()):
                 if not n:
                     break
-                cell = table[state[:n] + blocks[t, :n]]
-                count[:n] += cell & 1
-                state[:n] = cell >> 1
+                symbol = blocks[t, :n]
+                cell = state[:n] + symbol
+                ends = owner[cell] != state[:n]
+                state[:n] = np.where(ends, start[symbol], target[cell])
+                count[:n] += ends
+                count[:n] += state[:n] == between          # a letter not in the sample
             out[k] = count
         return out
 
     def entropies(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(bits a letter [language, text], letters): cross-parsing entropy of each text."""
-        folded = [self.symbol[fold(t)] if t else np.zeros(0, np.uint8) for t in texts]
+        folded = [self.symbol[fold(t)] if t else np.zeros(0, np.int32) for t in texts]
         size = np.array([len(x) for x in folded], dtype=np.int64)
         n_blocks = -(-size // BLOCK)
         owner = np.repeat(np.arange(len(texts)), n_blocks)
@@ -152,7 +186,7 @@ class Model:
         total = np.zeros((len(self.languages), len(texts)), dtype=np.int64)
         for b in range(0, len(order), LANES):
             lane = order[b:b + LANES]
-            matrix = np.zeros((len(lane), BLOCK), dtype=np.uint8)
+            matrix = np.zeros((len(lane), BLOCK), dtype=np.int32)
             for row, (o, a) in enumerate(zip(owner[lane].tolist(), at[lane].tolist())):
                 piece = folded[o][a * BLOCK:(a + 1) * BLOCK]
                 matrix[row, :len(piece)] = piece

@@ -25,7 +25,7 @@ def corpus(spark, n=240):
 
 
 def brute_phrases(symbols, sample, block):
-    """Greedy longest matches by substring search."""
+    """Greedy longest matches by substring search; a letter the sample lacks counts twice."""
     count = 0
     for b in range(0, len(symbols), block):
         piece, i = symbols[b:b + block], 0
@@ -33,8 +33,8 @@ def brute_phrases(symbols, sample, block):
             j = i + 1
             while j <= len(piece) and piece[i:j] in sample:
                 j += 1
+            count += 1 if j > i + 1 else 2
             i = max(j - 1, i + 1)
-            count += 1
     return count
 
 
@@ -54,6 +54,40 @@ def test_phrases_equal_substring_search():
             assert n == len(symbols) and abs(h - want) < 1e-9
 
 
+def test_laid_out_edges_are_the_automaton():
+    rng = random.Random(4)
+    edges = L.suffix_automaton([rng.randrange(1, 900) for _ in range(3000)] + [rng.randrange(1, 4) for _ in range(500)])
+    place, owner, target = L.lay_out(edges, 901)
+    assert len(set(place.tolist())) == len(edges)
+    for state, row in enumerate(edges):
+        cells = place[state] + np.arange(901)
+        own = np.flatnonzero(owner[cells] == place[state])
+        assert own.tolist() == sorted(row) and all(target[place[state] + c] == place[to] for c, to in row.items())
+
+
+def test_large_scripts_without_a_letter_in_common(spark):
+    rng = random.Random(5)
+    scripts = {"han": [chr(0x4E00 + i) for i in range(1500)], "hangul": [chr(0xAC00 + i) for i in range(1500)]}
+    lean = [1 / (i + 3) for i in range(1500)]
+    rows = [(k, "".join(rng.choices(scripts[lang], lean, k=160)), lang, "s", 0)
+            for k in range(400) for lang in [("han", "hangul")[k % 2]]]
+    rare = [(1000 + k, "".join(rng.choices(scripts[lang][300:900], k=60)), None, "s", 0)
+            for k in range(200) for lang in [("han", "hangul")[k % 2]]]
+    docs = spark.createDataFrame(rows + rare, DOCS)
+    model = L.Model(L.sample(docs))
+    assert (model.symbol > 0).sum() > 2000
+    got = {r.doc_id: r.lang_pred for r in L.predict(docs, model).collect()}
+    assert sum(got[1000 + k] == ("han", "hangul")[k % 2] for k in range(200)) >= 196
+
+
+def test_clashing_columns_and_ties(spark):
+    docs, rows = corpus(spark, 60)
+    extra = docs.select("*", *[F.lit("zz").alias(c) for c in ("held_out", "lang_pred", "score", "letters", "o", "t", "count")])
+    assert sorted(map(str, L.identify(extra).collect())) == sorted(map(str, L.identify(docs).collect()))
+    same = spark.createDataFrame([(k, "abc abd", lang, "s", 0) for k in range(40) for lang in ("bb", "aa")], DOCS)
+    assert {r.lang_pred for r in L.identify(same).collect()} == {"aa"}
+
+
 def test_held_out_accuracy_and_edges(spark):
     docs, rows = corpus(spark)
     got = {r.doc_id: r for r in L.identify(docs).collect()}
