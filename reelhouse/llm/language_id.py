@@ -8,10 +8,11 @@ explains the text with the fewest phrases, normalised by the sample's length
 
 Every letter of any sample is a symbol of its own.  An automaton's transitions are
 one row of cells, in which the edges of all states are laid between each other (a
-cell knows whose edge it holds), so no table of states by letters is made.  A task walks thousands of text blocks through it in step:
-a text costs a few table reads a letter, whatever its length.  Texts are folded to lower-case letters with one space between runs of
-letters and cut into blocks of ``BLOCK`` symbols; a block starts a new phrase,
-which adds the same to every language.
+cell knows whose edge it holds), so no table of states by letters is made.  A task
+walks thousands of text blocks through it in step: a text costs a few table reads a
+letter, whatever its length.  Texts are folded to lower-case letters with one space
+between runs of letters and cut into blocks of ``BLOCK`` symbols; a block starts a
+new phrase, which adds the same to every language.
 
 Only the sample is bounded (``DOCS_PER_LANGUAGE`` documents, a slice of
 ``SLICE`` letters each); every document is parsed whole.
