@@ -6,11 +6,15 @@ is partitioned by document: each row holds one block's posting lists, so a
 search needs no shuffle.  ``search`` takes the test windows to every block:
 lists are intersected from the window's rarest term in that block, each list
 shifted by the term's offset, until no start is left.  Starts that survive all
-terms are exact phrase matches; with ``slop`` the rarest terms may also lie
-apart, in order, which gives proximity matches.
+terms are exact phrase matches.  With ``slop``, proximity matches too: all terms of
+the window in order in one document, with 1 to ``slop`` words more between the first
+and the last than in the window; from each place of its first term the match that
+ends first counts.
 
 The test set is the stated query set: it goes to all rows in blocks of at most
-``QUERY_BYTES`` of text, so what each task receives is bounded.
+``QUERY_BYTES`` of text, so what each task receives is bounded.  With more than one
+block the documents are stored once with a number for each row, which brings the
+findings of all blocks together.
 
 Edge cases: null texts have no words; an item without words has no window; a
 shorter item is one window; repeated windows count for each of their items;
@@ -26,7 +30,6 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,8 +44,8 @@ BLOCK_BYTES = 4 << 20
 TO_WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32
                  for c in range(256))
 
-INDEX = "block string, ids array<long>, counts array<int>, terms binary, ends binary, positions binary"
-HITS = "row string, doc_id long, n_words long, hits array<int>, items array<string>"
+INDEX = "rows array<long>, ids array<long>, counts array<int>, terms binary, ends binary, positions binary"
+HITS = "row long, doc_id long, n_words long, hits array<int>, items array<string>"
 MATCHES = "doc_id long, item_id long, kind string, first_word long, last_word long"
 DIGEST = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
 
@@ -145,53 +148,61 @@ class Block:
             else:
                 yield k, starts
 
-    def near(self, q: Queries, slop: int, terms: int = 3) -> Iterator[tuple[int, int, int]]:
-        """(window, first, last position) where its rarest ``terms`` lie in order,
-        with at most ``slop`` words more between them than in the window."""
+    def near(self, q: Queries, slop: int) -> Iterator[tuple[int, int, int]]:
+        """(window, first, last position) where its terms lie in order, with 1 to ``slop`` words
+        more between the first and the last than in the window."""
         if not len(q.windows):
             return
         often = self.frequencies(len(q.vocabulary))[q.table]
         order = np.argsort(often, axis=1, kind="stable")
         for k in np.flatnonzero(often.min(axis=1) > 0).tolist():
             window = q.windows[k]
-            offsets = sorted([o for o in order[k].tolist() if o < len(window)][:terms])
-            begin = end = self.postings(window[offsets[0]])
-            for o in offsets[1:]:
-                found = self.postings(window[o])
+            width = len(window) - 1
+            begin = self.postings(window[0])
+            for o in order[k].tolist():                            # rarest first: every term within reach
+                if 0 < o <= width and len(begin):
+                    found = np.append(self.postings(window[o]), np.iinfo(np.int64).max)
+                    begin = begin[found[np.searchsorted(found, begin + o)] <= begin + o + slop]
+            end = begin
+            for term in window[1:]:                                # then in order, each as early as it can be
+                found = self.postings(term)
                 at = np.searchsorted(found, end, side="right")
                 ok = at < len(found)
                 begin, end = begin[ok], found[at[ok]]
-            width = offsets[-1] - offsets[0]
-            same = np.searchsorted(self.first, begin, side="right") == np.searchsorted(self.first, end, side="right")
-            for b, e in zip(begin.tolist(), end.tolist()) if same.all() else zip(begin[same].tolist(), end[same].tolist()):
-                if width < e - b <= width + slop:
-                    yield k, b, e
+            ok = (end - begin > width) & (end - begin <= width + slop)
+            begin, end = begin[ok], end[ok]
+            ok = np.searchsorted(self.first, begin, side="right") == np.searchsorted(self.first, end, side="right")
+            for b, e in zip(begin[ok].tolist(), end[ok].tolist()):
+                yield k, b, e
 
 
 def build_index(docs: DataFrame, queries: Queries, *, id_col: str = "doc_id",
-                text_col: str = "text") -> tuple[DataFrame, str]:
-    """The stored index of ``docs`` for the vocabulary of ``queries``, and its folder."""
+                text_col: str = "text", row_col: str | None = None) -> tuple[DataFrame, str]:
+    """The stored index of ``docs`` for the vocabulary of ``queries``, and its folder.  ``row_col``
+    numbers the rows, where the findings of several indexes are to be brought together."""
     vocabulary, gap = queries.vocabulary, queries.window
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    row = F.col(row_col) if row_col else F.lit(None).cast("long")
+    rows = docs.select(F.struct(F.col(id_col).cast("long").alias("id"), row.alias("row")).alias("key"),
+                       F.col(text_col).alias("text"))
 
     def index(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        for number, (ids, texts) in enumerate(text_blocks(batches, "id", "text", BLOCK_BYTES)):
+        for keys, texts in text_blocks(batches, "key", "text", BLOCK_BYTES):
             counts, terms, ends, positions = _index_block(texts, vocabulary, gap)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([f"{part}-{number}"]), pa.array([ids], pa.list_(pa.int64())), pa.array([counts.tolist()], pa.list_(pa.int32())),
+                [pa.array([[k["row"] for k in keys]], pa.list_(pa.int64())), pa.array([[k["id"] for k in keys]], pa.list_(pa.int64())),
+                 pa.array([counts.tolist()], pa.list_(pa.int32())),
                  pa.array([terms.tobytes()], pa.binary()), pa.array([ends.tobytes()], pa.binary()),
                  pa.array([positions.tobytes()], pa.binary())],
-                names=["block", "ids", "counts", "terms", "ends", "positions"])
+                names=["rows", "ids", "counts", "terms", "ends", "positions"])
 
     return stored(rows.mapInArrow(index, INDEX), "positional-index")
 
 
-def _blocks(batches: Iterable[pa.RecordBatch], gap: int) -> Iterator[tuple[str, list, Block]]:
+def _blocks(batches: Iterable[pa.RecordBatch], gap: int) -> Iterator[tuple[list, list, Block]]:
     for batch in batches:
         for row in range(batch.num_rows):
-            block, ids, counts, terms, ends, positions = (batch.column(k)[row].as_py() for k in range(6))
-            yield block, ids, Block(np.array(counts, dtype=np.int64), np.frombuffer(terms, dtype=np.int32),
+            rows, ids, counts, terms, ends, positions = (batch.column(k)[row].as_py() for k in range(6))
+            yield rows, ids, Block(np.array(counts, dtype=np.int64), np.frombuffer(terms, dtype=np.int32),
                              np.frombuffer(ends, dtype=np.int64), np.frombuffer(positions, dtype=np.int32), gap)
 
 
@@ -239,10 +250,10 @@ def _hits(index: DataFrame, queries: Queries) -> DataFrame:
     """One row per document: its hit word numbers and item ids."""
 
     def run(batches):
-        for name, ids, block in _blocks(batches, queries.window):
+        for rows, ids, block in _blocks(batches, queries.window):
             items, hits = _hits_of(block, queries)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([f"{name}-{d}" for d in range(len(ids))], pa.string()), pa.array(ids, pa.int64()),
+                [pa.array(rows, pa.int64()), pa.array(ids, pa.int64()),
                  pa.array(block.counts, pa.int64()),
                  pa.array([hits[d].tolist() if d in hits else [] for d in range(len(ids))], pa.list_(pa.int32())),
                  pa.array([sorted(items[d]) if d in items else [] for d in range(len(ids))], pa.list_(pa.string()))],
@@ -253,10 +264,16 @@ def _hits(index: DataFrame, queries: Queries) -> DataFrame:
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every document."""
-    parts = []
-    for queries in query_blocks(items, window, "item_id", "text"):
-        index, _ = build_index(docs, queries)
+    blocks, parts, row = query_blocks(items, window, "item_id", "text"), [], None
+    queries, more = next(blocks), next(blocks, None)
+    if more is not None:
+        docs, _ = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
+                                     F.monotonically_increasing_id().alias("row")), "numbered-documents")
+        row = "row"
+    while queries is not None:
+        index, _ = build_index(docs, queries, row_col=row)
         parts.append(_hits(index, queries))
+        queries, more = more, next(blocks, None)
     found = parts[0]
     for part in parts[1:]:
         found = found.unionByName(part)
