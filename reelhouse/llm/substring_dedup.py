@@ -9,7 +9,9 @@ windows; it sorts them and finds the first start of each.  Only the runs of
 copies costs its representatives alone); all other windows are repeats.
 
 Steps
-  1. count minimisers; those with many super-k-mers are hot (a bounded list);
+  1. count minimisers; those with many super-k-mers are hot (a bounded list).  A task
+     leaves out counts under ``1 / (4 HOT_SHARE)`` of its own, so a count misses less
+     than that share of all and no hot one is overlooked;
   2. pack: a block of documents sends one compressed string list to each bucket,
      identical super-k-mers of the block once, with their earliest start.
      Windows of a hot minimiser travel singly, each to the bucket of its own
@@ -19,8 +21,8 @@ Steps
   4. runs join their documents, which drop the words no first window explains.
 
 Edge cases: a null or blank text has no words; fewer words than a window means
-no window; a null doc_id counts as the largest; rows that repeat a doc_id are
-one document position by position, so exact repeats get equal results; an empty
+no window; rows with a null doc_id are documents of their own, after all others, in
+the order they are read; rows that repeat a doc_id are one document position by position, so exact repeats get equal results; an empty
 table gives an empty result; other columns are ignored (``deduplicate_text``
 keeps them).
 """
@@ -38,14 +40,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LAST_ID, Words, mix, sliding_min, text_blocks, window_hash
+from .common import Words, mix, sliding_min, stored, text_blocks, window_hash
 
 WINDOW = 20
 MINIMISER = 3
 BUCKET_BYTES = 16 << 20       # packed text per bucket, before compression
 HOT_SHARE = 1 << 17           # a hot minimiser has at least 1/HOT_SHARE of all super-k-mers
 HOT_LEAST = 256
-LOCALLY_HOT = 8               # within one block
+SEGMENT = 1 << 21             # super-k-mers a task counts together
+NULL_IDS = 1 << 62            # rows without doc_id are numbered from here
 RUN_BITS = 16
 
 COUNTS = "minimiser long, n long, size long"
@@ -72,15 +75,26 @@ def _super_kmers(words: Words, window: int, m: int) -> tuple[np.ndarray, np.ndar
 
 
 def _count(batches: Iterable[pa.RecordBatch], window: int, m: int) -> Iterator[pa.RecordBatch]:
+    def counts(keys: list[np.ndarray], total: int, size: int) -> pa.RecordBatch:
+        key, n = np.unique(np.concatenate(keys), return_counts=True)
+        many = n > total // (4 * HOT_SHARE)
+        key, n = key[many], n[many]
+        return pa.RecordBatch.from_arrays([
+            pa.array([None] + key.view(np.int64).tolist(), pa.int64()),
+            pa.array([total] + n.tolist(), pa.int64()),
+            pa.array([size] + [0] * len(n), pa.int64())], names=["minimiser", "n", "size"])
+
+    keys, total, size = [], 0, 0
     for _, texts in text_blocks(batches, "id", "text"):
         words = Words(texts)
         *_, key = _super_kmers(words, window, m)
-        hot, n = np.unique(key, return_counts=True)
-        hot, n = hot[n >= LOCALLY_HOT], n[n >= LOCALLY_HOT]
-        yield pa.RecordBatch.from_arrays([
-            pa.array([None] + hot.view(np.int64).tolist(), pa.int64()),
-            pa.array([len(key)] + n.tolist(), pa.int64()),
-            pa.array([len(words.data)] + [0] * len(n), pa.int64())], names=["minimiser", "n", "size"])
+        keys.append(key)
+        total, size = total + len(key), size + len(words.data)
+        if total >= SEGMENT:
+            yield counts(keys, total, size)
+            keys, total, size = [], 0, 0
+    if keys:
+        yield counts(keys, total, size)
 
 
 def _pack(batches: Iterable[pa.RecordBatch], window: int, m: int, buckets: int,
@@ -200,9 +214,12 @@ def first_runs(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIMISER
     spark = docs.sparkSession
     counted = (docs.mapInArrow(lambda it: _count(it, window, minimiser), COUNTS)
                .groupBy("minimiser").agg(F.sum("n").alias("n"), F.sum("size").alias("size")))
-    counted = counted.persist()
+    # what the tasks left out of a count is less than total // (4 * HOT_SHARE)
+    missed = 4 * HOT_SHARE
+    counted = counted.where(F.col("minimiser").isNull() | (F.col("n") >= HOT_LEAST - HOT_LEAST // 4)).persist()
     total = counted.where("minimiser is null").first()
-    least = max(HOT_LEAST, (total["n"] if total else 0) // HOT_SHARE)
+    n = (total["n"] if total else 0) or 0
+    least = max(HOT_LEAST, n // HOT_SHARE) - n // missed
     hot = counted.where(F.col("minimiser").isNotNull() & (F.col("n") >= least)).select("minimiser").collect()
     counted.unpersist()
     hot = np.sort(np.array([r[0] for r in hot], dtype=np.int64).view(np.uint64))
@@ -215,9 +232,11 @@ def first_runs(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIMISER
 
 def _with_runs(docs: DataFrame, id_col: str, text_col: str, window: int, minimiser: int) -> DataFrame:
     """(row, id, text, runs) with ``row`` the untouched input row."""
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("id"),
-                       F.col(text_col).alias("text"))
+    whole, key = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").cast("long")
+    text = F.col(f"`{text_col}`").alias("text")
+    nameless = docs.where(key.isNull()).select(whole, (F.monotonically_increasing_id() + NULL_IDS).alias("id"), text)
+    rows = docs.where(key.isNotNull()).select(whole, key.alias("id"), text)
+    rows = rows.unionByName(stored(nameless, "rows-without-id")[0])
     runs = (first_runs(rows.select("id", "text"), window, minimiser)
             .groupBy("id").agg(F.collect_list("run").alias("runs")).withColumnRenamed("id", "of"))
     return rows.join(runs, rows["id"] == runs["of"], "left").drop("of")

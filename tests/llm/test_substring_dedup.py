@@ -8,8 +8,9 @@ from tests.llm.helpers import DOCS, awkward, documents, same
 
 
 def brute(rows, window):
-    """doc -> (n_words, kept) by the definition; a null id is the largest."""
-    words = [(float("inf") if i is None else i, re.findall(r"[^\x20\x09-\x0D]+", t or "")) for i, t, _ in rows]
+    """doc -> (n_words, kept) by the definition; rows with a null id are documents of their own, after all others."""
+    words = [((float("inf"), k) if i is None else (i, 0), re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+             for k, (i, t, _) in enumerate(rows)]
     first = {}
     for i, w in words:
         for s in range(len(w) - window + 1):
@@ -22,7 +23,7 @@ def brute(rows, window):
             if first[tuple(w[s:s + window])] < (i, s):
                 gone |= set(range(s, s + window))
         kept = " ".join(x for k, x in enumerate(w) if k not in gone)
-        out.append((None if i == float("inf") else i, len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
+        out.append((None if i[0] == float("inf") else i[0], len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
     return sorted(out, key=repr)
 
 
@@ -42,12 +43,39 @@ def test_equals_brute_force(spark, window, minimiser):
 def test_hot_passage_travels_by_window(spark, monkeypatch):
     """A minimiser with most super-k-mers is cut into single windows; the result is the same."""
     monkeypatch.setattr(S, "HOT_LEAST", 5)
-    monkeypatch.setattr(S, "LOCALLY_HOT", 2)
     rows = [(k, f"a{k} b{k} " + "the shared passage of many documents is here again " * 4 + f"c{k}", "s") for k in range(40)]
     got = S.dedup_digest(documents(spark, rows), 8, 2).collect()
     assert sorted(map(tuple, got), key=repr) == brute(rows, 8)
 
 
+def test_null_ids_are_documents_of_their_own(spark):
+    base, other = (" ".join(f"{c}{k}" for k in range(30)) for c in "ab")
+    rows = [(1, base, "s"), (None, other, "s"), (None, base, "s")]
+    got = S.dedup_digest(documents(spark, rows)).collect()
+    assert sorted(r.n_removed for r in got) == [0, 0, 30]
+    rows += [(None, [base, other, base + " " + other, f"x{k} " + other][k % 4], None) for k in range(60)] + awkward(3)
+    got = S.dedup_digest(documents(spark, rows, extra=True)).collect()
+    assert sorted(map(tuple, got), key=repr) == brute(rows, 20)
+    kept = S.deduplicate_text(documents(spark, rows)).where("doc_id is null").select("text").collect()
+    assert sum(len((r[0] or "").split()) for r in kept) == sum(r.n_words - r.n_removed for r in got if r.doc_id is None)
+
+
+def test_minimiser_of_few_in_every_block_is_hot(spark, monkeypatch):
+    """Nothing a block holds less of than others is left out of the counts."""
+    import numpy as np
+    import pyarrow as pa
+    monkeypatch.setattr(S, "SEGMENT", 100)
+    passage = " ".join(f"p{k}" for k in range(20))
+    batches = [pa.record_batch({"id": [k], "text": [" ".join(f"w{k}_{i}" for i in range(400)) + " " + passage]})
+               for k in range(50)]
+    monkeypatch.setattr(S, "text_blocks", lambda it, *_: ((b.column("id").to_pylist(), [b.column("text")[0].as_py().encode()])
+                                                         for b in it))
+    parts = list(S._count(iter(batches), 20, 3))
+    assert len(parts) > 10
+    key, n = (np.array([x for p in parts for x in p.column(c).to_pylist()[1:]]) for c in ("minimiser", "n"))
+    assert max(n[key == k].sum() for k in np.unique(key)) >= 50
+
+
 def test_repeated_rows_and_empty_table(spark):
     rows = [(1, "x y z " * 10, "s"), (1, "x y z " * 10, "s")]
     got = S.dedup_digest(documents(spark, rows)).collect()
