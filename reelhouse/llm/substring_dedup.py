@@ -11,7 +11,9 @@ copies costs its representatives alone); all other windows are repeats.
 Steps
   1. count minimisers; those with many super-k-mers are hot (a bounded list).  A task
      leaves out counts under ``1 / (4 HOT_SHARE)`` of its own, so a count misses less
-     than that share of all and no hot one is overlooked;
+     than that share of all and no hot one is overlooked.  Minimisers are counted by 32
+     bits of their hash: one that shares them with a hot one is hot as well, which only
+     changes how its windows travel;
   2. pack: a block of documents sends one compressed string list to each bucket,
      identical super-k-mers of the block once, with their earliest start.
      Windows of a hot minimiser travel singly, each to the bucket of its own
@@ -51,7 +53,9 @@ SEGMENT = 1 << 21             # super-k-mers a task counts together
 NULL_IDS = 1 << 62            # rows without doc_id are numbered from here
 RUN_BITS = 16
 
-COUNTS = "minimiser long, n long, size long"
+COUNTS = "cell long, n long"
+CELL = np.uint64(0xFFFFFFFF)
+TOTAL, SIZE = -1, -2          # cells of the number of super-k-mers and of the bytes of words
 PACKED = "bucket long, packed binary, places binary"
 RUNS = "id long, run long"
 DIGEST = "doc_id long, n_words long, n_removed long, kept_sha256 string"
@@ -76,19 +80,17 @@ def _super_kmers(words: Words, window: int, m: int) -> tuple[np.ndarray, np.ndar
 
 def _count(batches: Iterable[pa.RecordBatch], window: int, m: int) -> Iterator[pa.RecordBatch]:
     def counts(keys: list[np.ndarray], total: int, size: int) -> pa.RecordBatch:
-        key, n = np.unique(np.concatenate(keys), return_counts=True)
+        cell, n = np.unique(np.concatenate(keys), return_counts=True)
         many = n > total // (4 * HOT_SHARE)
-        key, n = key[many], n[many]
         return pa.RecordBatch.from_arrays([
-            pa.array([None] + key.view(np.int64).tolist(), pa.int64()),
-            pa.array([total] + n.tolist(), pa.int64()),
-            pa.array([size] + [0] * len(n), pa.int64())], names=["minimiser", "n", "size"])
+            pa.array(np.append(cell[many].astype(np.int64), [TOTAL, SIZE]), pa.int64()),
+            pa.array(np.append(n[many], [total, size]), pa.int64())], names=["cell", "n"])
 
     keys, total, size = [], 0, 0
     for _, texts in text_blocks(batches, "id", "text"):
         words = Words(texts)
         *_, key = _super_kmers(words, window, m)
-        keys.append(key)
+        keys.append((key & CELL).astype(np.uint32))
         total, size = total + len(key), size + len(words.data)
         if total >= SEGMENT:
             yield counts(keys, total, size)
@@ -102,7 +104,7 @@ def _pack(batches: Iterable[pa.RecordBatch], window: int, m: int, buckets: int,
     for ids, texts in text_blocks(batches, "id", "text"):
         words = Words(texts)
         doc, at, n, key = _super_kmers(words, window, m)
-        single = np.isin(key, hot) if len(hot) else np.zeros(len(key), dtype=bool)
+        single = np.isin(key & CELL, hot) if len(hot) else np.zeros(len(key), dtype=bool)
         if single.any():            # one window each, spread by its own content
             reps = n[single]
             step = np.arange(reps.sum()) - np.repeat(np.cumsum(reps) - reps, reps)
@@ -212,20 +214,18 @@ def kept_words(words: list[bytes], runs: list[int] | None, window: int) -> list[
 def first_runs(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIMISER) -> DataFrame:
     """(id, run): the runs of windows no earlier start repeats; ``docs`` has id and text."""
     spark = docs.sparkSession
-    counted = (docs.mapInArrow(lambda it: _count(it, window, minimiser), COUNTS)
-               .groupBy("minimiser").agg(F.sum("n").alias("n"), F.sum("size").alias("size")))
+    counted = docs.mapInArrow(lambda it: _count(it, window, minimiser), COUNTS).groupBy("cell").agg(F.sum("n").alias("n"))
+    counted = counted.where((F.col("cell") < 0) | (F.col("n") >= HOT_LEAST - HOT_LEAST // 4)).persist()
+    whole = {r["cell"]: r["n"] for r in counted.where("cell < 0").collect()}       # two rows
+    total, size = whole.get(TOTAL, 0), whole.get(SIZE, 0)
     # what the tasks left out of a count is less than total // (4 * HOT_SHARE)
-    missed = 4 * HOT_SHARE
-    counted = counted.where(F.col("minimiser").isNull() | (F.col("n") >= HOT_LEAST - HOT_LEAST // 4)).persist()
-    total = counted.where("minimiser is null").first()
-    n = (total["n"] if total else 0) or 0
-    least = max(HOT_LEAST, n // HOT_SHARE) - n // missed
-    hot = counted.where(F.col("minimiser").isNotNull() & (F.col("n") >= least)).select("minimiser").collect()
+    least = max(HOT_LEAST, total // HOT_SHARE) - total // (4 * HOT_SHARE)
+    hot = counted.where((F.col("cell") >= 0) & (F.col("n") >= least)).select("cell").collect()
     counted.unpersist()
-    hot = np.sort(np.array([r[0] for r in hot], dtype=np.int64).view(np.uint64))
+    hot = np.sort(np.array([r[0] for r in hot], dtype=np.uint64))
     # a super-k-mer repeats window - 1 words for (window - minimiser + 2) / 2 windows on average
     grown = 1 + 2 * (window - 1) / (window - minimiser + 2)
-    buckets = max(1, int((total["size"] if total else 0) * grown / BUCKET_BYTES))
+    buckets = max(1, int(size * grown / BUCKET_BYTES))
     packed = docs.mapInArrow(lambda it: _pack(it, window, minimiser, buckets, hot), PACKED)
     return packed.groupBy("bucket").applyInArrow(lambda t: _resolve(t, window), RUNS)
 
