@@ -19,7 +19,7 @@ from .plans import realtime, sql_pack
 from .plans import reports as report_plan
 from .functions.sql import register_sql_functions
 from .plans.pipeline import (bronze_from_files, bronze_merged, bronze_rerun, events_from_arrays, events_from_untidy_lines,
-                             job_outputs, medallion, without_run_time)
+                             gold_from_state, job_outputs, medallion, without_run_time)
 from .plans.quality_job import quality_gate, quality_outputs
 from .sources import tables
 
@@ -143,6 +143,9 @@ QUERIES: dict[str, Query] = {
     "revenue_summary": _layer("gold", "revenue_summary"),
     "top_content": _layer("gold", "top_content"),
     "device_analytics": _layer("gold", "device_analytics"),
+    # gold from per-day state, after a second delivery of events
+    **{f"state_{name}": (lambda spark, sf, n=name: without_run_time(gold_from_state(spark, sf, n)))
+       for name in ("dau_metrics", "top_content", "device_analytics")},
     # report pack: DataFrame form, SQL-text form, distinct monthly users
     **{name: _report(name) for name in report_plan.REPORTS},
     **{f"sql_{name}": _sql_report(name) for name in sql_pack.SQL},

@@ -3,6 +3,7 @@
     python -m reelhouse.jobs raw-to-bronze   --raw DIR --out DIR [--json-array] [--merge]
     python -m reelhouse.jobs bronze-to-silver --out DIR
     python -m reelhouse.jobs silver-to-gold  --out DIR
+    python -m reelhouse.jobs refresh-gold    --out DIR
     python -m reelhouse.jobs data-quality    --out DIR [--gate]
     python -m reelhouse.jobs reports         --out DIR [--name q01_dau_last30]
     python -m reelhouse.jobs stream          --source DIR --out DIR [--continuous]
@@ -10,7 +11,7 @@
     python -m reelhouse.jobs compact         --out DIR
     python -m reelhouse.jobs recommend       --out DIR [--limit 5]
 
-``--out`` is the lake root holding ``bronze/ silver/ gold/ dq/ engagement/``.
+``--out`` is the lake root holding ``bronze/ silver/ state/ gold/ dq/ engagement/``.
 The master, executor sizing and partition counts come from spark-submit.
 """
 
@@ -19,7 +20,7 @@ from __future__ import annotations
 import argparse
 import json
 
-from .plans import bronze, gold, quality_job, silver, sql_pack
+from .plans import bronze, gold, gold_state, quality_job, silver, sql_pack
 from .plans.pipeline import now_text
 from .session import build_session
 
@@ -27,7 +28,7 @@ from .session import build_session
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="reelhouse.jobs")
     ap.add_argument("job", choices=["raw-to-bronze", "bronze-to-silver", "silver-to-gold",
-                                    "data-quality", "reports", "stream", "compact", "recommend"])
+                                    "refresh-gold", "data-quality", "reports", "stream", "compact", "recommend"])
     ap.add_argument("--raw")
     ap.add_argument("--source")
     ap.add_argument("--out", required=True)
@@ -53,6 +54,8 @@ def main(argv: list[str] | None = None) -> None:
         result = silver.run(spark, f"{out}/bronze", f"{out}/silver", t)
     elif a.job == "silver-to-gold":
         result = gold.run(spark, f"{out}/silver", f"{out}/bronze", f"{out}/gold", t)
+    elif a.job == "refresh-gold":
+        result = gold_state.run(spark, f"{out}/bronze", f"{out}/state", f"{out}/gold", t)
     elif a.job == "data-quality":
         result = quality_job.run(spark, f"{out}/bronze", f"{out}/dq", t, gate=a.gate)
     elif a.job == "reports":

@@ -514,6 +514,9 @@ JOBS = {
     "bronze_merged": """
 SELECT * REPLACE (CASE WHEN CAST(substr(event_id, 4) AS BIGINT) % 5 = 0 THEN buffering_events END AS buffering_events),
   'raw/watch_events/watch_events.json' AS source_file, 'bronze' AS layer FROM b_watch""",
+    "state_dau_metrics": "SELECT * FROM dau",
+    "state_top_content": "SELECT * FROM top",
+    "state_device_analytics": "SELECT * FROM device",
     "job_quality_report": "SELECT * FROM dq",
     "job_quality_gate": """
 SELECT bool_or(status = 'FAIL') AS stopped,

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,11 +53,11 @@ def _write(df: DataFrame, path: str, column: str) -> tuple[int, dict[str, str]]:
 
 
 def _commit(spark: SparkSession, path: str, version: int, schema: T.StructType, column: str, partitions: dict,
-            whole: bool = False) -> bool:
-    """``whole``: the partitions are all that one write made."""
+            whole: bool = False, source: dict | None = None) -> bool:
+    """``whole``: the partitions are all that one write made; ``source``: what they were derived from."""
     return versions.commit(spark, f"{path}/_versions", version,
                            {"schema": json.loads(schema.json()), "column": column, "partitions": partitions,
-                            "whole": next(iter(partitions.values()), None) if whole else None})
+                            "whole": next(iter(partitions.values()), None) if whole else None, "source": source})
 
 
 def replace(df: DataFrame, path: str, column: str) -> int:
@@ -95,6 +96,27 @@ def merge(new: DataFrame, path: str, column: str, key: str) -> tuple[int, list[s
     raise versions.CommitConflict(path)
 
 
+def derive(spark: SparkSession, source: str, path: str, column: str, make: Callable[[DataFrame], DataFrame]) -> list[str]:
+    """Bring the table at ``path`` up to ``source``, a table of the same partitions, where each partition
+    is ``make`` of the source's rows of that value.  The commit keeps the source's versions, and only
+    values whose version differs are read and written; values the source lost go.  Returns these values."""
+    for _ in range(10):
+        of, held = _state(spark, source)
+        if not of:
+            raise ValueError(f"{source} has no commit")
+        version, state = _state(spark, path)
+        known = (state["source"] or {}) if version else {}
+        changed = {v for v in known.keys() | held["partitions"].keys() if known.get(v) != held["partitions"].get(v)}
+        if version and not changed:
+            return []
+        rows = make(_read(spark, source, held, None if len(changed) == len(held["partitions"]) and not known else changed))
+        _, partitions = _write(rows, path, column)
+        kept = {v: tag for v, tag in state["partitions"].items() if v not in changed} if version else {}
+        if _commit(spark, path, version + 1, rows.schema, column, kept | partitions, whole=not kept, source=held["partitions"]):
+            return sorted(changed)
+    raise versions.CommitConflict(path)
+
+
 def vacuum(spark: SparkSession, path: str) -> int:
     """Delete the versions the last commit does not name (and readers no longer use); returns how many."""
     version, state = _state(spark, path)
