@@ -6,18 +6,19 @@ letter or digit, or notice, to the next, so that notices wrapped over several
 lines, or in comments, are seen whole.  A sparse multinomial
 logistic regression over the n-grams of known notices tells licence families
 apart and has a class of its own for anything else.  It is trained on the
-notices and on paragraphs of a bounded draw of documents; held-back paragraphs
+notices and on the distinct paragraphs of all documents; held-back paragraphs
 set the probability below which a prediction counts as unknown.  A prediction
 is confirmed by comparing the paragraph with the family's notices (share of the
 notice's 2-grams present).
 
-Everything is DataFrame and SQL functions: gradients are aggregates over the
-sample, and scoring is one projection without a shuffle.  A document is looked
+Everything is DataFrame and SQL functions: a paragraph is trained on as the set of
+its n-grams that notices have, equal sets are one row with their count, gradients
+are aggregates over these rows, and scoring is one projection without a shuffle.  A document is looked
 into only if it holds one of the words without which no paragraph can reach
 any family (a bound on the weights, so nothing is missed).
 
-Only the sample is bounded (``SAMPLE_DOCS``); every paragraph of every document
-is judged.
+Nothing is sampled: every paragraph of every document is trained on or held back,
+and judged.
 
 The place of a wrapped notice is its first line; n_paragraphs counts lines.
 
@@ -29,11 +30,11 @@ an empty result; other columns are ignored.
 from __future__ import annotations
 
 import json
+import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SAMPLE_DOCS = 300
 STEPS = 24
 RATE = 4.0
 SPARSE = 2e-4              # L1 weight: n-grams that do not help are exactly 0
@@ -107,6 +108,16 @@ def _grams(w: str) -> str:
     return f"array_distinct(concat({w}, {_pairs(w)}))"
 
 
+def _known_grams(w: str, vocabulary: list[str]) -> str:
+    """The distinct 1- and 2-grams of an array of words that are in a vocabulary, sorted."""
+    def among(x: str, values) -> str:
+        return f"{x} IN ({', '.join(map(_text, sorted(set(values))))})"
+    pairs = [g.split(" ") for g in vocabulary if " " in g]
+    some = (f"transform(IF(size({w}) < 2, array(), sequence(1, size({w}) - 1)), i -> IF({among(f'{w}[i - 1]', (a for a, _ in pairs))} "
+            f"AND {among(f'{w}[i]', (b for _, b in pairs))}, concat({w}[i - 1], ' ', {w}[i]), NULL))")
+    return f"sort_array(array_distinct(filter(concat({w}, {some}), x -> {among('x', vocabulary)})))"
+
+
 def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -167,40 +178,41 @@ class Model:
     # --- training
 
     def _examples(self, spark: SparkSession, docs: DataFrame) -> DataFrame:
-        """(label, held, grams): the notices, and paragraphs of a hashed draw of documents labelled
-        by their likeness to a notice.  ``held`` paragraphs are kept out of training."""
-        total = docs.count()
-        rate = min(1.0, SAMPLE_DOCS / max(total, 1))
-        order = F.pmod(F.xxhash64("doc_id", F.lit("licence")), F.lit(1 << 30))
+        """(label, held, grams): the notices, and the distinct paragraphs of all documents labelled by
+        their likeness to a notice.  ``held`` paragraphs are kept out of training."""
         near = f"array({', '.join(_similarity(self.known, f) for f in FAMILIES)})"
         label = f"transform(array({near}), n -> IF(array_max(n) >= {CONFIRM}D, CAST(array_position(n, array_max(n)) AS INT), 0))[0]"
-        label_of = lambda p: f"transform(array({_grams('w')}), grams -> {label})[0]".join(
-            (f"transform(array({_words(p)}), w -> ", ")[0]"))
-        runs = docs.where(order < rate * float(1 << 30)).select(F.explode(F.expr(_runs("text"))).alias("run"))
-        runs = runs.withColumn("whole", F.expr(f"struct({_joined('run')} AS p)")).withColumn(
-            "lines", F.expr(f"transform(run, x -> struct(x.p AS p, {label_of('x.p')} AS label))")).withColumn(
-            "whole", F.expr(f"array(struct(whole.p AS p, {label_of('whole.p')} AS label))"))
+        # with fewer 2-grams of notices a paragraph is like none
+        least = min(math.ceil(CONFIRM * len(r["pairs"]) - 1e-9) for r in self.known)
+        label = f"transform(array(x.grams), grams -> IF(size(filter(grams, g -> contains(g, ' '))) >= {least}, {label}, 0))[0]"
+        notices = _known(spark).withColumn("w", F.expr(_words("notice")))
+        vocabulary = notices.select(F.explode(F.expr(_grams("w"))).alias("g")).distinct().agg(F.sort_array(F.collect_set("g"))).first()[0]
+        self.weights = {g: [0.0] * len(self.classes) for g in vocabulary}
+        names = F.create_map(*[F.lit(x) for k, f in enumerate(FAMILIES, 1) for x in (f, k)])
+        notices = notices.select(names[F.col("family")].alias("label"), F.lit(False).alias("held"),
+                                 F.expr(_known_grams("w", vocabulary)).alias("grams"))
+        grams = f"transform(array({_words('p')}), w -> {_known_grams('w', vocabulary)})[0]"
+        runs = docs.select(F.explode(F.expr(_runs("text"))).alias("run")).select(
+            F.size("run").alias("n"), F.expr(
+                f"transform(IF(size(run) = 1, array(run[0].p), concat(transform(run, x -> x.p), array({_joined('run')}))), "
+                f"p -> struct(xxhash64(p) AS one, xxhash64('', p) AS two, rlike(lower(p), '[a-z0-9]') AS written, {grams} AS grams))").alias("paras"))
+        runs = runs.withColumn("paras", F.expr(
+            f"transform(paras, x -> struct(x.one AS one, x.two AS two, x.written AS written, x.grams AS grams, {label} AS label))"))
         # the lines of a wrapped notice are no examples of other text
         lines = runs.select(F.explode(F.expr(
-            "CASE WHEN size(run) = 1 OR exists(lines, x -> x.label > 0) THEN lines "
-            "WHEN whole[0].label > 0 THEN whole ELSE concat(lines, whole) END")).alias("x")).select("x.p", "x.label")
-        lines = lines.dropDuplicates(["p"])
-        lines = lines.withColumn("w", F.expr(_words("p"))).where("size(w) > 0").withColumn("grams", F.expr(_grams("w")))
-        lines = lines.select("label", (F.pmod(F.xxhash64("p"), F.lit(4)) == 0).alias("held"), "grams")
-        names = F.create_map(*[F.lit(x) for k, f in enumerate(FAMILIES, 1) for x in (f, k)])
-        notices = _known(spark).withColumn("w", F.expr(_words("notice"))).select(
-            names[F.col("family")].alias("label"), F.lit(False).alias("held"), F.expr(_grams("w")).alias("grams"))
-        vocabulary = notices.select(F.explode("grams").alias("g")).distinct().agg(F.sort_array(F.collect_set("g"))).first()[0]
-        self.weights = {g: [0.0] * len(self.classes) for g in vocabulary}
-        known = _constant(vocabulary, "array<string>")
-        both = lines.unionByName(notices)
-        return both.select("label", "held", F.expr(f"array_intersect(grams, {known})").alias("grams"))
+            "CASE WHEN exists(slice(paras, 1, n), x -> x.label > 0) THEN slice(paras, 1, n) "
+            "WHEN paras[size(paras) - 1].label > 0 THEN slice(paras, -1, 1) ELSE paras END")).alias("x")).where("x.written")
+        # paragraphs with two equal hashes are the same
+        lines = lines.select("x.one", "x.two", "x.label", "x.grams").distinct()
+        return lines.select("label", (F.pmod("one", F.lit(4)) == 0).alias("held"), "grams").unionByName(notices)
 
     def _train(self, spark: SparkSession, docs: DataFrame) -> None:
-        """Proximal gradient steps; each is one aggregate over the sample.  Examples that look alike
+        """Proximal gradient steps; each is one aggregate over the examples.  Examples that look alike
         are one row with their count, and both notices and other text weigh half."""
-        rows = self._examples(spark, docs).groupBy("label", "held", F.sort_array("grams").alias("grams")).agg(
-            F.count("*").cast("double").alias("n")).persist()
+        rows = self._examples(spark, docs).groupBy("label", "held", "grams").agg(F.count("*").cast("double").alias("n"))
+        vocabulary = sorted(self.weights)
+        place = F.expr(f"transform(grams, g -> CAST(array_position({_constant(vocabulary, 'array<string>')}, g) AS INT))")
+        rows = rows.withColumn("at", place).persist()
         train = rows.where("not held")
         mass = {r["other"]: r["n"] for r in train.groupBy((F.col("label") == 0).alias("other")).agg(F.sum("n").alias("n")).collect()}
         share = F.when(F.col("label") == 0, 0.5 / max(mass.get(True, 0), 1)).otherwise(0.5 / max(mass.get(False, 0), 1))
@@ -208,7 +220,7 @@ class Model:
         k = len(self.classes)
         speed: dict[str, list[float]] = {}
         for _ in range(STEPS):
-            p = train.withColumn("p", F.expr(self._probabilities("grams")))
+            p = train.withColumn("p", F.expr(self._softmax(self._logits_at(vocabulary))))
             wrong = [F.col("mass") * (F.col("p")[c] - (F.col("label") == c).cast("double")) for c in range(k)]
             each = p.select(F.explode(F.concat("grams", F.array(F.lit("")))).alias("g"), *[w.alias(f"e{c}") for c, w in enumerate(wrong)])
             step = each.groupBy("g").agg(*[F.sum(f"e{c}").alias(f"e{c}") for c in range(k)]).collect()
@@ -220,10 +232,10 @@ class Model:
                 else:
                     moved = [a + b for a, b in zip(self.weights[row["g"]], fast)]
                     self.weights[row["g"]] = [max(abs(x) - RATE * SPARSE, 0.0) * (1 if x > 0 else -1) for x in moved]
-        self.weights = {g: w for g, w in self.weights.items() if any(w)}
-        held = rows.where("held and label = 0").withColumn("p", F.expr(self._probabilities("grams")))
+        held = rows.where("held and label = 0").withColumn("p", F.expr(self._softmax(self._logits_at(vocabulary))))
         worst = held.agg(F.max(F.expr(f"array_max(slice(p, 2, {k - 1}))"))).first()[0]
         self.least = min(max(LEAST, worst or 0.0), 0.95)
+        self.weights = {g: w for g, w in self.weights.items() if any(w)}
         # how often other text uses a word: the fewer paragraphs a trigger opens, the better
         seen = rows.where("label = 0").select(F.explode("grams").alias("g"), "n").groupBy("g").agg(F.sum("n").alias("n"))
         self.common = {r["g"]: r["n"] for r in seen.collect()}
@@ -239,8 +251,16 @@ class Model:
         return (f"aggregate(array_intersect({grams}, map_keys({weights})), {start}, (acc, g) -> "
                 f"zip_with(acc, element_at({weights}, g), (a, b) -> a + b))")
 
+    def _logits_at(self, vocabulary: list[str]) -> str:
+        """The same of an array ``at`` of places in the vocabulary (from 1)."""
+        weights = _constant([self.weights[g] for g in vocabulary], "array<array<double>>")
+        return f"aggregate(at, {_constant(self.bias, 'array<double>')}, (acc, k) -> zip_with(acc, {weights}[k - 1], (a, b) -> a + b))"
+
     def _probabilities(self, grams: str) -> str:
-        exps = f"transform({self._logits(grams)}, x -> exp(x))"
+        return self._softmax(self._logits(grams))
+
+    def _softmax(self, logits: str) -> str:
+        exps = f"transform({logits}, x -> exp(x))"
         return (f"transform(array({exps}), e -> transform(e, x -> x / aggregate(e, 0D, (a, b) -> a + b)))[0]")
 
     def _triggers(self) -> list[str]:

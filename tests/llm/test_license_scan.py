@@ -113,3 +113,12 @@ def test_wrapped_notices_are_judged_whole(spark):
     assert {i: (got[i].family, got[i].n_found, got[i].paragraph) for i in want} == {i: (f, 1, 4) for i, f in want.items()}
     assert got[6000].families == "lgpl-3.0,mit"
     assert all(r.family == "unknown" for i, r in got.items() if i < 1000)
+
+
+def test_every_paragraph_is_trained_on(spark):
+    """Counts of the model are those of all distinct paragraphs, lines and runs of lines alike."""
+    rng = random.Random(7)
+    rows = [(k, f"{sentence(rng, 9)} of {k}\n{sentence(rng, 9)} of {k}\n\n{sentence(rng, 9)} of {k}", "s") for k in range(500)]
+    rows += [(500 + k, rows[k][1], "s") for k in range(50)] + [(900, "Released under the MIT License.", "s")]
+    model = S.Model(spark, documents(spark, rows).select("doc_id", "text"))
+    assert model.common["of"] == 4 * 500
