@@ -36,10 +36,10 @@ import json
 import re
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
-from difflib import SequenceMatcher
 from functools import lru_cache
 from hashlib import blake2b
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -52,7 +52,7 @@ ARTICLE_SHARE = 0.1        # of a host's distinct pages: marked articles on fewe
 HINT = 0.25                # weight of text below a marked element in the choice of the main one
 LONGEST_GROUP = 8          # tokens of a repeated group
 FAN_IN = 64                # wrappers one task aligns, about
-ALIGN_CELLS = 1 << 22      # longer pairs are aligned at their common start and end only, the rest becomes optional
+ALIGN_CELLS = 1 << 22      # not used: pairs of any length are aligned whole; kept for callers that set it
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s "
@@ -238,14 +238,62 @@ def _merge(a: list, b: list) -> list:
     return [a[0], a[1] if a[1] == b[1] else None, "?" if "?" in (a[2], b[2]) else a[2] or b[2], a[3] + b[3]]
 
 
+class _Runs:
+    """Longest common runs of two lists.  ``names[p]`` numbers the runs of 2 ** p items of both, so
+    two runs of any length are equal if their first and last halves are (which may overlap)."""
+
+    def __init__(self, mine: list, other: list):
+        known: dict = {}
+        self.cut = len(mine)
+        self.names = [np.array([known.setdefault(x, len(known)) for x in (*mine, *other)], dtype=np.int64)]
+        while 2 << len(self.names) - 1 <= min(len(mine), len(other)):
+            step = 1 << len(self.names) - 1
+            pairs = self.names[-1][:-step] * (len(mine) + len(other)) + self.names[-1][step:]
+            self.names.append(np.unique(pairs, return_inverse=True)[1].astype(np.int64))
+
+    def _at(self, i: int, i2: int, size: int) -> np.ndarray:
+        """The runs of ``size`` items that lie in i:i2."""
+        p = size.bit_length() - 1
+        names, last = self.names[p], i2 - size + 1
+        return names[i:last] * (self.names[0].size + 1) + names[i + size - (1 << p):last + size - (1 << p)]
+
+    def longest(self, i: int, i2: int, j: int, j2: int, most: int) -> tuple[int, int, int]:
+        """(start in the first, start in the second, size <= ``most``) of the longest common run of i:i2
+        and j:j2, the earliest in the first and then in the second."""
+        found, low, high = (i, j, 0), 1, min(most, i2 - i, j2 - j)
+        while low <= high:
+            size = low + high >> 1
+            a, b = self._at(i, i2, size), self._at(self.cut + j, self.cut + j2, size)
+            both = np.isin(a, b)
+            at = int(both.argmax())
+            if both[at]:
+                found, low = (i + at, j + int((b == a[at]).argmax()), size), size + 1
+            else:
+                high = size - 1
+        return found
+
+
 def _steps(mine: list, other: list) -> list[tuple[str, int, int, int, int]]:
-    if len(mine) * len(other) <= ALIGN_CELLS:
-        return SequenceMatcher(None, mine, other, autojunk=False).get_opcodes()
-    short = min(len(mine), len(other))
-    i = next((k for k in range(short) if mine[k] != other[k]), short)
-    j = next((k for k in range(short - i) if mine[-1 - k] != other[-1 - k]), short - i)
-    m, n = len(mine) - j, len(other) - j
-    return [("equal", 0, i, 0, i), ("replace", i, m, i, n), ("equal", m, m + j, n, n + j)]
+    """The opcodes of ``difflib.SequenceMatcher`` without junk, for lists of any length."""
+    runs, blocks = _Runs(mine, other), []
+    rest = [(0, len(mine), 0, len(other), len(mine))]
+    while rest:
+        i, i2, j, j2, most = rest.pop()
+        a, b, size = runs.longest(i, i2, j, j2, most)
+        if size:
+            blocks.append((a, b, size))
+            rest += [(i, a, j, b, size), (a + size, i2, b + size, j2, size)]
+    out: list[tuple[str, int, int, int, int]] = []
+    i = j = 0
+    for a, b, size in [*sorted(blocks), (len(mine), len(other), 0)]:
+        if i < a or j < b:
+            out.append(("replace" if i < a and j < b else "delete" if i < a else "insert", i, a, j, b))
+        if size and out and out[-1][0] == "equal":
+            out[-1] = ("equal", out[-1][1], a + size, out[-1][3], b + size)
+        elif size:
+            out.append(("equal", a, a + size, b, b + size))
+        i, j = a + size, b + size
+    return out
 
 
 def align(wrapper: list[list], page: list[list]) -> list[list]:

@@ -1,4 +1,5 @@
 import html
+import random
 from html.parser import HTMLParser
 
 from pyspark.sql import functions as F
@@ -162,3 +163,18 @@ def test_long_pairs_keep_their_common_ends():
     finally:
         H.ALIGN_CELLS = old
     assert [(k[1], t, n) for k, _, t, n in got] == [("1", "", 2), ("2", "?", 1), ("3", "?", 1), ("4", "?", 1), ("9", "", 2)]
+
+
+def test_pairs_of_any_length_are_aligned_alike():
+    """The same pages with one long block of their own: what they share in the middle is found."""
+    from difflib import SequenceMatcher
+    rng = random.Random(4)
+    for n in (3, 30, 3000):
+        a = [("text", f"a{k}") for k in range(n)] + [("text", "same"), ("open", "same")] + [("text", f"b{k}") for k in range(n)]
+        b = [("text", f"c{k}") for k in range(n)] + [("text", "same"), ("open", "same")] + [("text", f"d{k}") for k in range(n)]
+        assert H._steps(a, b) == [("replace", 0, n, 0, n), ("equal", n, n + 2, n, n + 2), ("replace", n + 2, 2 * n + 2, n + 2, 2 * n + 2)]
+    for _ in range(300):
+        kinds = rng.choice((2, 3, 8, 40))
+        a, b = ([("x", str(rng.randrange(kinds))) for _ in range(rng.randrange(40))] for _ in range(2))
+        b = b if rng.random() < 0.5 else [x for x in a if rng.random() < 0.8]
+        assert H._steps(a, b) == SequenceMatcher(None, a, b, autojunk=False).get_opcodes()
