@@ -106,3 +106,22 @@ def test_csv_header_order_is_checked(spark, tmp_dir):
     _write(f"{tmp_dir}/users/users.csv", swapped)
     with pytest.raises(Exception):
         files.read_raw(spark, f"{tmp_dir}/users", "users").collect()
+
+
+def test_array_files_are_parsed_from_memory_like_multiline(spark, tmp_dir):
+    """Good, pretty-printed, broken and empty files: the rows multiLine gives, without its reads for every number."""
+    row = {"event_id": "e1", "user_id": 7, "duration_mins": 120, "completion_pct": 12.50, "device": "a\u2028b, ]"}
+    texts = ["[" + json.dumps(row).replace("12.5", "12.50") + ",\n{\"event_id\": \"e2\", \"completion_pct\": 1e1}]",
+             json.dumps([row, {"event_id": "e3"}], indent=2), json.dumps({"event_id": "e4"}), "[]", "", "  \n", "[{\"event_id\": \"e5\"}, null]",
+             "[{\"event_id\": \"e6\"}, {\"event_id\":", "[1, 2]", "nonsense\n[]", "\n\n[{\"event_id\": \"e7\", \"region\": {\"a\": [1.0, 2]}}]\n"]
+    for k, text in enumerate(texts):
+        _write(f"{tmp_dir}/watch_events/{k}.json", text)
+    from reelhouse import schemas
+    raw = files.read_raw(spark, f"{tmp_dir}/watch_events", "watch_events", multiline=True, keep_rejected=True)
+    fields = schemas.as_strings(schemas.RAW["watch_events"][0]).add(files.REJECTED, "string")
+    want = spark.read.schema(fields).option("columnNameOfCorruptRecord", files.REJECTED).json(f"{tmp_dir}/watch_events", multiLine=True)
+    rows = lambda df: sorted(map(tuple, df.withColumn("f", files.source_file_column()).collect()), key=repr)
+    assert rows(raw) == rows(want) and {r["event_id"] for r in raw.collect()} >= {"e1", "e2", "e3", "e4", "e7"}
+    assert [r[0] for r in raw.where("event_id = 'e1'").select("completion_pct").distinct().orderBy("completion_pct").collect()] == ["12.5", "12.50"]
+    options = raw._jdf.queryExecution().analyzed().collectLeaves().head().relation().options()
+    assert options.get("multiLine").isEmpty() and options.get("multiline").isEmpty()
