@@ -10,7 +10,7 @@ from ..operators import events as ev
 from ..operators import store
 from ..session import new_scratch
 from ..sources import domain
-from ..streaming.engagement import located, parsed_events, run_engagement_stream
+from ..streaming.engagement import located, message_stream, parsed_events, run_engagement_stream
 from ..streaming.feed import envelope_feed, land_feed
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,13 +60,11 @@ def compacted_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     compaction between them, then the latest view read as snapshot + newer
     batches.  Repeats that straddle the halves meet in the view."""
     root = new_scratch(spark, "engagement-compacted")
-    msgs = feed(spark, sf_dir)
-    half = F.pmod(F.xxhash64("value"), F.lit(2))
-    land_feed(msgs.where(half == 0), f"{root}/feed_a")
-    land_feed(msgs.where(half == 1), f"{root}/feed_b")
-    for part in ("a", "b"):
-        run_engagement_stream(spark, f"{root}/feed_{part}", f"{root}/store", f"{root}/dead",
-                              f"{root}/checkpoint_{part}")
+    land_feed(feed(spark, sf_dir), f"{root}/feed")
+    for part, half in (("a", 0), ("b", 1)):
+        messages = message_stream(spark, f"{root}/feed").where(F.pmod(F.xxhash64("value"), F.lit(2)) == half)
+        run_engagement_stream(spark, f"{root}/feed", f"{root}/store", f"{root}/dead",
+                              f"{root}/checkpoint_{part}", messages=messages)
         if part == "a":
             store.compact(spark, f"{root}/store", f"{root}/snapshot")
     return store.read_latest(spark, f"{root}/store", f"{root}/snapshot")

@@ -162,12 +162,13 @@ def run_engagement_stream(spark: SparkSession, source_dir: str, store_dir: str,
         batch = parsed_events(arrived)
         if dedupe != "none":
             batch = first_deliveries(batch)
-        batch = batch.persist()
+        # A batch is cached only where it is read again anyway; else a second pass makes dead letters.
+        kept = batch.persist() if dedupe == "sink" or routed_dir else batch
         try:
             if dedupe == "sink":
                 batch = not_stored(spark, batch, store_dir)
             # Parse failures are counted while the store batch is written; the (rare)
-            # dead-letter write then reads the cached batch only if needed.
+            # dead-letter write then reads the batch again only if needed.
             obs = Observation()
             observed = batch.observe(obs, F.count_if(F.col("parse_error").isNotNull()).alias("bad"))
             written = store.write_batch(ev.process_events(observed), store_dir, batch_id, run, index=dedupe == "sink")
@@ -183,7 +184,7 @@ def run_engagement_stream(spark: SparkSession, source_dir: str, store_dir: str,
                     .parquet(f"{routed_dir}/rejected/run={run}/batch_id={batch_id}")
             store.commit_batch(spark, store_dir, batch_id, run, written, bad)
         finally:
-            batch.unpersist()
+            kept.unpersist()
 
     writer = messages.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(

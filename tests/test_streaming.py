@@ -1,4 +1,5 @@
 """Structured Streaming path: stream = batch, replay safety, de-duplication."""
+import datetime
 import os
 
 from pyspark.sql import functions as F
@@ -359,3 +360,19 @@ def test_sink_mode_reads_its_buckets_and_remembers_what_vacuum_deleted(spark, tm
     assert "request_id:string" in plan and "content_id" not in plan
     # a replay of a batch whose data is gone is skipped too
     assert store.is_committed(spark, path, 1, "r") and not store.is_committed(spark, path, 2, "r")
+
+
+def test_feed_of_the_compacted_view_is_made_once_and_no_batch_is_cached(spark, tmp_dir, monkeypatch):
+    rows = [(k, datetime.datetime(2024, 1, 1 + k % 9, k % 24), k % 7, "view", 1.0, "{}") for k in range(60)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string") \
+        .write.parquet(f"{tmp_dir}/events.parquet")
+    spark.range(9).selectExpr("id AS p_partkey").write.parquet(f"{tmp_dir}/part.parquet")
+    landed, cached = [], []
+    frame = type(spark.range(1))
+    land, persist = realtime.land_feed, frame.persist
+    monkeypatch.setattr(realtime, "land_feed", lambda feed, path: (landed.append(path), land(feed, path))[1])
+    monkeypatch.setattr(frame, "persist", lambda df, *a: (cached.append(1), persist(df, *a))[1])
+    got = realtime.compacted_latest(spark, tmp_dir).collect()
+    assert len(landed) == 1 and not cached
+    want = realtime.store_outputs(spark, realtime.stream_store(spark, tmp_dir))["engagement_latest"].collect()
+    assert sorted(map(str, got)) == sorted(map(str, want)) and len(got) >= 40
