@@ -80,3 +80,20 @@ def test_empty_and_missing_events(spark, tmp_dir):
     tables.replace(_events(spark, FIRST), f"{root}/watch_events", "watch_date")
     gold_state.refresh(spark, root, state)
     _same(spark, root, state)
+
+
+def test_ids_are_padded_and_repeats_picked_by_number(spark, tmp_dir):
+    """No text is formatted, or read back, for each event to find the repeated ones."""
+    from reelhouse.sources import domain
+    odd = spark.sql("SELECT * FROM VALUES (-5L), (0L), (7L), (999999L), (1000000L), (123456789012L), (NULL) t(n)")
+    formatted = "CASE WHEN n IS NOT NULL THEN format_string('USR%06d', n) END"
+    assert odd.where(f"NOT ({domain._id('user', 'n')} <=> {formatted})").count() == 0
+    events = [(None if k == 5 else k * 50 - 200, None, k, "view", 1.0, "{}") for k in range(12)]
+    spark.createDataFrame(events, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string") \
+        .write.parquet(f"{tmp_dir}/events.parquet")
+    spark.range(3).selectExpr("id AS p_partkey").write.parquet(f"{tmp_dir}/part.parquet")
+    raw = domain.raw_watch_events(spark, tmp_dir)
+    ev = domain.watch_events(spark, tmp_dir)
+    want = ev.unionByName(ev.where(f"{domain.number_of('event_id')} % 100 = 0"))
+    assert raw.exceptAll(want).count() == want.exceptAll(raw).count() == 0
+    assert "substring" not in raw._jdf.queryExecution().optimizedPlan().toString()
